@@ -82,8 +82,8 @@ def shift_end_seconds(start_s: Column, end_s: Column, cutoff_hour: int = 4) -> C
     return F.when(F.floor(F.pmod(end_s, F.lit(86400)) / 3600) < cutoff_hour, end_s + 86400).otherwise(end_s)
 
 
-def shift_span_hours(start_s: Column, end_s: Column, cutoff_hour: int = 4) -> Column:
-    return F.round((shift_end_seconds(start_s, end_s, cutoff_hour) - start_s) / 3600, 2)
+def shift_span_hours(start_s: Column, end_s: Column, cutoff_hour: int = 4, digits: int = 2) -> Column:
+    return F.round((shift_end_seconds(start_s, end_s, cutoff_hour) - start_s) / 3600, digits)
 
 
 def time_of_day_text(value: Column, encoding: str) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.functions.clock import epoch_micros, epoch_seconds
-from lakeops.operators.timeline import Timeline, along, last_known, next_known
+from lakeops.operators.timeline import Timeline, along, last_known, next_known, running_total
 
 
 def clean_key(column: Column, kind: str | None = None) -> Column:
@@ -112,6 +112,35 @@ def nearest_event(
     )
 
 
+def count_in_ranges(
+    spans: DataFrame,
+    points: DataFrame,
+    keys: Sequence[str],
+    span_id: str,
+    low: str,
+    high: str,
+    at: str,
+    out: str,
+    chunk_s: int = 86400,
+) -> DataFrame:
+    """Number of points of the same key within each ``[low, high]`` span, both ends included.
+
+    The count is the difference of two running totals on the merged timeline, so its cost
+    is the rows, never the pairs: right for big spans over big, skewed keys.
+    """
+    start = spans.select(*keys, F.col(low).alias("__at"), F.lit(0).alias("__kind"), F.col(span_id).alias("__id"))
+    end = spans.select(*keys, F.col(high).alias("__at"), F.lit(2).alias("__kind"), F.col(span_id).alias("__id"))
+    marks = points.select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind")).withColumn("__one", F.lit(1))
+    # Among equal instants a span opens before the points and closes after them.
+    merged = start.unionByName(end).unionByName(marks, allowMissingColumns=True)
+    merged = merged.withColumn("__slice", F.floor(epoch_seconds(F.col("__at")) / chunk_s).cast("long"))
+    line = Timeline(tuple(keys), ("__at", "__kind"), F.col("__slice"))
+    counted = along(merged, line, {"__upto": running_total(F.coalesce("__one", F.lit(0)), peers_share=True)})
+    sign = F.when(F.col("__kind") == 2, 1).otherwise(-1)
+    totals = counted.filter(F.col("__kind") != 1).groupBy("__id").agg(F.sum(F.col("__upto") * sign).alias(out))
+    return spans.join(totals, F.col(span_id) == F.col("__id"), "left").drop("__id")
+
+
 def either_key_join(
     left: DataFrame, right: DataFrame, left_key: str, right_keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
