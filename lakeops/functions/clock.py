@@ -108,7 +108,7 @@ def from_epoch(value: Column, unit: str) -> Column:
     if unit == "us":
         return F.timestamp_micros(value)
     if unit == "ns":
-        return F.timestamp_micros(F.floor(value / 1000).cast("long"))
+        return F.timestamp_micros(F.call_function("div", value, F.lit(1000)))
     raise ValueError(f"unknown epoch unit: {unit}")
 
 

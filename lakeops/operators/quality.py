@@ -46,6 +46,24 @@ def warehouse_columns(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string, warehouse_type string")
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """OP-43/44 with content: type, warehouse type and filled values per column, one pass."""
+    counts = df.agg(*[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("position"),
+                F.lit(f.name).alias("column"),
+                F.lit(f.dataType.simpleString()).alias("type"),
+                F.lit(warehouse_type(f.dataType)).alias("warehouse_type"),
+                F.col(f"n{i}").alias("filled"),
+            )
+            for i, f in enumerate(df.schema)
+        ]
+    )
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def field_paths(schema: T.StructType, prefix: str = "") -> Iterator[tuple[str, str]]:
     """OP-45: every nested column path with its type."""
     for field in schema:

@@ -36,14 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a temporary folder: on a cluster a
     machine-local path would be lost with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not _is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="lakeops-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeops-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -18,10 +18,7 @@ def stateful_session(spark: SparkSession, partitions: int | None = None) -> Spar
     own leaves the caller's settings alone.
     """
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.checkpoint.dir"):
-        value = spark.conf.get(key, None)
-        if value:
-            session.conf.set(key, value)
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
     return session
 
