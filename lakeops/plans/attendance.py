@@ -159,9 +159,9 @@ def monthly_rates(panel: DataFrame, amount: str, causes: Mapping[str, Sequence[s
         "year",
         "month",
         "cause",
-        F.try_divide("flagged", "total").alias("rate_month"),
-        F.try_divide("f12", "t12").alias("rate_12_months"),
-        F.try_divide("fy", "ty").alias("rate_year_to_date"),
+        F.try_divide(F.col("flagged").cast("double"), F.col("total").cast("double")).alias("rate_month"),
+        F.try_divide(F.col("f12").cast("double"), F.col("t12").cast("double")).alias("rate_12_months"),
+        F.try_divide(F.col("fy").cast("double"), F.col("ty").cast("double")).alias("rate_year_to_date"),
     )
 
 
