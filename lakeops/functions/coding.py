@@ -61,12 +61,19 @@ def classify_codes(code_lists: Sequence[tuple[str, str, Sequence[str]]], default
 
 def decimal_comma(text: Column) -> Column:
     """OP-58: ``1 234,5`` or ``1234,5`` to double; unreadable text becomes null."""
-    return F.regexp_replace(F.regexp_replace(text, r"\s", ""), ",", ".").try_cast("double")
+    return F.translate(text, ", \u00a0\t", ".").try_cast("double")
 
 
 def parse_date(text: Column, formats: Sequence[str]) -> Column:
-    """OP-58: first format that fits, else null."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])
+    """OP-58: first format that fits, else null.
+
+    A format is tried only on text of its shape: a failed parse costs an exception per row.
+    """
+    tries = []
+    for layout in formats:
+        shape = "^" + re.sub(r"\\?[A-Za-z]+", lambda _: r"\w+", re.escape(layout.replace("'", ""))) + "$"
+        tries.append(F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout)).cast("date")))
+    return F.coalesce(*tries)
 
 
 def repair_scale(value: Column, bound: float, factor: float) -> Column:

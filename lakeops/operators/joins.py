@@ -128,11 +128,16 @@ def count_in_ranges(
     The count is the difference of two running totals on the merged timeline, so its cost
     is the rows, never the pairs: right for big spans over big, skewed keys.
     """
-    start = spans.select(*keys, F.col(low).alias("__at"), F.lit(0).alias("__kind"), F.col(span_id).alias("__id"))
-    end = spans.select(*keys, F.col(high).alias("__at"), F.lit(2).alias("__kind"), F.col(span_id).alias("__id"))
-    marks = points.select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind")).withColumn("__one", F.lit(1))
     # Among equal instants a span opens before the points and closes after them.
-    merged = start.unionByName(end).unionByName(marks, allowMissingColumns=True)
+    ends = F.array(
+        F.struct(F.col(low).alias("__at"), F.lit(0).alias("__kind")),
+        F.struct(F.col(high).alias("__at"), F.lit(2).alias("__kind")),
+    )
+    sides = spans.select(*keys, F.col(span_id).alias("__id"), F.explode(ends).alias("__end")).select(
+        *keys, "__id", "__end.*"
+    )
+    marks = points.select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind")).withColumn("__one", F.lit(1))
+    merged = sides.unionByName(marks, allowMissingColumns=True)
     merged = merged.withColumn("__slice", F.floor(epoch_seconds(F.col("__at")) / chunk_s).cast("long"))
     line = Timeline(tuple(keys), ("__at", "__kind"), F.col("__slice"))
     counted = along(merged, line, {"__upto": running_total(F.coalesce("__one", F.lit(0)), peers_share=True)})

@@ -7,6 +7,8 @@ from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lakeops.session import local_table
+
 # Warehouse column types by Spark type name.
 WAREHOUSE_TYPES = {
     "string": "nvarchar(4000)",
@@ -27,7 +29,7 @@ WAREHOUSE_TYPES = {
 def schema_rows(df: DataFrame) -> DataFrame:
     """OP-43: one row per column, in column order."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
+    return local_table(df.sparkSession, rows, "position int, column string, type string, nullable boolean")
 
 
 def schema_text(df: DataFrame) -> str:
@@ -43,7 +45,7 @@ def warehouse_type(kind: T.DataType) -> str:
 
 def warehouse_columns(df: DataFrame) -> DataFrame:
     rows = [(f.name, f.dataType.simpleString(), warehouse_type(f.dataType)) for f in df.schema]
-    return df.sparkSession.createDataFrame(rows, "column string, type string, warehouse_type string")
+    return local_table(df.sparkSession, rows, "column string, type string, warehouse_type string")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -84,7 +86,7 @@ def catalog_columns(spark: SparkSession, databases: Sequence[str] | None = None)
             name = f"`{database}`.`{table.name}`" if not table.isTemporary else f"`{table.name}`"
             for path, kind in field_paths(spark.table(name).schema):
                 rows.append((database, table.name, path, kind))
-    return spark.createDataFrame(rows, "database string, table string, column string, type string")
+    return local_table(spark, rows, "database string, table string, column string, type string")
 
 
 def find_columns(spark: SparkSession, text: str, databases: Sequence[str] | None = None) -> DataFrame:
@@ -130,7 +132,7 @@ def expect_schema(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     """OP-50: expected against actual column types."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
     rows = [(c, kind, actual.get(c), actual.get(c) == kind) for c, kind in expected.items()]
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string, ok boolean")
+    return local_table(df.sparkSession, rows, "column string, expected string, actual string, ok boolean")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

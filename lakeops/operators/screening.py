@@ -8,6 +8,8 @@ from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionT
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from lakeops.session import local_table
+
 # Chi-square critical values at one degree of freedom for p = 0.01, 0.05, 0.1.
 CRITICAL = ((6.6348966, 3), (3.8414588, 2), (2.7055435, 1))
 MIN_TARGET = 20
@@ -136,7 +138,7 @@ def leaf_rules(model: DecisionTreeClassificationModel, df: DataFrame, factors: S
         feature = node.split().featureIndex()
         stack.append((node.rightChild(), (*path, (feature, True))))
         stack.append((node.leftChild(), (*path, (feature, False))))
-    return df.sparkSession.createDataFrame(rows, "leaf int, step int, factor string, holds boolean")
+    return local_table(df.sparkSession, rows, "leaf int, step int, factor string, holds boolean")
 
 
 def top_leaves(stats: DataFrame, at_least: int, n: int = 15) -> DataFrame:
@@ -147,7 +149,7 @@ def top_leaves(stats: DataFrame, at_least: int, n: int = 15) -> DataFrame:
 def importance(model: DecisionTreeClassificationModel, df: DataFrame, factors: Sequence[str]) -> DataFrame:
     """OP-152: positive feature importances, largest first."""
     rows = [(f, float(v)) for f, v in zip(factors, model.featureImportances.toArray()) if v > 0]
-    return df.sparkSession.createDataFrame(rows, "factor string, importance double").orderBy(F.col("importance").desc())
+    return local_table(df.sparkSession, rows, "factor string, importance double").orderBy(F.col("importance").desc())
 
 
 def signed_importance(ranked: DataFrame, scores: DataFrame, complements: DataFrame | None = None) -> DataFrame:

@@ -30,21 +30,26 @@ def rate(part: Column, whole: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Mapping[str, str], width: float, groups: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    probabilities: Mapping[str, str],
+    width: float,
+    groups: Sequence[str] = (),
+    refine: int | None = 1024,
 ) -> DataFrame:
     """OP-91/154: discrete quantiles, exact at any group size.
 
-    Phase one counts values per slot of ``width`` (one row per group and slot after the
-    map-side combine) and finds the slot holding each wanted rank. Phase two reads only
-    those slots again and counts their distinct values up to the rank. No group's values
-    are ever gathered. Probabilities are decimal text, so ranks carry no rounding.
+    Values are counted per slot of ``width`` (one row per group and slot after the map-side
+    combine) to find the slot holding each wanted rank; that slot is counted again in
+    ``refine`` finer slots; only the last slot's distinct values are ranked one by one. No
+    group's values are ever gathered. Give ``refine=None`` where a slot holds few distinct
+    values anyway. Probabilities are decimal text, so ranks carry no rounding.
     """
     groups = list(groups)
+    widths = [width] if refine is None else [width, width / refine]
+    slots = [f"__s{i}" for i in range(len(widths))]
     values = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("__v"))
-    values = values.withColumn("__slot", F.floor(F.col("__v") / width).cast("long"))
-    slots = values.groupBy(*groups, "__slot").agg(F.count(F.lit(1)).alias("n"))
-    ordered = Window.partitionBy(*groups).orderBy("__slot").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*groups)
+    values = values.withColumns({s: F.floor(F.col("__v") / w).cast("long") for s, w in zip(slots, widths)})
     wanted = F.explode(
         F.array(
             *[
@@ -53,35 +58,43 @@ def exact_quantiles(
             ]
         )
     )
-    targets = (
-        slots.withColumns({"upto": F.sum("n").over(ordered), "total": F.sum("n").over(whole)})
+    counted = values.groupBy(*groups, slots[0]).agg(F.count(F.lit(1)).alias("n"))
+    ordered = Window.partitionBy(*groups).orderBy(slots[0]).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        counted.withColumns({"upto": F.sum("n").over(ordered), "total": F.sum("n").over(Window.partitionBy(*groups))})
         .withColumn("__q", wanted)
+        .select("*", F.col("__q.name").alias("__name"))
         .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("__q.p") * F.col("total"))).cast("long"))
-        .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select(
-            *[F.col(g).alias(f"__g_{g}") for g in groups],
-            F.col("__slot").alias("__target"),
-            F.col("__q.name").alias("__name"),
-            (F.col("rank") - F.col("upto") + F.col("n")).alias("__rank"),
-        )
     )
-    on = values["__slot"] == targets["__target"]
-    for g in groups:
-        on = on & values[g].eqNullSafe(targets[f"__g_{g}"])
-    counted = values.join(targets, on).groupBy(*groups, "__name", "__rank", "__v").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy(*groups, "__name").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    hit = counted.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") >= F.col("__rank"))
+    for level, slot in enumerate([*slots[1:], "__v"]):
+        found = slots[: level + 1]
+        targets = ranked.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(
+            *[F.col(c).alias(f"__t_{c}") for c in (*groups, *found)],
+            "__name",
+            (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
+        )
+        on = reduce(lambda x, y: x & y, [values[c].eqNullSafe(targets[f"__t_{c}"]) for c in (*groups, *found)])
+        finer = values.join(targets, on).groupBy(*groups, "__name", "rank", *found, slot).agg(F.count(F.lit(1)).alias("n"))
+        ordered = Window.partitionBy(*groups, "__name").orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = finer.withColumn("upto", F.sum("n").over(ordered))
+    hit = ranked.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
     return hit.groupBy(*groups).agg(
-        *[F.min(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probabilities]
+        *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probabilities]
     )
 
 
-def flag_above_quantile(df: DataFrame, value: str, probability: str, width: float, out: str) -> DataFrame:
+def flag_above_quantile(
+    df: DataFrame, value: str, probability: str, width: float, out: str, refine: int | None = 1024
+) -> DataFrame:
     """OP-154: 0/1 flag for values at or above a global quantile."""
-    bound = exact_quantiles(df, value, {"__bound": probability}, width)
-    return df.withColumn("__one", F.lit(1)).join(bound.withColumn("__one", F.lit(1)), "__one", "left").withColumn(
-        out, F.when(F.col(value) >= F.col("__bound"), 1).otherwise(0)
-    ).drop("__one", "__bound")
+    bound = exact_quantiles(df, value, {"__bound": probability}, width, refine=refine)
+    return df.withColumn(out, F.when(F.col(value) >= bound.scalar(), 1).otherwise(0))
+
+
+def calendar_quantile(calendar: DataFrame, value: str, probability: str) -> Column:
+    """OP-154 on a one-row-per-day frame: the discrete quantile as a scalar subquery."""
+    bound = calendar.agg(F.expr(f"percentile_disc({Decimal(probability)}) WITHIN GROUP (ORDER BY `{value}`)"))
+    return bound.scalar()
 
 
 def approximate_quantiles(value: str, probabilities: Mapping[str, float], accuracy: int = 10000) -> list[Column]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -157,19 +158,15 @@ def along(df: DataFrame, timeline: Timeline, features: Mapping[str, Feature]) ->
         _CHUNK,
         *[f.hand_over(names[out], chunks).alias(names[out]) for out, f in features.items()],
     )
-    parts = [rows.withColumn(_EDGE, F.lit(_ROW))]
-    for side in (_LEADING, _TRAILING):
-        here = [out for out, f in features.items() if f.edge == side]
-        if here:
-            carried = F.coalesce(*[F.when(F.col(names[out]).isNotNull(), F.lit(True)) for out in here])
-            parts.append(
-                handed.filter(carried)
-                .select(*timeline.keys, _CHUNK, *[names[out] for out in here])
-                .withColumn(_EDGE, F.lit(side))
-            )
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
+    sides = sorted({f.edge for f in features.values()})
+    edges = handed.withColumn(_EDGE, F.explode(F.array(*[F.lit(side) for side in sides])))
+    edges = edges.select(
+        *timeline.keys,
+        _CHUNK,
+        _EDGE,
+        *[F.when(F.col(_EDGE) == f.edge, F.col(names[out])).alias(names[out]) for out, f in features.items()],
+    ).filter(reduce(lambda x, y: x | y, [F.col(n).isNotNull() for n in names.values()]))
+    merged = rows.withColumn(_EDGE, F.lit(_ROW)).unionByName(edges, allowMissingColumns=True)
     local = Window.partitionBy(*timeline.keys, _CHUNK).orderBy(_EDGE, *timeline.order)
     read = {out: f.read(names[out], local) for out, f in features.items()}
     return (
@@ -256,13 +253,13 @@ def fill_agreeing_gaps(
     )
 
 
-def calendar_flag_nearby(df: DataFrame, day: str, column: str, before: int, after: int) -> Column:
+def calendar_flag_nearby(day: str, column: str, before: int, after: int) -> Column:
     """OP-104: any flag within ``before``/``after`` rows. For one-row-per-day calendars."""
     frame = Window.orderBy(day).rowsBetween(-before, after)
     return F.when(F.sum(column).over(frame) > 0, 1).otherwise(0)
 
 
-def calendar_flag_recent(df: DataFrame, day: str, column: str, before: int) -> Column:
+def calendar_flag_recent(day: str, column: str, before: int) -> Column:
     """OP-105: flagged in the last ``before`` rows but not on this one."""
     frame = Window.orderBy(day).rowsBetween(-before, 0)
     return F.when((F.sum(column).over(frame) > 0) & (F.col(column) == 0), 1).otherwise(0)

@@ -4,13 +4,14 @@ calendar are small by nature."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from lakeops.functions.coding import flag
 from lakeops.operators.panel import calendar_columns, day_spine
 from lakeops.operators.reshape import melt
-from lakeops.operators.summaries import flag_above_quantile
+from lakeops.operators.summaries import calendar_quantile
 from lakeops.operators.timeline import calendar_flag_nearby, calendar_flag_recent
 
 
@@ -21,18 +22,18 @@ def calendar_dimension(bounds: DataFrame, fiscal_starts: Mapping[str, int] | Non
 
 
 def calendar_effects(
-    days: DataFrame, holiday: str, extremes: Mapping[str, tuple[str, str, float]], reach: int = 2
+    days: DataFrame, holiday: str, extremes: Mapping[str, tuple[str, str]], reach: int = 2
 ) -> DataFrame:
     """MART-33: days near a holiday, weekday flags and extreme-value flags.
 
-    ``extremes`` maps an output flag to (measure, probability, slot width).
+    ``days`` is read once per extreme: give it materialised when it summarises a fact.
+    ``extremes`` maps an output flag to (measure, probability).
     """
-    out = days.withColumn("near_holiday", calendar_flag_nearby(days, "day", holiday, reach, reach))
-    for name, (measure, probability, width) in extremes.items():
-        out = flag_above_quantile(out, measure, probability, width, name)
-    weekday = F.weekday("day")
+    flags = {"near_holiday": calendar_flag_nearby("day", holiday, reach, reach)}
+    for name, (measure, probability) in extremes.items():
+        flags[name] = flag(F.col(measure) >= calendar_quantile(days, measure, probability))
     names = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
-    return out.withColumns({n: flag(weekday == i) for i, n in enumerate(names)})
+    return days.withColumns({**flags, **{n: flag(F.weekday("day") == i) for i, n in enumerate(names)}})
 
 
 def melted_calendar(effects: DataFrame, flags: Sequence[str]) -> DataFrame:
@@ -41,22 +42,18 @@ def melted_calendar(effects: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 
 def pressure_flags(
-    calendar: DataFrame, counts: DataFrame, measures: Mapping[str, str], probability: str = "0.95", width: float = 1.0,
-    recent: int = 2,
+    calendar: DataFrame, counts: DataFrame, measures: Mapping[str, str], probability: str = "0.95", recent: int = 2
 ) -> DataFrame:
     """MART-32: days with many cases, and the quiet days right after them.
 
-    ``measures`` maps a count column to its output prefix.
+    ``counts`` has one row per day and is read once per measure: give it materialised when
+    it summarises a fact. ``measures`` maps a count column to its output prefix.
     """
-    out = calendar.join(counts, "day", "left")
-    peaks = []
-    for measure, prefix in measures.items():
-        out = flag_above_quantile(out, measure, probability, width, f"{prefix}_peak")
-        peaks.append(f"{prefix}_peak")
-    out = out.withColumns(
-        {f"{p}_recent": calendar_flag_recent(out, "day", p, recent) for p in peaks}
-    )
-    any_peak = None
-    for p in peaks:
-        any_peak = (F.col(p) == 1) if any_peak is None else any_peak | (F.col(p) == 1)
-    return out.withColumn("any_peak", flag(any_peak))
+    peaks = {
+        f"{prefix}_peak": flag(F.col(measure) >= calendar_quantile(counts, measure, probability))
+        for measure, prefix in measures.items()
+    }
+    out = calendar.join(counts, "day", "left").withColumns(peaks)
+    after = {f"{p}_recent": calendar_flag_recent("day", p, recent) for p in peaks}
+    any_peak = reduce(lambda x, y: x | y, [F.col(p) == 1 for p in peaks])
+    return out.withColumns({**after, "any_peak": flag(any_peak)})

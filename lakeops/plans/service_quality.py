@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions.coding import flag
 from lakeops.operators.joins import band_join, first_per_key, join_back, rule_filter
@@ -46,18 +46,19 @@ def headways(
     """
     rows = passages.withColumn("actual_s", F.col(planned_s) + F.col(deviation_s))
     line = Timeline(tuple(keys), tuple(order), chunk)
-    rows = along(rows, line, {"planned_before": previous(planned_s), "actual_before": previous("actual_s")})
-    actual = F.col("actual_s") - F.col("actual_before")
+    rows = along(rows, line, {"__before": previous(F.struct(F.col(planned_s).alias("planned"), F.col("actual_s").alias("actual")))})
+    planned = F.col(planned_s) - F.col("__before.planned")
+    actual = F.col("actual_s") - F.col("__before.actual")
     measured = F.abs(actual) if absolute else actual
-    limit = F.col(planned_s) - F.col("planned_before") + tolerance_s
+    limit = planned + tolerance_s
     return rows.withColumns(
         {
-            "planned_headway": F.col(planned_s) - F.col("planned_before"),
+            "planned_headway": planned,
             "actual_headway": actual,
             "regular": flag(measured <= limit if inclusive else measured < limit),
-            "counted": flag(F.col("planned_before").isNotNull()),
+            "counted": flag(F.col("__before").isNotNull()),
         }
-    ).drop("planned_before", "actual_before")
+    ).drop("__before")
 
 
 def headway_rollup(rows: DataFrame, keys: Sequence[str], terminals: DataFrame | None = None,
@@ -146,7 +147,10 @@ def monitored_punctuality(
 def without_tail(points: DataFrame, chain: Sequence[str], order: Sequence[str], tail: int = 2,
                  chunk: Column | None = None) -> DataFrame:
     """MART-06: chain points less the last ``tail`` of each chain, with their rank and the
-    chain's size. Rank and size come from counts, not from a descending window."""
+    chain's size."""
     ranked = along(points, Timeline(tuple(chain), tuple(order), chunk), {"rank": position()})
-    sized = join_back(ranked, chain, points_in_chain=F.count(F.lit(1)))
+    if chunk is None:
+        sized = ranked.withColumn("points_in_chain", F.count(F.lit(1)).over(Window.partitionBy(*chain)))
+    else:
+        sized = join_back(ranked, chain, points_in_chain=F.count(F.lit(1)))
     return sized.filter(F.col("rank") <= F.col("points_in_chain") - tail)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.operators.joins import join_back
 from lakeops.operators.reshape import union_distinct
@@ -22,7 +22,9 @@ def chain_topology(
 ) -> DataFrame:
     """MART-12: previous point, distance from it, cumulative distance and point counts.
 
-    ``distances`` has (from_point, to_point, distance). The first point's predecessor is 0.
+    ``distances`` has (from_point, to_point, distance), one row per pair. The first point's
+    predecessor is 0. A chain's points are unique per position, so without ``chunk`` a
+    chain is a window group of its own.
     """
     line = Timeline(tuple(chain), (order,), chunk)
     linked = along(points, line, {"previous_point": previous(point, default=0)})
@@ -36,9 +38,14 @@ def chain_topology(
         .drop("from_point", "to_point", "distance")
     )
     summed = along(measured, line, {"__upto": running_total("leg", peers_share=True)})
-    counted = join_back(summed, chain, points_in_chain=F.count(point))
+    if chunk is None:
+        whole = Window.partitionBy(*chain)
+        counted = summed.withColumn("points_in_chain", F.count(point).over(whole))
+    else:
+        counted = join_back(summed, chain, points_in_chain=F.count(point))
     if period:
-        counted = join_back(counted, period, points_in_period=F.count(point))
+        sizes = points.groupBy(*period).agg(F.count(point).alias("points_in_period"))
+        counted = counted.join(sizes, list(period), "left")
     return counted.withColumns(
         {"leg": F.coalesce("leg", F.lit(0)), "distance_so_far": F.coalesce("__upto", F.lit(0))}
     ).drop("__upto")
@@ -46,11 +53,8 @@ def chain_topology(
 
 def termini(topology: DataFrame, chain: Sequence[str], point: str, order: str, size: str) -> DataFrame:
     """MART-11: first and last point of each chain."""
-    ends = [
-        topology.filter(F.col(order) == 1).select(*chain, point, F.col(order).alias("position")),
-        topology.filter(F.col(order) == F.col(size)).select(*chain, point, F.col(order).alias("position")),
-    ]
-    return union_distinct(ends)
+    ends = topology.filter((F.col(order) == 1) | (F.col(order) == F.col(size)))
+    return ends.select(*chain, point, F.col(order).alias("position")).distinct()
 
 
 def located_topology(
@@ -63,15 +67,14 @@ def located_topology(
     return topology.join(places, point, "left").withColumn(out, code)
 
 
-def valid_period(periods: DataFrame, day: Column, first: str, last: str, period: str) -> DataFrame:
-    """OP-80: the period valid on a day, as a one-row frame."""
-    return periods.filter((F.col(first) <= day) & (F.col(last) >= day)).agg(F.max(period).alias(period))
+def valid_period(periods: DataFrame, day: Column, first: str, last: str, period: str) -> Column:
+    """OP-80: the period valid on a day, as a scalar."""
+    return periods.filter((F.col(first) <= day) & (F.col(last) >= day)).agg(F.max(period).alias(period)).scalar()
 
 
 def in_latest_period(df: DataFrame, periods: DataFrame, period: str) -> DataFrame:
     """OP-80: rows of the latest period of a reference table."""
-    latest = periods.agg(F.max(period).alias(period))
-    return df.join(latest, period, "left_semi")
+    return df.filter(F.col(period) == periods.agg(F.max(period)).scalar())
 
 
 def line_reference(planned: Sequence[DataFrame], gis: DataFrame, ticketing: DataFrame, number: str) -> DataFrame:

@@ -8,6 +8,7 @@ from lakeops.functions import coding
 from lakeops.operators import joins, lookback as look, panel as panels
 from lakeops.plans import service_quality as sq, ticketing
 from lakeops.registry.base import PANEL, PASSAGES, money, panel, passages, query, second_of_day, table
+from lakeops.session import local_table
 from lakeops.sources import ingest
 
 # Hour bands of two service slices; touching bounds belong to both bands.
@@ -29,10 +30,10 @@ HOUR_BANDS = f"""hour_bands AS (
 
 
 def hour_bands(spark):
-    slices = spark.createDataFrame([("weekday",)], "slice string")
-    bridge = spark.createDataFrame(BRIDGE, "slice string, segment string")
-    segments = spark.createDataFrame(SEGMENT_BANDS, "segment string, band string")
-    bands = spark.createDataFrame(BANDS, "band string, band_from int, band_to int")
+    slices = local_table(spark, [("weekday",)], "slice string")
+    bridge = local_table(spark, BRIDGE, "slice string, segment string")
+    segments = local_table(spark, SEGMENT_BANDS, "segment string, band string")
+    bands = local_table(spark, BANDS, "band string, band_from int, band_to int")
     return sq.band_table(slices, segments, bridge, bands)
 
 
@@ -270,7 +271,7 @@ def period_valid_on_day(spark, d):
     orders = table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day")).withColumn("period", F.year("day"))
     periods = orders.groupBy("period").agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     valid = valid_period(periods, F.lit("1998-06-15").cast("date"), "lo", "hi", "period")
-    return orders.join(valid, "period", "left_semi").groupBy("period").agg(F.count(F.lit(1)).alias("orders"))
+    return orders.filter(F.col("period") == valid).groupBy("period").agg(F.count(F.lit(1)).alias("orders"))
 
 
 @query(

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.functions import clock, coding
+from lakeops.functions.validity import validity_end, validity_start
 from lakeops.operators import joins, summaries
 from lakeops.plans import incidents, revenue, ticketing
 from lakeops.registry.base import (
     PASSAGES, SALE_LINES, accounts, money, passages, products, query, sales, table,
 )
+from lakeops.session import local_table
 
 
 @query(
@@ -94,7 +96,7 @@ RULES_SQL = "(VALUES " + ", ".join(f"('{a}', {b})" for a, b in RULES) + ") r(lin
 
 
 def rules(spark):
-    return spark.createDataFrame(RULES, "line string, stop bigint")
+    return local_table(spark, RULES, "line string, stop bigint")
 
 
 @query(
@@ -236,7 +238,7 @@ def scale_repair(spark, d):
 def decimal_comma_parse(spark, d):
     text = table(spark, d, "lineitem").select(
         "l_returnflag",
-        F.regexp_replace(money("l_extendedprice").cast("string"), r"\.", ",").alias("price"),
+        F.translate(money("l_extendedprice").cast("string"), ".", ",").alias("price"),
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("day"),
     )
     return text.groupBy("l_returnflag").agg(
@@ -352,12 +354,20 @@ def sale_lines(spark, d, aligned):
     UNION ALL SELECT 'aligned', family, aligned_from, aligned_to, count(*) FROM lines GROUP BY 2, 3, 4""",
 )
 def validity_window(spark, d):
-    def counted(variant, aligned):
-        return sale_lines(spark, d, aligned).groupBy(
-            F.lit(variant).alias("variant"), "family", "business_from", "business_to"
-        ).agg(F.count(F.lit(1)).alias("lines"))
-
-    return counted("plain", False).unionByName(counted("aligned", True))
+    plain = sale_lines(spark, d, False).withColumnsRenamed({"business_from": "plain_from", "business_to": "plain_to"})
+    annual, monthly = _families()
+    sold, start, end = F.col("sold_on"), F.col("valid_from"), F.col("valid_to")
+    variants = F.array(
+        F.struct(F.lit("plain").alias("variant"), F.col("plain_from").alias("business_from"), F.col("plain_to").alias("business_to")),
+        F.struct(
+            F.lit("aligned").alias("variant"),
+            validity_start(sold, start, annual, True).alias("business_from"),
+            validity_end(sold, start, end, annual, monthly, True).alias("business_to"),
+        ),
+    )
+    return plain.select("family", F.explode(variants).alias("v")).groupBy(
+        "family", "v.variant", "v.business_from", "v.business_to"
+    ).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query(

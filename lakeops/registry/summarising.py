@@ -9,6 +9,7 @@ from lakeops.functions.geo import _parameters, conic_zone_cc, to_lonlat
 from lakeops.operators import panel as panels, quality, reshape, summaries
 from lakeops.plans import calendar as cal
 from lakeops.registry.base import money, query, table
+from lakeops.session import cut_lineage
 
 
 @query(
@@ -172,7 +173,7 @@ def first_three_months(spark, d):
 def latest_month_rows(spark, d):
     orders = table(spark, d, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
     counts = orders.groupBy("month", "o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
-    return counts.join(counts.agg(F.max("month").alias("month")), "month", "left_semi").drop("month")
+    return counts.filter(F.col("month") == orders.agg(F.max("month")).scalar()).drop("month")
 
 
 @query(
@@ -292,9 +293,9 @@ def _effects(spark, d):
     orders = table(spark, d, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
         F.count(F.lit(1)).alias("orders")
     )
-    days = order_calendar(spark, d).select("day").join(orders, "day", "left")
+    days = cut_lineage(order_calendar(spark, d).select("day").join(orders, "day", "left"))
     holiday = coding.flag((F.month("day") == 12) & (F.dayofmonth("day") == 25))
-    return cal.calendar_effects(days.withColumn("holiday", holiday), "holiday", {"busy": ("orders", "0.95", 1.0)})
+    return cal.calendar_effects(days.withColumn("holiday", holiday), "holiday", {"busy": ("orders", "0.95")})
 
 
 @query("calendar_effects", f"WITH {EFFECTS} SELECT * FROM effects")
@@ -324,6 +325,7 @@ def pressure_flags(spark, d):
     counts = table(spark, d, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(
         F.count_if(F.col("event_type") == "error").alias("errors"), F.count_if(F.col("event_type") == "signup").alias("signups")
     )
+    counts = cut_lineage(counts)
     return cal.pressure_flags(counts.select("day"), counts, {"errors": "error", "signups": "signup"}, "0.8")
 
 

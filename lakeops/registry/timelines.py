@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lakeops.functions.coding import flag
 from lakeops.operators import joins, timeline as tl
@@ -142,10 +142,6 @@ def row_number_first(spark, d):
     return tl.along(table(spark, d, "events"), line, {"rn": tl.position()}).select("user_id", "event_id", "event_type", "rn")
 
 
-def _chunk_by_point():
-    return tl.every_number("point_order", 1000)
-
-
 @query(
     "chain_without_tail",
     f"""WITH {CHAIN_POINTS}, r AS (SELECT chain, point_order, point, row_number() OVER (PARTITION BY chain ORDER BY point_order) AS rank,
@@ -154,7 +150,7 @@ def _chunk_by_point():
 )
 def chain_without_tail(spark, d):
     points = chain_points(spark, d).drop("length")
-    return sq.without_tail(points, ["chain"], ["point_order"], chunk=_chunk_by_point())
+    return sq.without_tail(points, ["chain"], ["point_order"])
 
 
 TOPOLOGY = f"""{CHAIN_POINTS},
@@ -171,7 +167,7 @@ def _topology(spark, d):
         F.col("l_suppkey").alias("from_point"), F.col("l_partkey").alias("to_point")
     ).agg(F.max("l_quantity").cast("long").alias("distance"))
     return topology.chain_topology(
-        chain_points(spark, d).drop("length"), pairs, ["chain"], "point_order", "point", ["point_order"], _chunk_by_point()
+        chain_points(spark, d).drop("length"), pairs, ["chain"], "point_order", "point", ["point_order"]
     )
 
 
@@ -186,7 +182,7 @@ def chain_neighbours_cumulative(spark, d):
     WHERE point_order = 1 OR point_order = points_in_chain""",
 )
 def termini(spark, d):
-    sized = joins.join_back(chain_points(spark, d), ["chain"], points_in_chain=F.count("point"))
+    sized = chain_points(spark, d).withColumn("points_in_chain", F.count("point").over(Window.partitionBy("chain")))
     return topology.termini(sized, ["chain"], "point", "point_order", "points_in_chain")
 
 
@@ -268,7 +264,7 @@ def _days(spark, d):
 )
 def centered_any(spark, d):
     days = _days(spark, d)
-    return days.select("day", "bad", tl.calendar_flag_nearby(days, "day", "bad", 2, 2).alias("near"))
+    return days.select("day", "bad", tl.calendar_flag_nearby("day", "bad", 2, 2).alias("near"))
 
 
 @query(
@@ -277,7 +273,7 @@ def centered_any(spark, d):
 )
 def trailing_recent(spark, d):
     days = _days(spark, d)
-    return days.select("day", "bad", tl.calendar_flag_recent(days, "day", "bad", 2).alias("recent"))
+    return days.select("day", "bad", tl.calendar_flag_recent("day", "bad", 2).alias("recent"))
 
 
 @query(

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,3 +59,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A small inline table whose exact size the optimizer knows.
+
+    Rows handed over as Python objects count as unboundedly large, which keeps Spark from
+    broadcasting them and may make it broadcast the other side of a join instead.
+    """
+    kind = T.StructType.fromDDL(schema)
+    listed = [dict(zip(kind.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(listed, schema=to_arrow_schema(kind)), kind)
