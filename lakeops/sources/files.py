@@ -37,6 +37,20 @@ def read_partitions(spark: SparkSession, root: str, paths: Sequence[str]) -> Dat
     return df.withColumns({n: F.col(n).cast("string") for n in names if n in df.columns}) if names else df
 
 
+# The encodings Spark's text readers accept.
+SPARK_ENCODINGS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
+
+
+def _byte_table(encoding: str) -> tuple[str, str]:
+    """Characters a one-byte encoding reads differently from ISO-8859-1: (read as, meant)."""
+    pairs = []
+    for byte in range(128, 256):
+        meant = bytes([byte]).decode(encoding, errors="ignore")
+        if meant and meant != chr(byte):
+            pairs.append((chr(byte), meant))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -45,13 +59,30 @@ def read_delimited(
     separator: str = ";",
     infer: bool = False,
 ) -> DataFrame:
-    """OP-05/06: delimited text with a header."""
+    """OP-05/06: delimited text with a header.
+
+    Other one-byte encodings (``cp1252``, say) are read as ISO-8859-1 and translated, by
+    column expression, on the executors.
+    """
     reader = spark.read.option("header", "true").option("sep", separator)
+    translated = encoding is not None and encoding.lower() not in SPARK_ENCODINGS
     if encoding:
-        reader = reader.option("encoding", encoding)
+        reader = reader.option("encoding", "iso-8859-1" if translated else encoding)
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", str(infer).lower()).csv(path)
+        df = reader.schema(schema).csv(path)
+    else:
+        df = reader.option("inferSchema", str(infer).lower()).csv(path)
+    if not translated:
+        return df
+    read, meant = _byte_table(encoding)
+    names = str.maketrans(read, meant)
+    return df.select(
+        *[
+            (F.translate(F.col(f"`{f.name}`"), read, meant) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`"))
+            .alias(f.name.translate(names))
+            for f in df.schema
+        ]
+    )
 
 
 def read_any(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
