@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.functions.clock import epoch_micros, epoch_seconds
 from lakeops.operators.timeline import Timeline, along, last_known, next_known, running_total
+from lakeops.session import size_checked
 
 
 def clean_key(column: Column, kind: str | None = None) -> Column:
@@ -34,8 +35,10 @@ def band_join(
 
     A band is repeated for every slot of ``width`` it touches, a fact has one slot; the
     exact predicate afterwards makes the result independent of the width. Both bounds
-    are inclusive, so touching bands both match.
+    are inclusive, so touching bands both match. Bands are checked for size: few enough,
+    they are joined in place; too many, both sides are shuffled by slot.
     """
+    bands = size_checked(bands)
     slot = F.floor(F.col("__value") / width).cast("long")
     left = facts.withColumn("__value", value).withColumn("__slot", slot)
     right = bands.withColumn(

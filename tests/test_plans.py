@@ -31,7 +31,7 @@ def test_no_nested_loops_or_row_python(no_broadcast, name):
 
 
 def test_inline_rules_are_the_broadcast_side(spark):
-    text = plan(QUERIES["hour_band_range_join"](spark, FOLDER))
+    text = plan(QUERIES["hour_band_range_join"](spark, FOLDER.replace("sf0.001", "sf0.1")))
     assert "BuildRight" in text and "BuildLeft" not in text and "SortMergeJoin" not in text
 
 
