@@ -34,8 +34,12 @@ class Timeline:
     order: tuple[str, ...]
     chunk: Column | None = None
 
-    def window(self):
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+    def window(self, backwards: bool = False, leading: Sequence[str] = (), split: Sequence[str] = ()):
+        """``backwards`` reads the same rows from the end. A frame that ends at unbounded
+        following is evaluated anew for every row, which is quadratic; a running frame over
+        the reversed order is not."""
+        order = [*leading, *self.order]
+        return Window.partitionBy(*self.keys, *split).orderBy(*[F.col(c).desc() for c in order] if backwards else order)
 
 
 def every(column: str, seconds: int) -> Column:
@@ -51,7 +55,8 @@ def every_number(column: str, width: float) -> Column:
 @dataclass(frozen=True)
 class Feature:
     """What a feature needs: its input per row, the chunk summary, the value handed to
-    the next chunk, and the window expression that reads both."""
+    the next chunk, and the window expression that reads both. A trailing feature is handed
+    over and read backwards."""
 
     source: Column
     summarise: Callable[[str, Column], Column]
@@ -123,11 +128,11 @@ def next_known(column: str | Column) -> Feature:
     return Feature(
         source=source,
         summarise=lambda name, order: F.min_by(F.col(name), F.when(F.col(name).isNotNull(), order)),
-        hand_over=lambda name, chunks: F.first(name, ignorenulls=True).over(
-            chunks.rowsBetween(1, Window.unboundedFollowing)
+        hand_over=lambda name, chunks: F.last(name, ignorenulls=True).over(
+            chunks.rowsBetween(Window.unboundedPreceding, -1)
         ),
-        read=lambda name, window: F.first(name, ignorenulls=True).over(
-            window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        read=lambda name, window: F.last(name, ignorenulls=True).over(
+            window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ),
         edge=_TRAILING,
     )
@@ -143,8 +148,7 @@ def along(df: DataFrame, timeline: Timeline, features: Mapping[str, Feature]) ->
     columns = [c for c in df.columns if c not in features]
     rows = df.withColumns({names[out]: f.source for out, f in features.items()})
     if timeline.chunk is None:
-        window = timeline.window()
-        read = {out: f.read(names[out], window) for out, f in features.items()}
+        read = {out: f.read(names[out], timeline.window(f.edge == _TRAILING)) for out, f in features.items()}
         return rows.select(*columns, *[c.alias(out) for out, c in read.items()])
 
     rows = rows.withColumn(_CHUNK, timeline.chunk)
@@ -152,11 +156,11 @@ def along(df: DataFrame, timeline: Timeline, features: Mapping[str, Feature]) ->
     summary = rows.groupBy(*timeline.keys, _CHUNK).agg(
         *[f.summarise(names[out], order).alias(names[out]) for out, f in features.items()]
     )
-    chunks = Window.partitionBy(*timeline.keys).orderBy(_CHUNK)
+    whole = Timeline(timeline.keys, (_CHUNK,))
     handed = summary.select(
         *timeline.keys,
         _CHUNK,
-        *[f.hand_over(names[out], chunks).alias(names[out]) for out, f in features.items()],
+        *[f.hand_over(names[out], whole.window(f.edge == _TRAILING)).alias(names[out]) for out, f in features.items()],
     )
     sides = sorted({f.edge for f in features.values()})
     edges = handed.withColumn(_EDGE, F.explode(F.array(*[F.lit(side) for side in sides])))
@@ -167,8 +171,9 @@ def along(df: DataFrame, timeline: Timeline, features: Mapping[str, Feature]) ->
         *[F.when(F.col(_EDGE) == f.edge, F.col(names[out])).alias(names[out]) for out, f in features.items()],
     ).filter(reduce(lambda x, y: x | y, [F.col(n).isNotNull() for n in names.values()]))
     merged = rows.withColumn(_EDGE, F.lit(_ROW)).unionByName(edges, allowMissingColumns=True)
-    local = Window.partitionBy(*timeline.keys, _CHUNK).orderBy(_EDGE, *timeline.order)
-    read = {out: f.read(names[out], local) for out, f in features.items()}
+    read = {
+        out: f.read(names[out], timeline.window(f.edge == _TRAILING, [_EDGE], [_CHUNK])) for out, f in features.items()
+    }
     return (
         merged.select(*columns, _EDGE, *[c.alias(out) for out, c in read.items()])
         .filter(F.col(_EDGE) == _ROW)
