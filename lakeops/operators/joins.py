@@ -80,7 +80,8 @@ def nearest_event(
     takes the earlier event; events at one instant take the first in ``event_order``.
     """
     at = "__at"
-    marks = events.select(
+    # Keys and times compare as in SQL: a null matches nothing.
+    marks = events.dropna(subset=[*keys, event_time]).select(
         *keys,
         F.col(event_time).alias(at),
         F.struct(
@@ -139,7 +140,8 @@ def count_in_ranges(
     sides = spans.select(*keys, F.col(span_id).alias("__id"), F.explode(ends).alias("__end")).select(
         *keys, "__id", "__end.*"
     )
-    marks = points.select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind")).withColumn("__one", F.lit(1))
+    marks = points.dropna(subset=[*keys, at]).select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind"))
+    marks = marks.withColumn("__one", F.lit(1))
     merged = sides.unionByName(marks, allowMissingColumns=True)
     merged = merged.withColumn("__slice", F.floor(epoch_seconds(F.col("__at")) / chunk_s).cast("long"))
     line = Timeline(tuple(keys), ("__at", "__kind"), F.col("__slice"))

@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakeops.session import size_checked
+
 
 def conditional_counts(conditions: Mapping[str, Column]) -> list[Column]:
     """OP-89: one conditional count per entry."""
@@ -42,7 +44,8 @@ def exact_quantiles(
     Values are counted per slot of ``width`` (one row per group and slot after the map-side
     combine) to find the slot holding each wanted rank; that slot is counted again in
     ``refine`` finer slots; only the last slot's distinct values are ranked one by one. No
-    group's values are ever gathered. Give ``refine=None`` where a slot holds few distinct
+    group's values are ever gathered. Slots in use are checked for size: few, they filter
+    the values in place; many, both sides are shuffled by group and slot. Give ``refine=None`` where a slot holds few distinct
     values anyway. Probabilities are decimal text, so ranks carry no rounding.
     """
     groups = list(groups)
@@ -73,6 +76,7 @@ def exact_quantiles(
             "__name",
             (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
         )
+        targets = size_checked(targets)
         on = reduce(lambda x, y: x & y, [values[c].eqNullSafe(targets[f"__t_{c}"]) for c in (*groups, *found)])
         finer = values.join(targets, on).groupBy(*groups, "__name", "rank", *found, slot).agg(F.count(F.lit(1)).alias("n"))
         ordered = Window.partitionBy(*groups, "__name").orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)

@@ -83,8 +83,6 @@ def instalment_export(
     listed = ordered_text(live, ["customer_id"], "address", "addresses", ";")
     counted = with_count(plans, instalments, ["plan_id"], "instalments")
     counted = with_count(counted, instalments.filter(F.col("status") == "paid"), ["plan_id"], "paid")
-    return (
-        counted.join(customers, "customer_id", "left")
-        .join(first.select("customer_id", F.col("address").alias("first_address")), "customer_id", "left")
-        .join(listed, "customer_id", "left")
-    )
+    # One row per payer first: the plans, where a payer may be frequent, are joined once.
+    payers = customers.join(first.select("customer_id", F.col("address").alias("first_address")), "customer_id", "full")
+    return counted.join(payers.join(listed, "customer_id", "full"), "customer_id", "left")

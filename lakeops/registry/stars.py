@@ -432,6 +432,19 @@ def monthly_sales(spark, d):
     return revenue.sales_by_period(lines, "sold_on", ["family", "account"])
 
 
+@query(
+    "validations_by_stop",
+    """SELECT CAST(l_shipdate AS DATE) AS day, s_name AS stop_name, n_name AS area, count(*) AS validations
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
+    WHERE l_returnflag IN ('A', 'R') AND n_name IS NOT NULL GROUP BY 1, 2, 3""",
+)
+def validations_by_stop(spark, d):
+    dims = [(table(spark, d, "supplier"), "l_suppkey", "s_suppkey"), (table(spark, d, "nation"), "s_nationkey", "n_nationkey")]
+    accepted = F.col("l_returnflag").isin("A", "R") & F.col("n_name").isNotNull()
+    keys = {"day": F.col("l_shipdate").cast("date"), "stop_name": F.col("s_name"), "area": F.col("n_name")}
+    return ticketing.validations_by(table(spark, d, "lineitem"), dims, accepted, keys)
+
+
 @query(
     "daily_distinct",
     """SELECT CAST(ts AS DATE) AS day, count(*) AS validations, count(DISTINCT user_id) AS cards FROM events GROUP BY 1""",

@@ -464,3 +464,57 @@ def scalar_functions(spark, d):
         F.col("o_totalprice").cast("bigint").alias("whole"),
         F.weekofyear("o_orderdate").alias("week"),
     )
+
+
+@query(
+    "clock_functions",
+    """SELECT event_id, epoch_us(date_trunc('minute', ts)) // 1000000 AS minute_s, strftime(ts, '%H:%M') AS clock, date_part('hour', ts) AS hour_part,
+      hour(ts) * 100 + minute(ts) AS hhmm, year(ts) * 10000 + month(ts) * 100 + day(ts) + quarter(ts) AS day_number,
+      epoch_us(ts) // 1000000 - epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP)) // 1000000 AS into_day, strftime(ts, '%A %B') AS names,
+      dayofweek(ts) + 1 AS sunday_first, isodow(ts) - 1 AS monday_zero, day(ts) + dayofyear(ts) AS day_sums, strftime(ts, '%Y-%m') AS month_key,
+      strptime(strftime(ts, '%d/%m/%Y'), '%d/%m/%Y')::DATE AS parsed_day, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS from_seconds FROM events""",
+)
+def clock_functions(spark, d):
+    ts = F.col("ts")
+    instant = ts.cast("timestamp")
+    text = F.date_format(ts, "yyyy-MM-dd HH:mm")
+    seconds = F.unix_seconds(instant)
+    return table(spark, d, "events").select(
+        "event_id",
+        F.unix_timestamp(text, "yyyy-MM-dd HH:mm").alias("minute_s"),
+        F.from_unixtime(seconds, "HH:mm").alias("clock"),
+        F.date_part(F.lit("HOUR"), ts).alias("hour_part"),
+        (F.hour(ts) * 100 + F.minute(ts)).alias("hhmm"),
+        (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts) + F.quarter(ts)).alias("day_number"),
+        (seconds - F.unix_seconds(ts.cast("date").cast("timestamp"))).alias("into_day"),
+        F.date_format(ts, "EEEE MMMM").alias("names"),
+        F.dayofweek(ts).alias("sunday_first"),
+        F.weekday(ts).alias("monday_zero"),
+        (F.dayofmonth(ts) + F.dayofyear(ts)).alias("day_sums"),
+        F.substring(ts.cast("date").cast("string"), 1, 7).alias("month_key"),
+        F.to_date(F.date_format(ts, "dd/MM/yyyy"), "dd/MM/yyyy").alias("parsed_day"),
+        F.timestamp_seconds(seconds).cast("timestamp_ntz").alias("from_seconds"),
+    )
+
+
+@query(
+    "nested_functions",
+    """SELECT user_id, count(DISTINCT event_type) AS kinds, max(CAST(json_extract_string(props, '$.k') AS INT)) AS largest_k,
+      max(event_type[1:1]) AS last_initial, CAST(sum(length(upper(event_type))) AS BIGINT) AS letters,
+      CAST(sum(CASE WHEN starts_with(event_type, 'c') OR event_type ILIKE 'VIEW%' THEN 1 ELSE 0 END) AS BIGINT) AS web,
+      max(abs(CAST(trunc(value) AS INT) - 250)) AS spread, max('{"k":' || CAST(user_id AS VARCHAR) || '}') AS as_json,
+      max([user_id, event_id][2]) AS second_item, max(round(value)) AS rounded FROM events GROUP BY 1""",
+)
+def nested_functions(spark, d):
+    kind = F.col("event_type")
+    return table(spark, d, "events").groupBy("user_id").agg(
+        F.size(F.collect_set("event_type")).cast("long").alias("kinds"),
+        F.max(F.from_json("props", "k int")["k"]).alias("largest_k"),
+        F.max(F.substr(kind, F.lit(1), F.lit(1))).alias("last_initial"),
+        F.sum(F.length(F.upper(F.concat(F.trim(kind), F.rtrim(F.lit("  ")))))).cast("long").alias("letters"),
+        F.sum(F.when(F.startswith(kind, F.lit("c")) | kind.ilike("VIEW%"), 1).otherwise(0)).alias("web"),
+        F.max(F.abs(F.col("value").cast("int") - 250)).alias("spread"),
+        F.max(F.to_json(F.struct(F.col("user_id").alias("k")))).alias("as_json"),
+        F.max(F.array("user_id", "event_id")[1]).alias("second_item"),
+        F.max(F.round("value")).alias("rounded"),
+    )

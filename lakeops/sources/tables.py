@@ -144,14 +144,26 @@ def maintenance_statements(spark: SparkSession, database: str, properties: dict[
 
 
 def export_delimited(
-    df: DataFrame, path: str, separator: str = ";", encoding: str = "UTF-8", single_file: bool = True
+    df: DataFrame, path: str, separator: str = ";", encoding: str = "UTF-8", single_file: bool = False
 ) -> None:
-    """OP-22: delimited export with a header. ``single_file`` is for report-sized results:
-    it writes from one task."""
+    """OP-22: delimited export with a header in every file. ``single_file`` is for
+    report-sized results only: it writes from one task."""
     out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", "true").option("sep", separator).option("encoding", encoding).csv(path)
 
 
+def cache_now(df: DataFrame) -> DataFrame:
+    """OP-23: eager cache."""
+    kept = df.persist()
+    kept.count()
+    return kept
+
+
+def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
+    """OP-10: a table by path or by catalog name."""
+    return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(_quoted(name_or_path))
+
+
 def cache_as(df: DataFrame, name: str) -> DataFrame:
     """OP-23: named cache."""
     df.createOrReplaceTempView(name)

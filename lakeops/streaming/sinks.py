@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +98,18 @@ def run_available(query: StreamingQuery, timeout_s: int | None = None) -> Stream
     return query
 
 
+def wait_until_ready(query: StreamingQuery, batches: int = 1, timeout_s: float = 60.0) -> bool:
+    """OP-49: wait until a running query has finished some batches."""
+    deadline = time.monotonic() + timeout_s
+    while time.monotonic() < deadline:
+        if query.exception() is not None or not query.isActive:
+            return False
+        if len(query.recentProgress) >= batches:
+            return True
+        time.sleep(0.1)
+    return False
+
+
 def active_queries(spark: SparkSession) -> dict[str, StreamingQuery]:
     """OP-143."""
     return {q.name or q.id: q for q in spark.streams.active}

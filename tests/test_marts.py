@@ -167,8 +167,9 @@ def test_accounts_without_sales_stay(spark):
 def test_boarding_needs_the_vehicle(spark):
     t = dt.datetime(2024, 1, 1, 12)
     validations = spark.createDataFrame([(1, t, "n", "1"), (2, t, "s", "1"), (3, t, "n", "404")], "id int, validated_at timestamp_ntz, source string, vehicle_code string")
+    # The third validation knows no vehicle; the passage of an unknown vehicle is not its own.
     vehicles = spark.createDataFrame([("1", "2", "F1"), ("3", "1", "F2")], "ca string, cb string, fleet_code string")
-    stops = spark.createDataFrame([("F1", t - dt.timedelta(seconds=30), 1, "X"), ("F2", t + dt.timedelta(minutes=5), 2, "Y")],
+    stops = spark.createDataFrame([("F1", t - dt.timedelta(seconds=30), 1, "X"), ("F2", t + dt.timedelta(minutes=5), 2, "Y"), (None, t, 3, "Z")],
                                   "fleet_code string, arrived_at timestamp_ntz, passage_id int, stop string")
     out = ticketing.boarding_stops(validations, vehicles, stops, {"n": "ca", "s": "cb"}, ["stop"])
     assert {r["id"]: (r["fleet_code"], r["stop"]) for r in out.collect()} == {1: ("F1", "X"), 2: ("F2", "Y"), 3: (None, None)}

@@ -110,10 +110,15 @@ def test_export_compact_and_cache(spark, tmp_path):
     tables.overwrite(df, str(tmp_path / "small"))
     tables.compact(spark, str(tmp_path / "small"), str(tmp_path / "big"), 2, ["id"])
     assert quality.file_stats(spark.read.parquet(str(tmp_path / "big"))).first()["files"] == 2
-    tables.export_delimited(df, str(tmp_path / "out"))
+    tables.export_delimited(df, str(tmp_path / "out"), single_file=True)
     parts = list((tmp_path / "out").glob("*.csv"))
     assert len(parts) == 1 and parts[0].read_text().splitlines()[0] == "id"
     assert tables.cache_as(df, "named").count() == 100
+    assert tables.cache_now(df).is_cached and df.unpersist() is df
+    tables.save_mart(df, "mart_t")
+    tables.save_mart(df.limit(3), "mart_t")
+    assert tables.read_table(spark, "mart_t").count() == 3 and tables.read_table(spark, str(tmp_path / "big")).count() == 100
+    tables.drop_with_files(spark, "mart_t")
     spark.catalog.uncacheTable("named")
     assert cut_lineage(df).count() == 100
     assert scratch_path(spark, "x").startswith(shared_dir(spark))

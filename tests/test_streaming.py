@@ -121,10 +121,11 @@ def test_query_management(spark, tmp_path):
     started = sources.start_each(["one", "two"], start)
     assert set(sinks.active_queries(spark)) == {"one", "two"}
     assert sinks.find_query(spark, "one").id == started["one"].id and sinks.find_query(spark, "none") is None
+    assert sinks.wait_until_ready(started["two"], timeout_s=30)
     started["one"].processAllAvailable()
     assert sum(p["rows"] for p in sinks.progress_rows(started["one"])) == 1
     sinks.stop_all(spark)
-    assert not sinks.active_queries(spark)
+    assert not sinks.active_queries(spark) and not sinks.wait_until_ready(started["one"])
 
 
 def test_triggers():
