@@ -98,7 +98,8 @@ def merge_by_hash(
 ) -> DataFrame:
     """OP-32: a known content hash only refreshes its load columns, a new one is inserted."""
     on = [key] if bucket is None else [key, bucket]
-    fresh = updates.select(*on, *[F.col(c).alias(f"__new_{c}") for c in refreshed], F.lit(True).alias("__hit"))
+    # One row per content, so rows repeated in a load do not multiply target rows.
+    fresh = updates.groupBy(*on).agg(*[F.max(c).alias(f"__new_{c}") for c in refreshed]).withColumn("__hit", F.lit(True))
     old = target.join(fresh, on, "left")
     old = old.withColumns(
         {

@@ -468,7 +468,7 @@ def scalar_functions(spark, d):
 
 @query(
     "clock_functions",
-    """SELECT event_id, epoch_us(date_trunc('minute', ts)) // 1000000 AS minute_s, strftime(ts, '%H:%M') AS clock, date_part('hour', ts) AS hour_part,
+    """SELECT event_id, hour(ts) * 3600 + minute(ts) * 60 AS minute_s, strftime(ts, '%H:%M') AS clock, date_part('hour', ts) AS hour_part,
       hour(ts) * 100 + minute(ts) AS hhmm, year(ts) * 10000 + month(ts) * 100 + day(ts) + quarter(ts) AS day_number,
       epoch_us(ts) // 1000000 - epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP)) // 1000000 AS into_day, strftime(ts, '%A %B') AS names,
       dayofweek(ts) + 1 AS sunday_first, isodow(ts) - 1 AS monday_zero, day(ts) + dayofyear(ts) AS day_sums, strftime(ts, '%Y-%m') AS month_key,
@@ -481,7 +481,7 @@ def clock_functions(spark, d):
     seconds = F.unix_seconds(instant)
     return table(spark, d, "events").select(
         "event_id",
-        F.unix_timestamp(text, "yyyy-MM-dd HH:mm").alias("minute_s"),
+        (F.unix_timestamp(text, "yyyy-MM-dd HH:mm") - F.unix_seconds(ts.cast("date").cast("timestamp"))).alias("minute_s"),
         F.from_unixtime(seconds, "HH:mm").alias("clock"),
         F.date_part(F.lit("HOUR"), ts).alias("hour_part"),
         (F.hour(ts) * 100 + F.minute(ts)).alias("hhmm"),

@@ -132,6 +132,18 @@ def merge_metrics(spark, d):
     return upsert.merge_metrics(_hash_merge(spark, d))
 
 
+@query(
+    "audited_load",
+    f"""WITH {HASH_MERGE} SELECT event_id, event_type, user_id, value, day, row_key, row_key[1:1] AS row_bucket, first_load_id, last_load_id FROM m""",
+)
+def audited_load(spark, d):
+    path = scratch_path(spark, "audited")
+    events = _events(spark, d).withColumnsRenamed({"event_id": "Event ID", "event_type": "Event-Type"})
+    ingest.load(spark, events.filter(F.col("day") < F.lit("2024-01-20").cast("date")), path, "load-1", "reload")
+    ingest.load(spark, events.filter(F.col("day") >= F.lit("2024-01-10").cast("date")), path, "load-2", "append")
+    return spark.read.parquet(path)
+
+
 @query(
     "null_safe_hash",
     """SELECT doc_id, sha256(concat_ws('||', CAST(doc_id AS VARCHAR), coalesce(CAST(quality AS VARCHAR), '~'), coalesce(CAST(toxic AS VARCHAR), '~'))) AS row_key

@@ -6,7 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakeops.operators.upsert import upsert_evolving
+from lakeops.functions.coding import slug_columns
+from lakeops.functions.hashing import with_identity
+from lakeops.operators.upsert import INSERTED, merge_by_hash, merge_metrics, upsert_evolving
+from lakeops.session import scratch_path
+from lakeops.sources.tables import overwrite, path_exists
 
 # Load treatments and what they do to the target.
 TREATMENTS = {
@@ -68,6 +72,31 @@ def with_dataset(files: DataFrame, roots: DataFrame, path: str = "file_path", se
     )
 
 
+def prepare(df: DataFrame, load_id: str, null_token: str | None = None) -> DataFrame:
+    """OP-40..42: slugged names, content hash, bucket and load ids."""
+    return with_identity(slug_columns(df), load_id, null_token=null_token)
+
+
+def load(
+    spark: SparkSession, df: DataFrame, path: str, load_id: str, treatment: str, null_token: str | None = None
+) -> DataFrame:
+    """OP-32..34: bring one landing frame into a bucketed table and report what happened.
+
+    Overwriting treatments replace the table; merging ones refresh the load id of known
+    rows and insert new ones, staged in the shared folder. Returns one row of metrics.
+    """
+    prepared = prepare(df, load_id, null_token)
+    staging = scratch_path(spark, "load")
+    if action_for(treatment) == "overwrite" or not path_exists(spark, path):
+        merged = prepared.withColumn("_op", F.lit(INSERTED))
+    else:
+        merged = merge_by_hash(spark.read.parquet(path).select(*prepared.columns), prepared, with_op=True)
+    merged.write.parquet(staging)
+    staged = spark.read.parquet(staging)
+    overwrite(staged.drop("_op"), path, ["row_bucket"])
+    return merge_metrics(staged).withColumn("load_id", F.lit(load_id))
+
+
 def log_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 

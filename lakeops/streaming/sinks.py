@@ -16,10 +16,11 @@ def stateful_session(spark: SparkSession, partitions: int | None = None) -> Spar
     """OP-145: a session whose state is spread over as many partitions as there are cores.
 
     The partition count of a stateful query is fixed at its first start; a session of its
-    own leaves the caller's settings alone.
+    own leaves the caller's settings alone. Its zone is UTC, so windows over zone-less
+    timestamps, which a stream has to turn into instants, keep to their own clock.
     """
     session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
     return session
 

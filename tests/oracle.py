@@ -66,10 +66,12 @@ def main() -> None:
 
     folder = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = build_session(
-        "oracle", master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-                                        "spark.sql.warehouse.dir": "/tmp/lakeops-tests-warehouse"}
-    )
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
+    conf["spark.sql.warehouse.dir"] = "/tmp/lakeops-tests-warehouse"
+    conf["spark.sql.session.timeZone"] = os.environ.get("ORACLE_ZONE", "UTC")
+    if os.environ.get("ORACLE_PARTITIONS"):
+        conf["spark.sql.shuffle.partitions"] = os.environ["ORACLE_PARTITIONS"]
+    spark = build_session("oracle", master="local[8]", **conf)
     spark.sparkContext.setLogLevel("OFF")
     con, oracle = connect(folder), e.oracle_sql()
     bad = 0

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +84,9 @@ def test_upsert_survives_duplicate_files(spark, tmp_path):
     run()
     shutil.copy(src / "1.json", src / "copy.json")
     write(src, "3.json", [(at(3), "b", 9), (at(3), "c", 9)])
+    # Files are taken in order of their modification time.
+    for name, back in (("copy.json", 60), ("3.json", 30)):
+        os.utime(src / name, (time.time() - back,) * 2)
     run()
     assert rows(spark.read.parquet(out).select("action", "n")) == [("a", 2), ("b", 9), ("c", 9)]
 

@@ -146,3 +146,17 @@ def test_file_time(spark):
     df = spark.createDataFrame([("a_20240102_030405.csv", when), ("a.csv", when), ("a_20241399_030405.csv", when)], "p string, m timestamp")
     out = df.select(ingest.file_time(F.col("p"), F.col("m")).cast("string").alias("t")).collect()
     assert [r["t"] for r in out] == ["2024-01-02 03:04:05", "2024-05-06 07:08:09", "2024-05-06 07:08:09"]
+
+
+def test_load_twice_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "`Row ID` int, v string")
+    assert ingest.load(spark, first, path, "l1", "append").first()["rows_inserted"] == 3
+    again = ingest.load(spark, first, path, "l2", "append").first().asDict()
+    assert again == {"rows_kept": 0, "rows_updated": 3, "rows_inserted": 0, "load_id": "l2"}
+    more = ingest.load(spark, spark.createDataFrame([(3, "c")], "`Row ID` int, v string"), path, "l3", "delta").first().asDict()
+    assert more == {"rows_kept": 3, "rows_updated": 0, "rows_inserted": 1, "load_id": "l3"}
+    got = rows(spark.read.parquet(path), "row_id", "v", "first_load_id", "last_load_id")
+    assert got == sorted([(1, "a", "l1", "l2"), (2, None, "l1", "l2"), (2, None, "l1", "l2"), (3, "c", "l3", "l3")], key=str)
+    ingest.load(spark, first.limit(1), path, "l4", "truncate_load")
+    assert spark.read.parquet(path).count() == 1
