@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeops.functions.clock import epoch_micros, epoch_seconds
-from lakeops.operators.timeline import Timeline, along, last_known, next_known, running_total
+from lakeops.functions.clock import epoch_micros
+from lakeops.operators.timeline import Timeline, along, fitted, last_known, next_known, running_total
 from lakeops.session import size_checked
 
 
@@ -69,7 +69,8 @@ def nearest_event(
     back_s: float,
     ahead_s: float,
     ahead_weight: int = 10,
-    chunk_s: int = 3600,
+    chunk_s: int = 86400,
+    chunk_rows: int = 250_000,
 ) -> DataFrame:
     """OP-76: the cheapest event around each subject row; rows without one are kept.
 
@@ -78,6 +79,8 @@ def nearest_event(
     grows with the distance, so the winner is the last event before or the first event
     after: two fills along the merged timeline, never a pair per candidate. Equal cost
     takes the earlier event; events at one instant take the first in ``event_order``.
+    Chunks start at ``chunk_s`` and narrow until none holds more than about ``chunk_rows``
+    rows.
     """
     at = "__at"
     # Keys and times compare as in SQL: a null matches nothing.
@@ -96,7 +99,10 @@ def nearest_event(
     )
     rows = subjects.withColumn(at, F.col(subject_time)).withColumn("__kind", F.lit(1))
     merged = rows.unionByName(marks, allowMissingColumns=True)
-    merged = merged.withColumn("__chunk_at", F.floor(epoch_seconds(F.col(at)) / chunk_s).cast("long"))
+    moments = subjects.select(*keys, F.col(subject_time).alias(at)).unionByName(
+        events.select(*keys, F.col(event_time).alias(at))
+    )
+    merged = merged.withColumn("__chunk_at", fitted(moments, keys, at, chunk_s, chunk_rows))
     # __kind 0 sorts events before subjects of the same instant: distance 0 counts as "back".
     line = Timeline(tuple(keys), (at, "__kind"), F.col("__chunk_at"))
     seen = along(merged, line, {"__back": last_known("__event"), "__ahead": next_known("__event")})
@@ -126,11 +132,13 @@ def count_in_ranges(
     at: str,
     out: str,
     chunk_s: int = 86400,
+    chunk_rows: int = 250_000,
 ) -> DataFrame:
     """Number of points of the same key within each ``[low, high]`` span, both ends included.
 
     The count is the difference of two running totals on the merged timeline, so its cost
-    is the rows, never the pairs: right for big spans over big, skewed keys.
+    is the rows, never the pairs: right for big spans over big, skewed keys. Chunks start at
+    ``chunk_s`` and narrow until none holds more than about ``chunk_rows`` rows.
     """
     # Among equal instants a span opens before the points and closes after them.
     ends = F.array(
@@ -143,7 +151,8 @@ def count_in_ranges(
     marks = points.dropna(subset=[*keys, at]).select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind"))
     marks = marks.withColumn("__one", F.lit(1))
     merged = sides.unionByName(marks, allowMissingColumns=True)
-    merged = merged.withColumn("__slice", F.floor(epoch_seconds(F.col("__at")) / chunk_s).cast("long"))
+    moments = merged.select(*keys, "__at")
+    merged = merged.withColumn("__slice", fitted(moments, keys, "__at", chunk_s, chunk_rows))
     line = Timeline(tuple(keys), ("__at", "__kind"), F.col("__slice"))
     counted = along(merged, line, {"__upto": running_total(F.coalesce("__one", F.lit(0)), peers_share=True)})
     sign = F.when(F.col("__kind") == 2, 1).otherwise(-1)

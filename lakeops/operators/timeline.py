@@ -47,6 +47,24 @@ def every(column: str, seconds: int) -> Column:
     return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / seconds).cast("long")
 
 
+def fitted(
+    df: DataFrame, keys: Sequence[str], column: str, seconds: int, rows_per_chunk: int = 250_000
+) -> Column:
+    """:func:`every`, narrowed until the fullest chunk of the fullest key fits a task.
+
+    Counts rows per key and slice (a narrow scan, combined map-side) and halves at least
+    once per round; only the largest count reaches the driver. A second is the finest slice.
+    """
+    width = seconds
+    while width > 1:
+        slices = df.groupBy(*keys, every(column, width).alias("__slice")).agg(F.count(F.lit(1)).alias("__n"))
+        fullest = slices.agg(F.max("__n")).first()[0] or 0
+        if fullest <= rows_per_chunk:
+            break
+        width = max(1, int(width * rows_per_chunk / fullest / 2))
+    return every(column, width)
+
+
 def every_number(column: str, width: float) -> Column:
     """Chunk by fixed slices of a number."""
     return F.floor(F.col(column) / width).cast("long")
@@ -88,7 +106,10 @@ def previous(column: str | Column, default=None) -> Feature:
 
 
 def running_total(value: str | Column, peers_share: bool = False) -> Feature:
-    """OP-101/110: running sum; with ``peers_share`` rows of equal order show the same sum."""
+    """OP-101/110: running sum; with ``peers_share`` rows of equal order show the same sum.
+
+    Peers share a chunk. Where many rows are peers, sum them first and join the result back.
+    """
 
     def read(name, window):
         frame = window.rangeBetween if peers_share else window.rowsBetween

@@ -114,7 +114,7 @@ def nearest_event(spark, d):
         "user_id", F.col("ts").alias("at"), F.col("event_id").alias("passage_id"), F.col("event_type").alias("stop")
     )
     return joins.nearest_event(
-        subjects, targets, ["user_id"], "ts", "at", ["at", "passage_id"], ["passage_id", "stop"], 2 * 3600, 20 * 3600, chunk_s=86400
+        subjects, targets, ["user_id"], "ts", "at", ["at", "passage_id"], ["passage_id", "stop"], 2 * 3600, 20 * 3600
     ).select("event_id", "passage_id", "stop")
 
 

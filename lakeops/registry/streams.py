@@ -122,10 +122,11 @@ def sessions(spark, d):
     from lakeops.functions.clock import epoch_micros
     from lakeops.operators import timeline as tl
 
-    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.every("ts", 86400))
+    events = table(spark, d, "events")
+    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.fitted(events, ["user_id"], "ts", 864000))
     gap = 3 * 3600 * 1_000_000
     runs = tl.with_runs(
-        table(spark, d, "events"), line, "run", ["ts"],
+        events, line, "run", ["ts"],
         lambda before, here: epoch_micros(here("ts")) - epoch_micros(before("ts")) >= gap,
     )
     return runs.groupBy("user_id", "run").agg(

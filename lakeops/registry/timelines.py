@@ -11,13 +11,17 @@ from lakeops.registry.base import CHAIN_POINTS, PANEL, PASSAGES, chain_points, p
 from lakeops.registry.joining import HOUR_BANDS, hour_bands
 from lakeops.registry.stars import RULES_SQL, rules
 
-HOUR = 3600
+DAY = 86400
+
+
+def _by_user(events):
+    return tl.Timeline(("user_id",), ("ts", "event_id"), tl.fitted(events, ["user_id"], "ts", 10 * DAY))
 
 
 def _headways(spark, d, **options):
+    rows, keys = passages(spark, d), ["day", "line", "stop"]
     return sq.headways(
-        passages(spark, d), ["day", "line", "stop"], ["ts", "event_id"], "planned_s", "deviation_s",
-        chunk=tl.every("ts", HOUR), **options,
+        rows, keys, ["ts", "event_id"], "planned_s", "deviation_s", chunk=tl.fitted(rows, keys, "ts", DAY), **options
     )
 
 
@@ -75,9 +79,9 @@ def headway_signed(spark, d):
     FROM lagged JOIN hour_bands ON hour(ts) * 3600 + minute(ts) * 60 + second(ts) BETWEEN band_from AND band_to GROUP BY 1, 2""",
 )
 def tram_headway(spark, d):
+    rows, keys = passages(spark, d), ["day", "line", "stop"]
     rows = sq.tolerance_headways(
-        passages(spark, d), ["day", "line", "stop"], ["ts", "event_id"], "planned_s", "deviation_s",
-        chunk=tl.every("ts", HOUR),
+        rows, keys, ["ts", "event_id"], "planned_s", "deviation_s", chunk=tl.fitted(rows, keys, "ts", DAY)
     )
     return sq.with_band(rows, hour_bands(spark), second_of_day("ts")).groupBy("line", "band").agg(
         F.sum("regular_59").alias("regular_59"),
@@ -100,9 +104,9 @@ ranked AS (SELECT p.*, chain_stops, row_number() OVER (PARTITION BY p.user_id, d
       CASE WHEN rank_in_trip <= chain_stops - 2 THEN on_time ELSE 0 END AS on_time_reference FROM ranked""",
 )
 def punctuality(spark, d):
+    rows, trip = passages(spark, d), ["user_id", "day"]
     out = sq.punctuality(
-        passages(spark, d), ["user_id", "day"], ["ts", "event_id"], ["user_id"], "line", "deviation_s",
-        chunk=tl.every("ts", HOUR),
+        rows, trip, ["ts", "event_id"], ["user_id"], "line", "deviation_s", chunk=tl.fitted(rows, trip, "ts", DAY)
     )
     return out.select("event_id", "rank_in_trip", "chain_stops", "on_time", "is_reference", "on_time_reference")
 
@@ -138,8 +142,8 @@ def monitored_punctuality(spark, d):
     """SELECT user_id, event_id, event_type, rn FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)""",
 )
 def row_number_first(spark, d):
-    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.every("ts", 86400))
-    return tl.along(table(spark, d, "events"), line, {"rn": tl.position()}).select("user_id", "event_id", "event_type", "rn")
+    events = table(spark, d, "events")
+    return tl.along(events, _by_user(events), {"rn": tl.position()}).select("user_id", "event_id", "event_type", "rn")
 
 
 @query(
@@ -305,12 +309,12 @@ def running_totals(spark, d):
     from lakeops.registry.base import money
 
     rows = table(spark, d, "events").withColumns({"day": F.col("ts").cast("date"), "v": money("value")})
-    chunk = tl.every("ts", 86400)
+    chunk = tl.fitted(rows, ["event_type"], "ts", DAY)
     rows = tl.along(rows, tl.Timeline(("event_type",), ("ts", "event_id"), chunk), {"running": tl.running_total("v")})
-    rows = tl.along(
-        rows, tl.Timeline(("event_type",), ("day",), F.col("day")), {"upto_day": tl.running_total("v", peers_share=True)}
-    )
-    return rows.select("event_id", "running", "upto_day")
+    # Rows of one day are peers: sum them first, then run over days, of which there are few.
+    days = rows.groupBy("event_type", "day").agg(F.sum("v").alias("day_total"))
+    days = tl.along(days, tl.Timeline(("event_type",), ("day",)), {"upto_day": tl.running_total("day_total", peers_share=True)})
+    return rows.join(days, ["event_type", "day"]).select("event_id", "running", "upto_day")
 
 
 @query(
@@ -321,8 +325,8 @@ def running_totals(spark, d):
 )
 def forward_fill(spark, d):
     known = F.when(F.col("event_type").isin("purchase", "signup"), F.col("value"))
-    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.every("ts", 86400))
-    out = tl.along(table(spark, d, "events"), line, {"back": tl.last_known(known), "ahead": tl.next_known(known)})
+    events = table(spark, d, "events")
+    out = tl.along(events, _by_user(events), {"back": tl.last_known(known), "ahead": tl.next_known(known)})
     return out.select("event_id", "back", "ahead")
 
 
@@ -347,8 +351,7 @@ def two_sided_gap_fill(spark, d):
 )
 def fill_both_ways(spark, d):
     rows = table(spark, d, "events").withColumn("known", F.when(F.col("event_type") == "signup", F.col("value")))
-    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.every("ts", 86400))
-    return tl.fill_both_ways(rows, line, "known", "filled").select("event_id", "filled")
+    return tl.fill_both_ways(rows, _by_user(rows), "known", "filled").select("event_id", "filled")
 
 
 ISLANDS = f"""{PANEL},
@@ -391,13 +394,13 @@ def island_lengths(spark, d):
 def event_runs(spark, d):
     from lakeops.functions.clock import epoch_micros
 
-    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.every("ts", 86400))
+    events = table(spark, d, "events")
 
     def breaks(before, here):
         gap = epoch_micros(here("ts")) - epoch_micros(before("ts"))
         return (gap > 7_200_000_000) | (here("event_type") != before("event_type"))
 
-    return tl.with_runs(table(spark, d, "events"), line, "run", ["ts", "event_type"], breaks).select("event_id", "run")
+    return tl.with_runs(events, _by_user(events), "run", ["ts", "event_type"], breaks).select("event_id", "run")
 
 
 @query(

@@ -119,3 +119,17 @@ def test_chunked_plan_never_groups_rows_by_key_alone(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert any("__chunk" in w and "__edge" in w for w in windows) and len(windows) == 2
+
+
+@pytest.mark.parametrize("bound,fullest", [(10_000, 400), (50, 50), (1, 1)])
+def test_chunks_narrow_until_the_fullest_fits(spark, bound, fullest):
+    import datetime as dt
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [("hot", i, start + dt.timedelta(seconds=30 * i)) for i in range(400)] + [("cold", 1000, start)]
+    df = spark.createDataFrame(rows, "k string, i int, t timestamp_ntz")
+    chunk = tl.fitted(df, ["k"], "t", 864_000, bound)
+    sizes = [r["count"] for r in df.groupBy("k", chunk.alias("c")).count().collect()]
+    assert max(sizes) <= fullest
+    out = tl.along(df, tl.Timeline(("k",), ("t", "i"), chunk), {"rank": tl.position()})
+    assert [r["rank"] for r in out.filter("k = 'hot'").orderBy("i").collect()] == list(range(1, 401))
