@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = contract.SMOKE_DIR
-QUERIES = contract.queries()
+from lakeops.registry import QUERIES  # noqa: E402
 # These write tables or train a model when called.
 EAGER = ("stream_", "tree_", "factor_importance", "upsert_partitioned", "csv_", "json_round", "hive_", "compacted", "daily_drop", "lineage")
 
