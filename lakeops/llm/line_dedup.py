@@ -73,16 +73,17 @@ def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole).alias("raw"), F.split(whole, "\n", -1).alias("lines"))
 
 
-def frequent_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_docs: int = 10, batches: int = 4) -> DataFrame:
-    """Keys of non-blank lines found in at least ``min_docs`` rows, fed to the runs in ``batches`` parts."""
-    spark = docs.sparkSession
-    keys = _lines(docs, text, key).select(
-        F.pmod(F.col("raw"), F.lit(batches)).alias("batch"),
-        F.explode(F.array_distinct(F.transform("lines", line_key))).alias("key"),
-    )
-    counts = keys.filter("key IS NOT NULL").groupBy("batch", "key").agg(F.count(F.lit(1)).alias("n_docs"))
-    counts = stored(counts, "line-counts")
-    runs = LineRuns(spark, min_docs)
+def line_keys(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, raw, keys) of every row: the distinct keys of its non-blank lines."""
+    keys = F.array_compact(F.array_distinct(F.transform("lines", line_key)))
+    return _lines(docs, text, key).select("doc_id", "raw", keys.alias("keys"))
+
+
+def frequent_lines(keys: DataFrame, min_docs: int = 10, batches: int = 4) -> DataFrame:
+    """Keys held by at least ``min_docs`` rows of ``line_keys``, fed to the runs in ``batches`` parts."""
+    held = keys.select(F.pmod(F.col("raw"), F.lit(batches)).alias("batch"), F.explode("keys").alias("key"))
+    counts = stored(held.groupBy("batch", "key").agg(F.count(F.lit(1)).alias("n_docs")), "line-counts")
+    runs = LineRuns(keys.sparkSession, min_docs)
     for batch in range(batches):
         runs.add(counts.filter(F.col("batch") == batch).select("key", "n_docs"))
     out = runs.finish()
@@ -97,9 +98,10 @@ def drop_frequent_lines(docs: DataFrame, text: str = "text", key: str = "doc_id"
     blank lines are never dropped; a text whose lines all go becomes empty. Columns other than the
     key and the text are ignored.
     """
-    frequent = frequent_lines(docs, text, key, min_docs, batches)
+    keys = stored(line_keys(docs, text, key), "line-keys")
+    frequent = frequent_lines(keys, min_docs, batches)
     lines = _lines(docs, text, key)
-    held = lines.select("doc_id", "raw", F.explode(F.array_distinct(F.transform("lines", line_key))).alias("key")).filter("key IS NOT NULL")
+    held = keys.select("doc_id", "raw", F.explode("keys").alias("key"))
     drops = (
         held.join(frequent, "key")
         .groupBy("doc_id", "raw")
