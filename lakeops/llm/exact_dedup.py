@@ -123,7 +123,8 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", block
         (-F.col("n_points")).alias("o1"), F.col("doc_id").isNull().alias("o2"), F.col("doc_id").alias("doc_id"),
         F.col("raw").alias("o3"), F.col("chunk").alias("chunk"), F.col("row").alias("row"),
     )
-    groups = identified.groupBy("depth", "name").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
+    # Stored, so that the join is between two exchanges and a hot group can be split.
+    groups = stored(identified.groupBy("depth", "name").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size")), "groups")
     kept = (F.col("chunk") == F.col("first.chunk")) & (F.col("row") == F.col("first.row"))
     return identified.join(groups, ["depth", "name"]).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256", "raw"
