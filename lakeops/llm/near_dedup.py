@@ -9,14 +9,17 @@ around the similarity of the sets. 32 bands of 4 bins meet for a pair at the thr
 
 Equal sets are one node from the start. Nodes of a band bucket are verified against one leader, not
 against each other; what that links is one component, and only nodes of a bucket in different
-components are looked at again: under new leaders, and at last pair by pair, after nodes that cannot
-have a partner are taken out (too few of their shingles occur in any other open node). Every pair of
-a bucket is thus linked, decided, or excluded by a bound; nothing is capped or sampled.
+components are looked at again: under new leaders, and at last pair by pair, in the first band a pair
+shares. Before whole sets of such a pair are compared, one bit of each of 2048 bins has to agree as
+often as at the threshold, less five standard deviations (a pair at the threshold fails this once in
+three million). Nothing is capped or sampled. What remains quadratic is a comparison of 32 numbers
+for nodes of one bucket in different components; it moves and emits nothing unless they agree.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,8 @@ from lakeops.llm.common import components, discard, query, stored, table, text_s
 
 WORDS = 5
 BINS, ROWS = 128, 4
+#: Bins of the sketches that open pairs are compared by, one bit of each.
+LONG_BINS = 2048
 EMPTY = np.uint64(2**64 - 1)
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -50,23 +55,38 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
+def _ordered(hashed: np.ndarray, turn) -> np.ndarray:
+    """The round in the high 16 bits, the hash below: a value of an earlier round is smaller."""
+    return (hashed & np.uint64(2**48 - 1)) | (np.asarray(turn, np.uint64) << np.uint64(48))
+
+
 def sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     """One row of ``bins`` values a set; sets must not be empty."""
-    out = np.full(len(sets) * bins, EMPTY)
+    out = np.full((len(sets), bins), EMPTY)
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    low = np.uint64(2**55 - 1)
-    for turn in range(2 * bins):
-        hashed = _mixed(flat + np.uint64((turn + 1) * int(_MULTIPLIERS[0]) % 2**64))
-        value = (hashed & low) | (np.uint64(turn) << np.uint64(55))
-        bin_of = (hashed >> np.uint64(55)) % np.uint64(bins) if turn < bins else np.uint64(turn - bins)
-        np.minimum.at(out, owner * bins + bin_of.astype(np.int64), value)
-        open_ = (out.reshape(-1, bins) == EMPTY).any(axis=1)
-        if not open_.any():
-            break
-        still = open_[owner]
-        flat, owner = flat[still], owner[still]
-    return out.reshape(-1, bins)
+
+    def hashed(values: np.ndarray, turn) -> np.ndarray:
+        return _mixed(values + (np.asarray(turn, np.uint64) + np.uint64(1)) * _MULTIPLIERS[0])
+
+    active = np.arange(len(sets))
+    for turn in range(bins):
+        found = hashed(flat, [turn])
+        bin_of = ((found >> np.uint64(48)) % np.uint64(bins)).astype(np.int64)
+        np.minimum.at(out.reshape(-1), owner * bins + bin_of, _ordered(found, turn))
+        still = (out[active] == EMPTY).any(axis=1)
+        if not still.all():
+            active = active[still]
+            if not len(active):
+                return out
+            keep = np.isin(owner, active)
+            flat, owner = flat[keep], owner[keep]
+    # The rounds that fill one bin each, for all empty bins of a set at once.
+    for i in active.tolist():
+        empty = np.flatnonzero(out[i] == EMPTY)
+        values = hashed(sets[i][:, None], bins + empty[None, :])
+        out[i, empty] = _ordered(values, bins + empty[None, :]).min(axis=0)
+    return out
 
 
 def band_keys(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
@@ -116,30 +136,56 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
 
 
-def _labelled(members: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """Members with the component each node is in so far, and the components."""
+def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Members with the component each node is in so far."""
     if links is None:
-        return members.withColumn("component", F.col("node")), None
+        return members.withColumn("component", F.col("node"))
     found = stored(components(links), "components")
-    return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), found
+    out = stored(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
+    discard(found)
+    return out
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component."""
-    kinds = members.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-    return members.join(kinds.filter("c1 <> c2").select("key"), "key")
+def _open(labelled: DataFrame, turn: int) -> DataFrame:
+    """Members of the buckets that hold more than one component, each with a leader of its bucket.
+
+    The buckets are stored before the join, so that a hot one is split.
+    """
+    leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "component")).alias("led")
+    kinds = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), leader)
+    kinds = stored(kinds.filter("c1 <> c2").select("key", "led"), "buckets")
+    out = stored(labelled.join(kinds, "key"), "open")
+    discard(kinds)
+    return out
 
 
 def _fits(percent: int):
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
-def links_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 3) -> DataFrame | None:
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bit of each bin of a long sketch, 64 bits a number."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 200):
+            part = batch.slice(start, 200)
+            sets = [np.array(s, np.int64).view(np.uint64) for s in part.column("shingles").to_pylist()]
+            bits = (sketches(sets, LONG_BINS) & np.uint64(1)).astype(np.uint8)
+            packed = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(list(packed), pa.list_(pa.int64()))], names=["node", "bits"])
+
+
+def _most_different(percent: int) -> int:
+    """Bits in which two long sketches at the threshold differ, with five standard deviations to spare."""
+    share = (1 - percent / 100) / 2
+    return int(LONG_BINS * share + 5 * (LONG_BINS * share * (1 - share)) ** 0.5)
+
+
+def links_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 2) -> DataFrame | None:
     """Links (a, b) that connect all similar nodes (node, n, bands); None where no two share a bucket.
 
     ``sets_of(nodes)`` gives (node, shingles) of the nodes asked for.
     """
-    exploded = nodes.select("node", "n", F.explode("bands").alias("key"))
+    exploded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
     members = stored(exploded.join(shared, "key"), "members")
     if members.isEmpty():
@@ -148,11 +194,9 @@ def links_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 3) -> DataFr
     links = None
     for turn in range(rounds):
         # One leader a bucket; its pairs are decided, so it leaves the bucket.
-        labelled, _ = _labelled(members, links)
-        open_ = stored(_open(labelled), "open")
-        leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "component"))
-        led = stored(open_.join(open_.groupBy("key").agg(leader.alias("led")), "key"), "led")
-        discard(open_)
+        labelled = _labelled(members, links)
+        led = _open(labelled, turn)
+        discard(members)
         pairs = led.filter("node <> led.node AND component <> led.component").select(
             F.least("node", "led.node").alias("a"), F.greatest("node", "led.node").alias("b"),
             F.col("n").alias("na"), F.col("led.n").alias("nb"),
@@ -160,23 +204,27 @@ def links_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 3) -> DataFr
         pairs = pairs.filter(_fits(percent)).select("a", "b").distinct()
         fresh = stored(_linked(pairs, sets, percent), "links")
         links = fresh if links is None else links.unionAll(fresh)
-        members = led.filter("node <> led.node").select("node", "n", "key")
+        members = stored(led.filter("node <> led.node").select("node", "n", "band", "key"), "members")
+        discard(led)
         if members.isEmpty():
             return links
-    labelled, _ = _labelled(members, links)
-    open_ = stored(_open(labelled), "open")
-    for _ in range(2):
-        # A node of n shingles needs percent of them in other open nodes to have any partner.
-        own = open_.select("node", "n").distinct().join(sets, "node").select("node", "n", F.explode("shingles").alias("s"))
-        common = own.groupBy("s").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("s")
-        held = own.join(common, "s").groupBy("node", "n").agg(F.count(F.lit(1)).alias("held"))
-        able = held.filter(F.col("held") * 100 >= F.col("n") * percent).select("node")
-        before, open_ = open_, stored(_open(open_.join(able, "node")), "open")
-        discard(before)
-    one = open_.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    two = open_.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = one.join(two, "key").filter("a < b AND ca <> cb").filter(_fits(percent)).select("a", "b").distinct()
-    return links.unionAll(stored(_linked(rest, sets, percent), "links"))
+    # What is open now goes pair by pair, each in the first band that it shares, if long sketches agree enough.
+    open_ = _open(_labelled(members, links), rounds)
+    signed = open_.select("node").distinct().join(sets, "node").mapInArrow(_signed, "node binary, bits array<long>")
+    signed = stored(signed.join(nodes.select("node", "bands"), "node"), "signed")
+    open_ = open_.select("node", "n", "band", "key", "component").join(signed, "node")
+    names = ("node", "n", "component", "bits", "bands")
+    one = open_.select("key", "band", *[F.col(c).alias(f"{c}_a") for c in names])
+    two = open_.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+    differ = reduce(lambda x, y: x + y, [F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(LONG_BINS // 64)])
+    met = F.exists(F.slice(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), F.lit(1), F.col("band")), lambda same: same)
+    wanted = (
+        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    )
+    rest = one.join(two, "key").filter(wanted & (differ <= _most_different(percent)) & ~met)
+    fresh = _linked(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), sets, percent)
+    return links.unionAll(stored(fresh, "links"))
 
 
 def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 75) -> DataFrame:
