@@ -171,8 +171,8 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
         return records.select(*keep)
     again = records if payloads else cut
     texts = _placed(_pieces(spark, path).join(again.select("file").distinct(), "file", "left_semi"))
-    starts = records.select("file", F.col("at").alias("record_at"), F.struct("body_at", "payload_bytes", "whole").alias("r"))
-    marked = texts.join(starts, (texts["file"] == starts["file"]) & (texts["at"] == starts["record_at"]), "left").drop(starts["file"])
+    starts = records.select(F.col("file").alias("in_file"), F.col("at").alias("record_at"), F.struct("body_at", "payload_bytes", "whole").alias("r"))
+    marked = texts.join(starts, (F.col("file") == F.col("in_file")) & (F.col("at") == F.col("record_at")), "left")
     owner = F.last(F.when(F.col("r").isNotNull(), F.struct("record_at", "r")), ignorenulls=True)
     owned = marked.withColumn("o", owner.over(Window.partitionBy("file").orderBy("at"))).filter("o IS NOT NULL")
     if not payloads:
