@@ -91,12 +91,15 @@ def slug(name: str) -> str:
 
 def slug_columns(df: DataFrame) -> DataFrame:
     names = [slug(c) or f"column_{i}" for i, c in enumerate(df.columns)]
-    seen: dict[str, int] = {}
-    unique = []
-    for name in names:
-        seen[name] = seen.get(name, 0) + 1
-        unique.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
-    return df.toDF(*unique)
+    taken: set[str] = set()
+    for i, name in enumerate(names):
+        number, free = 1, name
+        while free in taken:
+            number += 1
+            free = f"{name}_{number}"
+        taken.add(free)
+        names[i] = free
+    return df.toDF(*names)
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str, missing: str = "missing") -> DataFrame:
@@ -106,12 +109,9 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str, miss
     return df.withColumns(flags)
 
 
-def known_values(df: DataFrame, column: str, at_most: int = 1000) -> list:
-    """Distinct values for :func:`one_hot`; refuses a column that is no category."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"{column} has more than {at_most} values")
-    return sorted(r[0] for r in rows)
+def known_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct non-null values, for the caller to choose the list of :func:`one_hot` from."""
+    return df.select(column).filter(F.col(column).isNotNull()).distinct()
 
 
 def constant_placeholder(df: DataFrame, columns: Sequence[str], placeholder: str) -> DataFrame:

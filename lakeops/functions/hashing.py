@@ -7,11 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+#: Six digits of a second; the default prints three, which makes different rows equal.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def _text(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
     kind = field.dataType
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(column)
+        return F.to_json(column, JSON_TIMES)
     if isinstance(kind, T.BinaryType):
         return F.hex(column)
     return column.cast("string")

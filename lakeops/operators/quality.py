@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lakeops.functions.hashing import JSON_TIMES
 from lakeops.session import local_table
 
 # Warehouse column types by Spark type name.
@@ -98,7 +99,7 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
 
     Rows meet by the SHA-256 of their content, so long texts are read but not shuffled.
     """
-    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {**JSON_TIMES, "ignoreNullFields": "false"}), 256)
     return (
         df.groupBy(F.unhex(content).alias("__content"))
         .agg(F.count(F.lit(1)).alias("__n"))
@@ -140,9 +141,9 @@ def expect_schema(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """OP-50: order-independent fingerprint of a frame."""
+    """OP-50: order-independent fingerprint of a frame: rows and the sum of their hashes, so repeated rows don't cancel out."""
     row = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in sorted(df.columns)])
-    return df.select(row.alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.bit_xor("h").alias("fingerprint"))
+    return df.select(row.alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"))
 
 
 def expect_fingerprint(df: DataFrame, name: str, expected: int) -> DataFrame:

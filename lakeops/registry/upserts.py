@@ -270,10 +270,9 @@ def compacted_table(spark, d):
 )
 def daily_drop_scan(spark, d):
     root = scratch_path(spark, "landing")
-    by_year = _orders(spark, d).withColumn("y", F.year("day"))
-    for name, low, high in (("1995/01/01", 1995, 1997), ("1998/01/01", 1998, 2100)):
-        part = by_year.filter(F.col("y").between(low, high)).drop("y")
-        part.write.mode("overwrite").parquet(f"{root}/orders/{name}/orders.parquet")
+    early = F.coalesce(F.year("day") < 1998, F.lit(False))
+    for name, condition in (("1995/01/01", early), ("1998/01/01", ~early)):
+        _orders(spark, d).filter(condition).write.mode("overwrite").parquet(f"{root}/orders/{name}/orders.parquet")
     rows = files.read_history(spark, f"{root}/orders")
     return rows.groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
 

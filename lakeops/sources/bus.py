@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lakeops.functions.hashing import JSON_TIMES
+
 
 def consumer_options(servers: str, topic: str, start: str = "earliest", per_trigger: int | None = None, **extra) -> dict:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start, **extra}
@@ -22,7 +24,7 @@ def consume(spark: SparkSession, options: dict) -> DataFrame:
 
 def as_messages(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows as JSON message bodies."""
-    body = F.to_json(F.struct(*df.columns)).alias("value")
+    body = F.to_json(F.struct(*df.columns), JSON_TIMES).alias("value")
     return df.select(F.col(key).cast("string").alias("key"), body) if key else df.select(body)
 
 

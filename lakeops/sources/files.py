@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from datetime import date
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def daily_drop_path(root: str, name: str, day: date | None = None) -> str:
@@ -30,11 +30,20 @@ def read_history(spark: SparkSession, root: str, pattern: str = "*.parquet") ->
 def read_partitions(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame:
     """OP-04: some partitions of a Hive-style table, merged schema, partition values as text.
 
-    The partition columns are cast after the scan, so no session setting changes.
+    Values are taken from the folder names as they stand, since inference turns 01 into 1; no session
+    setting changes.
     """
     df = spark.read.option("mergeSchema", "true").option("basePath", root).parquet(*paths)
     names = list(dict.fromkeys(part.split("=")[0] for p in paths for part in PurePosixPath(p).parts if "=" in part))
-    return df.withColumns({n: F.col(n).cast("string") for n in names if n in df.columns}) if names else df
+    return df.withColumns({n: _folder_value(n) for n in names if n in df.columns}) if names else df
+
+
+def _folder_value(name: str) -> Column:
+    """The value in a folder ``name=value``: escaped by the writer and once more in the path."""
+    value = F.regexp_extract(F.col("_metadata.file_path"), f"/{name}=([^/]*)/", 1)
+    for _ in range(2):
+        value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", value)
 
 
 # The encodings Spark's text readers accept.

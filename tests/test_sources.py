@@ -30,6 +30,27 @@ def test_partition_columns_stay_text(spark, tmp_path):
     spark.createDataFrame([(3, "x", "03")], "v int, extra string, m string").write.mode("append").partitionBy("m").parquet(path)
     out = files.read_partitions(spark, path, [f"{path}/m=01", f"{path}/m=03"])
     assert dict(out.dtypes)["m"] == "string" and out.count() == 2 and "extra" in out.columns
+    assert sorted(r.m for r in out.collect()) == ["01", "03"]
+    odd = [(1, "a:b"), (2, "50% +x"), (3, None)]
+    spark.createDataFrame(odd, "v int, m string").write.partitionBy("m").parquet(f"{path}-odd")
+    parts = [p for p in (tmp_path / "t-odd").iterdir() if p.is_dir()]
+    read = files.read_partitions(spark, f"{path}-odd", [str(p) for p in parts])
+    assert sorted((r.v, r.m) for r in read.collect()) == odd
+
+
+def test_microseconds_count(spark):
+    from lakeops.functions.hashing import row_hash
+    from lakeops.sources.bus import as_messages
+
+    rows = spark.sql("SELECT struct(t) AS s FROM VALUES (TIMESTAMP_NTZ '2022-01-01 00:00:00.000001'), (TIMESTAMP_NTZ '2022-01-01 00:00:00.000002') AS v(t)")
+    assert rows.select(row_hash(rows)).distinct().count() == 2
+    assert quality.duplicate_counts(rows.select("s.t")).first()["rows_after"] == 2
+    assert "000001" in as_messages(rows.select("s.t")).agg({"value": "min"}).first()[0]
+
+
+def test_fingerprint_of_repeated_rows(spark):
+    one, two = (spark.createDataFrame([(i,), (i,)], "a int") for i in (1, 2))
+    assert quality.fingerprint(one).first() != quality.fingerprint(two).first()
 
 
 def test_delimited(spark, tmp_path):
