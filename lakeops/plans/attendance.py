@@ -86,7 +86,7 @@ def time_profile(
     ).drop(*[f"__{n}" for n in conditions])
 
 
-def frequency_typology(rows: DataFrame, months: int = 3) -> DataFrame:
+def frequency_typology(rows: DataFrame, rules: Sequence[tuple], otherwise: str, months: int = 3) -> DataFrame:
     """MART-28: episodes and flagged days over ``(d - months, d]``, taken at the last day of
     the entity's month, as a typology."""
     marked = rows.withColumn("__episode", F.when(F.col("flag") == 1, F.col("episode")))
@@ -94,22 +94,16 @@ def frequency_typology(rows: DataFrame, months: int = 3) -> DataFrame:
     marked = distinct_in_lookback(marked, "entity", "day", months, "__episode", "episodes").drop("__episode", "days_seen")
     marked = last_of_month(marked, "entity", "day", "episodes", "month_episodes")
     marked = last_of_month(marked, "entity", "day", "flagged_days", "month_flagged_days")
-    return marked.withColumn("typology", typology(F.col("month_episodes"), F.col("month_flagged_days")))
-
-
-def typology(count: Column, days: Column) -> Column:
-    """OP-61: ordered rules on frequency and duration."""
-    return first_rule(
-        [
-            (count == 0, "0 none"),
-            ((count == 1) & (days == 1), "1 single day"),
-            ((count == 1) & (days >= 89), "6 three months"),
-            ((count <= 3) & (days < 7), "2 up to 3, under a week"),
-            ((count <= 3) & (days < 32), "3 up to 3, under a month"),
-            (count <= 3, "4 up to 3, a month or more"),
-        ],
-        "5 more than 3",
-    )
+    return marked.withColumn("typology", typology(F.col("month_episodes"), F.col("month_flagged_days"), rules, otherwise))
+
+
+def typology(count: Column, days: Column, rules: Sequence[tuple], otherwise: str) -> Column:
+    """OP-61: ordered rules (most occurrences, fewest days, most days or None, label) of the caller; the first that holds."""
+    conditions = [
+        ((count <= most) & (days >= fewest) & (F.lit(True) if longest is None else days <= longest), label)
+        for most, fewest, longest, label in rules
+    ]
+    return first_rule(conditions, otherwise)
 
 
 def value_runs(series: DataFrame, value: str, order: str, recent_days: int = 190, old_days: int = 890) -> DataFrame:

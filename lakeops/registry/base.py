@@ -13,6 +13,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Rules of the typology queries: most occurrences, fewest days, most days, label.
+TYPES = ((0, 0, None, "none"), (2, 0, 4, "few short"), (2, 5, None, "few long"), (6, 0, None, "some"))
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn

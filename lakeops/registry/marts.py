@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.coding import flag
 from lakeops.operators import lookback as look, screening
 from lakeops.plans import attendance
-from lakeops.registry.base import PANEL, money, panel, query, table
+from lakeops.registry.base import TYPES, PANEL, money, panel, query, table
 from lakeops.registry.timelines import ISLANDS
 
 
@@ -38,9 +38,10 @@ def time_profile(spark, d):
 
 
 def typology_sql(count, days):
-    return f"""CASE WHEN {count} = 0 THEN '0 none' WHEN {count} = 1 AND {days} = 1 THEN '1 single day' WHEN {count} = 1 AND {days} >= 89 THEN '6 three months'
-      WHEN {count} <= 3 AND {days} < 7 THEN '2 up to 3, under a week' WHEN {count} <= 3 AND {days} < 32 THEN '3 up to 3, under a month'
-      WHEN {count} <= 3 THEN '4 up to 3, a month or more' ELSE '5 more than 3' END"""
+    return (
+        f"CASE WHEN {count} <= 0 AND {days} >= 0 THEN 'none' WHEN {count} <= 2 AND {days} BETWEEN 0 AND 4 THEN 'few short' "
+        f"WHEN {count} <= 2 AND {days} > 4 THEN 'few long' WHEN {count} <= 6 AND {days} >= 0 THEN 'some' ELSE 'many' END"
+    )
 
 
 @query(
@@ -53,7 +54,7 @@ def typology_sql(count, days):
 )
 def frequency_typology(spark, d):
     rows = attendance.episodes(attendance.bridge_off_days(panel(spark, d), _week_off()))
-    return attendance.frequency_typology(rows).select("entity", "day", "episodes", "flagged_days", "typology")
+    return attendance.frequency_typology(rows, TYPES, "many").select("entity", "day", "episodes", "flagged_days", "typology")
 
 
 @query(

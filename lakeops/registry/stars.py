@@ -160,20 +160,18 @@ def band_labels(spark, d):
 @query(
     "typology_rules",
     """WITH c AS (SELECT o_custkey, count(*) AS n, count(DISTINCT CAST(o_orderdate AS DATE)) AS days FROM orders GROUP BY 1)
-    SELECT CASE WHEN n = 0 THEN '0 none' WHEN n = 1 AND days = 1 THEN '1 single day'
-        WHEN n = 1 AND days >= 89 THEN '6 three months' WHEN n <= 3 AND days < 7 THEN '2 up to 3, under a week'
-        WHEN n <= 3 AND days < 32 THEN '3 up to 3, under a month' WHEN n <= 3 THEN '4 up to 3, a month or more'
-        ELSE '5 more than 3' END AS typology, count(*) AS customers
+    SELECT CASE WHEN n <= 0 AND days >= 0 THEN 'none' WHEN n <= 2 AND days BETWEEN 0 AND 4 THEN 'few short' WHEN n <= 2 AND days > 4 THEN 'few long' WHEN n <= 6 AND days >= 0 THEN 'some' ELSE 'many' END AS typology, count(*) AS customers
     FROM c GROUP BY 1""",
 )
 def typology_rules(spark, d):
     from lakeops.plans.attendance import typology
+    from lakeops.registry.base import TYPES
 
     per_day = table(spark, d, "orders").groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("day")).agg(
         F.count(F.lit(1)).alias("n")
     )
     per_customer = per_day.groupBy("o_custkey").agg(F.sum("n").alias("n"), F.count("day").alias("days"))
-    return per_customer.groupBy(typology(F.col("n"), F.col("days")).alias("typology")).agg(
+    return per_customer.groupBy(typology(F.col("n"), F.col("days"), TYPES, "many").alias("typology")).agg(
         F.count(F.lit(1)).alias("customers")
     )
 

@@ -87,10 +87,11 @@ def test_monthly_rates_zero_base_and_windows(spark):
     assert attendance.long_rates(attendance.monthly_rates(panel, "h", {"m": ["m"]})).count() == 6
 
 
-def test_typology_levels(spark):
-    cases = [(0, 0, "0"), (1, 1, "1"), (1, 89, "6"), (1, 6, "2"), (2, 31, "3"), (2, 32, "4"), (3, 6, "2"), (3, 40, "4"), (4, 5, "5"), (4, 50, "5")]
+def test_typology_takes_the_first_rule_that_holds(spark):
+    rules = [(0, 0, None, "a"), (2, 1, 1, "b"), (2, 9, None, "c"), (2, 0, 4, "d"), (5, 0, None, "e")]
+    cases = [(0, 0, "a"), (0, 7, "a"), (1, 1, "b"), (2, 9, "c"), (2, 30, "c"), (1, 0, "d"), (2, 4, "d"), (2, 5, "e"), (5, 1, "e"), (6, 1, "f")]
     df = spark.createDataFrame([(a, b) for a, b, _ in cases], "a int, b int")
-    got = [r[0][0] for r in df.select(attendance.typology(F.col("a"), F.col("b"))).collect()]
+    got = [r[0] for r in df.select(attendance.typology(F.col("a"), F.col("b"), rules, "f")).collect()]
     assert got == [c for _, _, c in cases]
 
 
