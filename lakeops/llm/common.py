@@ -67,31 +67,74 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def _stars(batches: Iterator[pa.RecordBatch], most: int = 300_000) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of a task, ``most`` at a time, as one star a component: every node to the smallest.
+
+    The last node of a part goes into the next one too, so in input sorted by u no node is torn.
+    """
+
+    def contracted(held: list[pa.RecordBatch], carried: tuple | None) -> tuple[pa.RecordBatch, tuple]:
+        above: dict = {}
+
+        def top(x):
+            while (y := above.get(x, x)) != x:
+                above[x] = above.get(y, y)
+                x = y
+            return x
+
+        def joined(u, v):
+            u, v = top(u), top(v)
+            if u != v:
+                above[max(u, v)] = min(u, v)
+
+        if carried:
+            joined(*carried)
+        for batch in held:
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                joined(u, v)
+        nodes, kind = list(above), held[0].schema
+        star = [pa.array(nodes, kind.field("u").type), pa.array([top(x) for x in nodes], kind.field("v").type)]
+        return pa.RecordBatch.from_arrays(star, names=["u", "v"]), (u, top(u))
+
+    held, size, carried = [], 0, None
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= most:
+            star, carried = contracted(held, carried)
+            yield star
+            held, size = [], 0
+    if held:
+        yield contracted(held, carried)[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for links (a, b): component is the smallest reachable node.
 
     Alternating large and small stars: each round hooks every node to the smallest neighbour, so
-    the rounds grow with the logarithm of the longest chain. Minima are combined before the
-    shuffle, a hot node is joined, never gathered.
+    the rounds grow with the logarithm of the longest chain. First the edges a task reads become
+    stars of their own, in bounded memory, so a node has at most one smaller neighbour a part and
+    the small stars can be made where the edges of a node meet. The rounds end when every node has
+    one edge, to a node that has none. Minima are combined before the shuffle, a hot node is joined,
+    never gathered.
     """
-    spark = links.sparkSession
-    edges = stored(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "edges"
-    )
-    state = None
+    kind = links.schema["a"].dataType.simpleString()
+
+    def starred(edges: DataFrame) -> DataFrame:
+        return stored(edges.mapInArrow(_stars, f"u {kind}, v {kind}"), "edges")
+
+    edges = starred(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v"))
     while True:
-        both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ends = edges.select("u", F.col("v").alias("to")).unionAll(edges.select(F.col("v").alias("u"), F.lit(None).alias("to")))
+        node = ends.groupBy("u").agg(F.min("to").alias("low"), F.max("to").alias("high"), F.count_if(F.col("to").isNull()).alias("roots"))
+        if node.filter("low <> high OR (low IS NOT NULL AND roots > 0)").isEmpty():
+            break
+        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = stored(small.unionAll(low.select("u", F.col("m").alias("v"))).filter("u > v").distinct(), "edges")
+        after = starred(large.repartition("u").sortWithinPartitions("u"))
         discard(edges)
         edges = after
-        # The same edges again: as many, with equal sums of two hashes.
-        sums = [F.sum(F.xxhash64("u", "v", F.lit(i)).cast("decimal(38,0)")) for i in (1, 2)]
-        before, state = state, tuple(edges.agg(F.count(F.lit(1)), *sums).first())
-        if state == before:
-            break
-    found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return found.unionAll(found.select(F.col("component").alias("node"), "component").distinct())
+    found = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    return found.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

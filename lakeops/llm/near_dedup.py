@@ -128,22 +128,19 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+    """The components (ca, cb) of the pairs (a, b) whose whole sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     joined = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-    return joined.filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+    return joined.filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
 
 
-def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Members with the component each node is in so far."""
-    if links is None:
-        return members.withColumn("component", F.col("node"))
-    found = stored(components(links), "components")
-    out = stored(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
-    discard(found)
-    return out
+def _merged(labelled: DataFrame, merges: DataFrame) -> DataFrame:
+    """Rows with a component, under the component that it went into."""
+    into = merges.select(F.col("node").alias("component"), F.col("component").alias("_into"))
+    out = labelled.join(into, "component", "left").withColumn("component", F.coalesce("_into", "component"))
+    return out.select(*labelled.columns)
 
 
 def _open(labelled: DataFrame, turn: int) -> DataFrame:
@@ -180,36 +177,36 @@ def _most_different(percent: int) -> int:
     return int(LONG_BINS * share + 5 * (LONG_BINS * share * (1 - share)) ** 0.5)
 
 
-def links_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 2) -> DataFrame | None:
-    """Links (a, b) that connect all similar nodes (node, n, bands); None where no two share a bucket.
+def merges_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 2) -> Iterator[DataFrame]:
+    """What connects all similar nodes (node, n, bands), in steps: tables (node, component) that send
+    components of the steps before to those they are part of. At first every node is a component.
 
     ``sets_of(nodes)`` gives (node, shingles) of the nodes asked for.
     """
     exploded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    members = stored(exploded.join(shared, "key"), "members")
+    members = stored(exploded.join(shared, "key").withColumn("component", F.col("node")), "members")
     if members.isEmpty():
-        return None
+        return
     sets = stored(sets_of(members.select("node").distinct()), "sets")
-    links = None
     for turn in range(rounds):
         # One leader a bucket; its pairs are decided, so it leaves the bucket.
-        labelled = _labelled(members, links)
-        led = _open(labelled, turn)
+        led = _open(members, turn)
         discard(members)
         pairs = led.filter("node <> led.node AND component <> led.component").select(
-            F.least("node", "led.node").alias("a"), F.greatest("node", "led.node").alias("b"),
-            F.col("n").alias("na"), F.col("led.n").alias("nb"),
+            F.col("node").alias("a"), F.col("led.node").alias("b"), F.col("n").alias("na"), F.col("led.n").alias("nb"),
+            F.col("component").alias("ca"), F.col("led.component").alias("cb"),
         )
-        pairs = pairs.filter(_fits(percent)).select("a", "b").distinct()
-        fresh = stored(_linked(pairs, sets, percent), "links")
-        links = fresh if links is None else links.unionAll(fresh)
-        members = stored(led.filter("node <> led.node").select("node", "n", "band", "key"), "members")
+        pairs = pairs.filter(_fits(percent)).select("a", "b", "ca", "cb").distinct()
+        merges = stored(components(stored(_linked(pairs, sets, percent), "links")), "merges")
+        yield merges
+        left = led.filter("node <> led.node").select("node", "n", "band", "key", "component")
+        members = stored(_merged(left, merges), "members")
         discard(led)
         if members.isEmpty():
-            return links
+            return
     # What is open now goes pair by pair, each in the first band that it shares, if long sketches agree enough.
-    open_ = _open(_labelled(members, links), rounds)
+    open_ = _open(members, rounds)
     signed = open_.select("node").distinct().join(sets, "node").mapInArrow(_signed, "node binary, bits array<long>")
     signed = stored(signed.join(nodes.select("node", "bands"), "node"), "signed")
     open_ = open_.select("node", "n", "band", "key", "component").join(signed, "node")
@@ -223,8 +220,10 @@ def links_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 2) -> DataFr
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     )
     rest = one.join(two, "key").filter(wanted & (differ <= _most_different(percent)) & ~met)
-    fresh = _linked(rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), sets, percent)
-    return links.unionAll(stored(fresh, "links"))
+    rest = rest.select(
+        F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("component_a").alias("ca"), F.col("component_b").alias("cb")
+    )
+    yield components(stored(_linked(rest, sets, percent), "links"))
 
 
 def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 75) -> DataFrame:
@@ -250,14 +249,12 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percen
         return texts.mapInArrow(_shingled, "node binary, shingles array<long>").dropDuplicates(["node"])
 
     distinct = rows.filter("node IS NOT NULL").select("node", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node"])
-    links = links_of(distinct, sets_of, percent)
-    whole = first.select("node", "smallest")
-    if links is not None:
-        found = stored(components(links), "components")
-        label = F.coalesce("component", "node")
-        joined = whole.join(found, "node", "left").withColumn("component", label)
-        least = joined.groupBy("component").agg(F.min("smallest").alias("smallest"))
-        whole = joined.select("node", "component").join(least, "component").select("node", "smallest")
+    whole = first.select("node", F.col("node").alias("component"), "smallest")
+    for merges in merges_of(distinct, sets_of, percent):
+        whole = _merged(whole, merges)
+    whole = stored(whole, "components")
+    least = whole.groupBy("component").agg(F.min("smallest").alias("smallest"))
+    whole = whole.select("node", "component").join(least, "component").select("node", "smallest")
     named = rows.select("doc_id", "raw", "n_shingles", "node").join(whole, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
     return named.select("doc_id", "raw", "n_shingles", component.alias("component_id")).select(
