@@ -60,6 +60,42 @@ def upsert_partitioned(spark, d):
     return spark.read.parquet(path)
 
 
+# Partition values that look like numbers, need escaping, are empty or null.
+PLACES = """CASE WHEN o_orderstatus = 'F' THEN '01' WHEN o_orderstatus = 'O' THEN 'a:b' WHEN o_orderkey % 2 = 0 THEN '' END"""
+
+
+def _typed(spark, path, rows):
+    return tables.read_partitioned(spark, path, rows.schema, ["place"])
+
+
+@query(
+    "upsert_text_partition",
+    UPSERTED.replace("SELECT * FROM u", f"SELECT *, nullif({PLACES}, '') AS place FROM u").replace("SELECT * FROM t", f"SELECT *, nullif({PLACES}, '') AS place FROM t"),
+)
+def upsert_text_partition(spark, d):
+    path = scratch_path(spark, "orders-by-place")
+    for rows in (_target(spark, d), _batch(spark, d)):
+        rows = rows.withColumn("place", F.expr(PLACES))
+        tables.create_or_upsert(spark, path, rows, KEYS, ["place"])
+    return _typed(spark, path, rows)
+
+
+@query(
+    "upsert_moves_partition",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN '07' WHEN o_orderkey % 2 = 0 THEN 'a:b' ELSE '7' END AS place FROM orders""",
+)
+def upsert_moves_partition(spark, d):
+    """Orders of one state leave their partitions, one of which is emptied."""
+    path = scratch_path(spark, "orders-moved")
+    orders = _orders(spark, d).select("o_orderkey", "o_custkey", "o_orderstatus")
+    even = F.when(F.col("o_orderkey") % 2 == 0, "a:b").otherwise("7")
+    first = orders.withColumn("place", F.when(F.col("o_orderstatus") == "F", "x=y z").otherwise(even)).drop("o_orderstatus")
+    moved = orders.filter("o_orderstatus = 'F'").withColumn("place", F.lit("07")).drop("o_orderstatus")
+    for rows in (first, moved):
+        tables.create_or_upsert(spark, path, rows, KEYS, ["place"])
+    return _typed(spark, path, rows)
+
+
 @query(
     "upsert_evolve",
     f"""WITH {ORDERS} SELECT coalesce(u.o_orderkey, t.o_orderkey) AS o_orderkey, t.o_custkey, coalesce(u.o_orderstatus, t.o_orderstatus) AS o_orderstatus,

@@ -10,7 +10,7 @@ from lakeops.functions.coding import slug_columns
 from lakeops.functions.hashing import with_identity
 from lakeops.operators.upsert import INSERTED, merge_by_hash, merge_metrics, upsert_evolving
 from lakeops.session import scratch_path
-from lakeops.sources.tables import overwrite, path_exists
+from lakeops.sources.tables import path_exists, read_partitioned, recover, replace_whole
 
 # Load treatments and what they do to the target.
 TREATMENTS = {
@@ -85,15 +85,17 @@ def load(
     Overwriting treatments replace the table; merging ones refresh the load id of known
     rows and insert new ones, staged in the shared folder. Returns one row of metrics.
     """
+    recover(spark, path)
     prepared = prepare(df, load_id, null_token)
     staging = scratch_path(spark, "load")
     if action_for(treatment) == "overwrite" or not path_exists(spark, path):
         merged = prepared.withColumn("_op", F.lit(INSERTED))
     else:
-        merged = merge_by_hash(spark.read.parquet(path).select(*prepared.columns), prepared, with_op=True)
+        target = read_partitioned(spark, path, prepared.schema, ["row_bucket"])
+        merged = merge_by_hash(target.select(*prepared.columns), prepared, with_op=True)
     merged.write.parquet(staging)
     staged = spark.read.parquet(staging)
-    overwrite(staged.drop("_op"), path, ["row_bucket"])
+    replace_whole(spark, staged.drop("_op"), path, ["row_bucket"])
     return merge_metrics(staged).withColumn("load_id", F.lit(load_id))
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakeops.operators.upsert import _any_null, upsert_all
-from lakeops.session import scratch_path
 
 
 def _quoted(name: str) -> str:
@@ -86,44 +89,124 @@ def create_or_upsert(
     """OP-28: create the table, or merge a batch into the partitions it touches.
 
     Touched are the partitions the batch writes to and those where its keys live now (a
-    matched row may change partition). Only they are read in full, merged into a staging
-    folder and swapped in by dynamic partition overwrite; all others stay as they are.
-    Without partition columns the whole table is rewritten the same way.
+    matched row may change partition). Only they are read in full; they are written once,
+    beside the table, and moved in. A call that ended midway is finished by the next one
+    (:func:`recover`). Without partition columns the whole table is replaced the same way.
+
+    Partition values have the types of ``updates``, whatever their folder names look like;
+    empty text is stored as null, as partitioned writes do. A key that occurs twice in
+    ``updates`` raises; null keys never match and may repeat.
     """
-    if not path_exists(spark, path):
-        overwrite(updates, path, partition_by)
-        return
-    target = spark.read.parquet(path)
-    staging = scratch_path(spark, "upsert")
-    if not partition_by:
-        overwrite(upsert_all(target, updates, keys), staging)
-        overwrite(spark.read.parquet(staging), path)
+    recover(spark, path)
+    parts, keys = list(partition_by), list(keys)
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    fresh = not path_exists(spark, path)
+    text = [p for p in parts if isinstance(updates.schema[p].dataType, T.StringType)]
+    # The batch may be costly to make and is read several times.
+    updates.withColumns({p: F.nullif(p, F.lit("")) for p in text}).write.parquet(f"{staging}/batch")
+    batch = spark.read.schema(updates.schema).parquet(f"{staging}/batch")
+    if not batch.filter(~_any_null(keys)).groupBy(*keys).count().filter("count > 1").isEmpty():
+        _delete(spark, staging)
+        raise ValueError(f"keys {keys} are not unique in the updates")
+    gone: list[str] = []
+    if fresh:
+        merged = batch
+    elif not parts:
+        merged = upsert_all(spark.read.parquet(path), batch, keys)
+    else:
+        target = read_partitioned(spark, path, updates.schema, parts)
+        batch = batch.select(*target.columns)
+        folder = F.regexp_extract("_metadata.file_path", f"((?:/[^/]+){{{len(parts)}}})/[^/]+$", 1)
+        known = target.select(*target.columns, folder.alias("__folder")).filter(~_any_null(keys))
+        holding = known.join(batch.select(*keys), keys, "left_semi").select(*parts, "__folder").distinct()
+        touched = batch.select(*parts).unionByName(holding.select(*parts)).distinct()
+        same = reduce(lambda a, b: a & b, [target[p].eqNullSafe(touched[p]) for p in parts])
+        merged = upsert_all(target.join(touched, same, "left_semi"), batch, keys)
+        gone = [unquote(row["__folder"]).strip("/") for row in holding.select("__folder").distinct().collect()]
+    overwrite(merged, f"{staging}/new", parts)
+    if not parts or fresh:
+        _move_in(spark, path, staging, None, [])
         return
-    parts = list(partition_by)
-    batch = updates.select(*target.columns)
-    batch = batch.withColumns({p: F.col(p).cast(target.schema[p].dataType) for p in parts})
-    holding = target.filter(~_any_null(list(keys))).join(batch.select(*keys), list(keys), "left_semi").select(*parts)
-    touched = batch.select(*parts).unionByName(holding).distinct()
-    same = None
-    for p in parts:
-        one = target[p].eqNullSafe(touched[p])
-        same = one if same is None else same & one
-    merged = upsert_all(target.join(touched, same, "left_semi"), batch, keys)
-    overwrite(merged, staging, parts)
-    staged = spark.read.schema(target.schema).option("basePath", staging).parquet(staging)
-    # A touched partition whose every row moved away has no staged rows to overwrite it.
-    emptied = touched.join(
-        staged.select(*parts).distinct().withColumnsRenamed({p: f"__s_{p}" for p in parts}),
-        on=[F.col(p).eqNullSafe(F.col(f"__s_{p}")) for p in parts],
-        how="left_anti",
-    ).collect()
-    staged.hint("rebalance", *parts).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*parts).parquet(path)
-    for row in emptied:
-        folder = "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if row[p] is None else row[p]}" for p in parts)
-        location = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
-        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+    new = _folders(spark, f"{staging}/new", len(parts))
+    # A touched partition whose every row moved away has no new folder.
+    _move_in(spark, path, staging, new, sorted(set(gone) - set(new)))
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> DataFrame:
+    """A partitioned table whose partition columns have the types of ``schema``: nothing is
+    inferred from folder names, so 01 stays 01."""
+    found = spark.read.parquet(path).schema
+    typed = [T.StructField(f.name, schema[f.name].dataType) if f.name in partition_by else f for f in found]
+    return spark.read.schema(T.StructType(typed)).parquet(path)
+
+
+def replace_whole(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace a table, which ``df`` may read: the old one stays until the new one is complete."""
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    overwrite(df, f"{staging}/new", partition_by)
+    _move_in(spark, path, staging, None, [])
+
+
+def _location(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    location, system = _location(spark, path)
+    system.delete(location, True)
+
+
+def _move(spark: SparkSession, source: str, destination: str) -> None:
+    start, system = _location(spark, source)
+    end, _ = _location(spark, destination)
+    system.mkdirs(end.getParent())
+    if not system.rename(start, end):
+        raise OSError(f"could not move {source} to {destination}")
+
+
+def _folders(spark: SparkSession, root: str, depth: int, below: str = "") -> list[str]:
+    """Partition folders of a table, relative to it."""
+    if depth == 0:
+        return [below]
+    location, system = _location(spark, f"{root}/{below}" if below else root)
+    names = [s.getPath().getName() for s in system.listStatus(location) if s.isDirectory()]
+    return [f for n in sorted(names) if "=" in n for f in _folders(spark, root, depth - 1, f"{below}/{n}" if below else n)]
+
+
+def _move_in(spark: SparkSession, path: str, staging: str, folders: list[str] | None, gone: list[str]) -> None:
+    """Note what is to move, then move it: from here on the change is finished, now or by ``recover``."""
+    note = json.dumps({"staging": staging, "folders": folders, "gone": gone})
+    location, system = _location(spark, f"{path}.pending.tmp")
+    out = system.create(location, True)
+    out.write(bytearray(note, "utf-8"))
+    out.close()
+    _move(spark, f"{path}.pending.tmp", f"{path}.pending")
+    _finish(spark, path, note)
+
+
+def _finish(spark: SparkSession, path: str, note: str) -> None:
+    """Move what has not been moved yet; a folder that is no longer staged is in its place."""
+    todo = json.loads(note)
+    staging = todo["staging"]
+    if todo["folders"] is None:
+        pairs = [(f"{staging}/new", path)]
+    else:
+        pairs = [(f"{staging}/new/{f}", f"{path}/{f}") for f in todo["folders"]]
+    for source, destination in pairs:
+        if path_exists(spark, source):
+            _delete(spark, destination)
+            _move(spark, source, destination)
+    for folder in todo["gone"]:
+        _delete(spark, f"{path}/{folder}")
+    _delete(spark, f"{path}.pending")
+    _delete(spark, staging)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a replacement of this table that was noted but not carried out to its end."""
+    if path_exists(spark, f"{path}.pending"):
+        _finish(spark, path, spark.read.text(f"{path}.pending", wholetext=True).first()[0])
 
 
 def compact(spark: SparkSession, source: str, destination: str, files: int, cluster_by: Sequence[str] = ()) -> None:

@@ -117,6 +117,43 @@ def test_unpartitioned_upsert(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_partition_values_stay_as_written(spark, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k int, v string, m string"
+    first = spark.createDataFrame([(1, "x", "01"), (2, "x", "02"), (3, "x", "a:b"), (4, "x", ""), (5, "x", None)], ddl)
+    tables.create_or_upsert(spark, path, first, ["k"], ["m"])
+    tables.create_or_upsert(spark, path, spark.createDataFrame([(1, "NEW", "01"), (3, "NEW", "c"), (6, "NEW", "")], ddl), ["k"], ["m"])
+    got = rows(tables.read_partitioned(spark, path, first.schema, ["m"]), "k", "v", "m")
+    assert got == sorted([(1, "NEW", "01"), (2, "x", "02"), (3, "NEW", "c"), (4, "x", None), (5, "x", None), (6, "NEW", None)], key=str)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize("parts", [[], ["m"]])
+def test_a_failed_write_leaves_the_table(spark, tmp_path, monkeypatch, parts):
+    path, ddl = str(tmp_path / "t"), "k int, m string"
+    tables.create_or_upsert(spark, path, spark.createDataFrame([(1, "a"), (2, "b")], ddl), ["k"], parts)
+    batch = spark.createDataFrame([(2, "c"), (3, "c")], ddl)
+    for step in ("overwrite", "_finish", "_move"):
+        with monkeypatch.context() as patched:
+            patched.setattr(tables, step, lambda *a, **b: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                tables.create_or_upsert(spark, path, batch, ["k"], parts)
+        assert rows(spark.read.parquet(path), "k", "m") == [(1, "a"), (2, "b")]
+        if step == "_finish":
+            tables.recover(spark, path)
+            assert rows(spark.read.parquet(path), "k", "m") == [(1, "a"), (2, "c"), (3, "c")]
+            tables.create_or_upsert(spark, path, spark.createDataFrame([(2, "b")], ddl), ["k"], parts)
+            tables.replace_whole(spark, spark.read.parquet(path).filter("k < 3"), path, parts)
+    tables.create_or_upsert(spark, path, batch, ["k"], parts)
+    assert rows(spark.read.parquet(path), "k", "m") == [(1, "a"), (2, "c"), (3, "c")]
+
+
+def test_repeated_keys_in_a_batch_raise(spark, tmp_path):
+    batch = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k int, v string")
+    with pytest.raises(ValueError):
+        tables.create_or_upsert(spark, str(tmp_path / "t"), batch, ["k"])
+    assert not list(tmp_path.iterdir())
+
+
 def test_treatments():
     assert ingest.action_for("append") == "merge" and ingest.action_for("reload") == "overwrite"
     with pytest.raises(ValueError):
