@@ -131,10 +131,12 @@ def components(links: DataFrame) -> DataFrame:
         if node.filter("low <> high OR (low IS NOT NULL AND roots > 0)").isEmpty():
             break
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Stored, so that a node with very many edges can be split in the join.
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "low")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
         after = starred(large.repartition("u").sortWithinPartitions("u"))
         discard(edges)
+        discard(low)
         edges = after
     found = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     return found.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
