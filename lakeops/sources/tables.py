@@ -68,8 +68,10 @@ def refresh(spark: SparkSession, name: str) -> None:
     spark.sql(f"REFRESH TABLE {_quoted(name)}")
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}")
+def create_database(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """OP-155. ``path`` is where its managed tables live, if not in the warehouse."""
+    where = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}{where}")
 
 
 def drop_with_files(spark: SparkSession, name: str, path: str | None = None) -> None:
