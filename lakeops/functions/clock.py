@@ -5,21 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def as_instant(ts: Column) -> Column:
-    """``timestamp_ntz`` to ``timestamp``; a no-op for columns that already are instants."""
-    return ts.cast("timestamp")
+def _is_instant(ts: Column) -> Column:
+    """Known while the plan is made, so only one branch is left of a choice by it."""
+    return F.typeof(ts) == "timestamp"
+
+
+def _clock_seconds(ts: Column) -> Column:
+    """Seconds since 1970 as the clock shows them: no zone is involved, so no hour is skipped or repeated."""
+    days = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def epoch_seconds(ts: Column) -> Column:
-    return F.unix_seconds(as_instant(ts))
+    """Seconds of an instant, or of a zone-less timestamp by its own clock."""
+    return F.when(_is_instant(ts), F.unix_seconds(ts.cast("timestamp"))).otherwise(_clock_seconds(ts))
 
 
 def epoch_micros(ts: Column) -> Column:
-    return F.unix_micros(as_instant(ts))
+    fraction = (F.extract(F.lit("SECOND"), ts) % 1 * 1_000_000).cast("long")
+    return F.when(_is_instant(ts), F.unix_micros(ts.cast("timestamp"))).otherwise(_clock_seconds(ts) * 1_000_000 + fraction)
 
 
 def seconds_to_ntz(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds).cast("timestamp_ntz")
+    """The zone-less timestamp so many seconds after 1970 began."""
+    days, rest = F.floor(seconds / 86400).cast("int"), F.pmod(seconds, F.lit(86400))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), rest.cast("decimal(18,6)"))
 
 
 def two_digits(number: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.session import local_table
 
@@ -18,35 +18,44 @@ MIN_TARGET = 20
 def contingency(
     df: DataFrame, factors: Sequence[str], target: str, klass: str, classes: Sequence[str], weight: str | None = None
 ) -> DataFrame:
-    """Four cells per (factor, class) in one aggregation.
+    """Four cells per (factor, class).
 
-    A class is tested against every row whose target is 0. Counts are conditional sums of
-    a single pass, so no row is repeated per factor; the few result cells are unpivoted
-    afterwards.
+    A class is tested against every row whose target is 0. One pass sums each factor's two
+    values per side (the base, or a class), so expressions grow with the factors and the
+    classes, not with their product; the few sums are turned around afterwards.
     """
     w = F.col(weight) if weight else F.lit(1)
-    cells = []
-    for i, factor in enumerate(factors):
-        for value in (0, 1):
-            holds = F.col(factor) == value
-            cells.append(F.sum(F.when(holds & (F.col(target) == 0), w).otherwise(0)).alias(f"b{value}_{i}"))
-            for j, name in enumerate(classes):
-                hit = holds & (F.col(target) == 1) & (F.col(klass) == name)
-                cells.append(F.sum(F.when(hit, w).otherwise(0)).alias(f"t{value}_{i}_{j}"))
-    counts = df.agg(*cells)
+    side = F.when(F.col(target) == 0, -1)
+    for j, name in enumerate(classes):
+        side = side.when((F.col(target) == 1) & (F.col(klass) == name), j)
+    sums = (
+        df.withColumn("__side", side)
+        .filter(F.col("__side").isNotNull())
+        .groupBy("__side")
+        .agg(*[F.sum(F.when(F.col(f) == v, w).otherwise(0)).alias(f"__{v}_{i}") for i, f in enumerate(factors) for v in (0, 1)])
+    )
+    by_factor = F.array(*[F.struct(F.lit(i).alias("__i"), *[F.col(f"__{v}_{i}").alias(f"__{v}") for v in (0, 1)]) for i in range(len(factors))])
+
+    def of(k: int, v: int) -> Column:
+        return F.sum(F.when(F.col("__side") == k, F.col(f"__{v}")).otherwise(0)).alias(f"__{v}_{k}")
+
+    cells = sums.select("__side", F.inline(by_factor)).groupBy("__i").agg(*[of(k, v) for k in range(-1, len(classes)) for v in (0, 1)])
+
+    def cell(k: int, v: int) -> Column:
+        return F.coalesce(F.col(f"`__{v}_{k}`"), F.lit(0)).cast("long")
+
     listed = F.array(
         *[
             F.struct(
-                F.lit(factor).alias("factor"),
                 F.lit(name).alias("class"),
-                *[F.coalesce(F.col(f"b{v}_{i}"), F.lit(0)).cast("long").alias(f"base_{v}") for v in (0, 1)],
-                *[F.coalesce(F.col(f"t{v}_{i}_{j}"), F.lit(0)).cast("long").alias(f"target_{v}") for v in (0, 1)],
+                *[cell(-1, v).alias(f"base_{v}") for v in (0, 1)],
+                *[cell(j, v).alias(f"target_{v}") for v in (0, 1)],
             )
-            for i, factor in enumerate(factors)
             for j, name in enumerate(classes)
         ]
     )
-    return counts.select(F.explode(listed).alias("c")).select("c.*")
+    named = local_table(df.sparkSession, list(enumerate(factors)), "__i int, factor string")
+    return named.join(cells, "__i", "left").select("factor", F.inline(listed))
 
 
 def chi2_screen(

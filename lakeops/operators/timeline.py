@@ -19,6 +19,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakeops.functions.clock import epoch_seconds
+
 _CHUNK, _EDGE = "__chunk", "__edge"
 _LEADING, _ROW, _TRAILING = 0, 1, 2
 
@@ -44,7 +46,7 @@ class Timeline:
 
 def every(column: str, seconds: int) -> Column:
     """Chunk by fixed slices of a timestamp."""
-    return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / seconds).cast("long")
+    return F.floor(epoch_seconds(F.col(column)) / seconds).cast("long")
 
 
 def fitted(

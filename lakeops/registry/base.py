@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lakeops.functions.clock import epoch_seconds
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -48,7 +50,7 @@ def passages(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ts").cast("date").alias("day"),
         F.col("event_type").alias("line"),
         (F.col("user_id") % 20).alias("stop"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("planned_s"),
+        epoch_seconds(F.col("ts")).alias("planned_s"),
         F.round((F.col("value") - 50) * 6).cast("int").alias("deviation_s"),
     )
 

@@ -121,14 +121,16 @@ def catalog_statements(spark, d):
     tables.append(rows.filter(LATER).select(*before.columns), paths["kept"])
     tables.refresh(spark, f"{database}.kept")
     tables.drop_with_files(spark, f"{database}.dropped", paths["dropped"])
-    found = tables.list_tables(spark, database).select(F.col("tableName").alias("name"))
+    listed = tables.list_tables(spark, database).select(F.col("tableName").alias("name"))
     described = tables.describe(spark, f"{database}.kept").filter(F.col("col_name").isin(before.columns))
+    width = described.agg(F.count(F.lit(1)).cast("int").alias("columns"))
     counted = tables.read_table(spark, f"{database}.kept").agg(F.count(F.lit(1)).alias("orders"))
-    # One row a table of this database, one row of counts.
-    left = found.join(counted.withColumn("name", F.lit("kept")), "name", "left")
-    width = described.agg(F.count(F.lit(1)).cast("int").alias("columns")).withColumn("name", F.lit("kept"))
+    parts = listed.unionByName(width, allowMissingColumns=True).unionByName(counted, allowMissingColumns=True)
     there = [n for n, path in paths.items() if tables.path_exists(spark, path)]
-    return left.join(width, "name", "left").withColumn("found", F.lit(",".join(there)))
+    return parts.agg(
+        F.array_join(F.array_sort(F.collect_list("name")), ",").alias("name"), F.lit(",".join(there)).alias("found"),
+        F.max("columns").alias("columns"), F.max("orders").alias("orders"),
+    )
 
 
 @query(
@@ -229,8 +231,8 @@ def stream_progress(spark, d):
     batches = [p for p in sinks.progress_rows(found) if p["rows"]]
     found.stop()
     seen = local_table(spark, [(name.split("-")[0], sum(p["rows"] for p in batches), len(batches))], "name string, read bigint, batches int")
-    stored = spark.read.parquet(out).agg(F.lit("watched").alias("name"), F.count(F.lit(1)).alias("stored"))
-    return seen.join(stored, "name")
+    both = seen.unionByName(spark.read.parquet(out).agg(F.count(F.lit(1)).alias("stored")), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("name", "read", "batches", "stored")])
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lakeops.functions.coding import flag
 from lakeops.operators import lookback as look, screening
@@ -227,6 +227,28 @@ def tree_top_leaf_rules(spark, d):
     return screening.leaf_rules(model, scored, FACTORS).join(best.select("leaf", "rows", "rate"), "leaf")
 
 
+@query(
+    "tree_rules_cover",
+    f"""WITH {PANEL} SELECT count(*) AS rows, count(*) AS by_rules, CAST(sum(flag) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS elsewhere, count(*) AS correct_or_wrong FROM panel""",
+)
+def tree_rules_cover(spark, d):
+    """Every row meets the rules of one leaf, and it is the leaf the model puts it in."""
+    model, scored = _tree(spark, d)
+    rules = screening.leaf_rules(model, scored, FACTORS)
+    values = F.create_map(*[x for f in FACTORS for x in (F.lit(f), F.col(f))])
+    # Rows with equal factors meet the same rules, so combinations are tested in place of rows.
+    kinds = scored.groupBy(*FACTORS, F.col("leaf").alias("given")).agg(F.count(F.lit(1)).alias("n")).withColumn("value", values)
+    steps = rules.select("leaf", "holds", F.col("factor").alias("rule")).withColumn("needed", F.count("rule").over(Window.partitionBy("leaf")))
+    tested = kinds.select("given", "n", *FACTORS, F.explode("value").alias("rule", "v")).join(steps, "rule")
+    met = tested.groupBy("given", "n", *FACTORS, "leaf", "needed").agg(F.count_if((F.col("v") == 1) == F.col("holds")).alias("met"))
+    covered = met.filter("met = needed").agg(F.sum("n").alias("by_rules"), F.coalesce(F.sum(F.when(F.col("leaf") != F.col("given"), F.col("n"))), F.lit(0)).alias("elsewhere"))
+    stats = screening.leaf_stats(scored, "flag").agg(
+        F.sum("rows").alias("rows"), F.sum("positives").alias("positives"), F.sum(F.col("correct") + F.col("wrong")).alias("correct_or_wrong")
+    )
+    both = stats.unionByName(covered, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 @query("factor_importance")
 def factor_importance(spark, d):
     model, scored = _tree(spark, d)

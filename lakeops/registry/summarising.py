@@ -75,6 +75,27 @@ def approximate_percentiles(spark, d):
     )
 
 
+@query(
+    "approximate_percentile_ranks",
+    """SELECT l_returnflag, count(*) AS n, true AS low, true AS median, true AS high FROM lineitem GROUP BY 1""",
+)
+def approximate_percentile_ranks(spark, d):
+    """Whether the rank of each approximate percentile is within the sketch's bound of the rank asked for."""
+    wanted = {"low": 0.3, "median": 0.5, "high": 0.9}
+    lines = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
+    ranks = lines.join(approximate_percentiles(spark, d), "l_returnflag").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col("l_extendedprice") < F.col(name)).alias(f"{name}_below") for name in wanted],
+        *[F.count_if(F.col("l_extendedprice") <= F.col(name)).alias(f"{name}_upto") for name in wanted],
+    )
+
+    def within(name: str, p: float):
+        slack = F.col("n") * 0.001 + 1
+        return (F.col(f"{name}_below") <= F.col("n") * p + slack) & (F.col(f"{name}_upto") >= F.col("n") * p - slack)
+
+    return ranks.select("l_returnflag", "n", *[within(name, p).alias(name) for name, p in wanted.items()])
+
+
 @query(
     "quantile_flag",
     """SELECT event_id, CASE WHEN value >= (SELECT quantile_disc(value, 0.9) FROM events) THEN 1 ELSE 0 END AS is_high FROM events""",

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from lakeops.functions.clock import epoch_micros, epoch_seconds, seconds_to_ntz
 from lakeops.operators import timeline as tl
 
 DDL = "k string, o int, i int, v int"
@@ -133,3 +134,16 @@ def test_chunks_narrow_until_the_fullest_fits(spark, bound, fullest):
     assert max(sizes) <= fullest
     out = tl.along(df, tl.Timeline(("k",), ("t", "i"), chunk), {"rank": tl.position()})
     assert [r["rank"] for r in out.filter("k = 'hot'").orderBy("i").collect()] == list(range(1, 401))
+
+
+def test_slices_keep_to_the_clock_where_a_zone_skips_an_hour(spark):
+    """02:30 and 03:10 of a spring night are in order, whatever the session zone makes of them."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    stamps = [dt.datetime(2024, 3, 31, h, m, 0, 5) for h, m in ((1, 50), (2, 30), (3, 10), (3, 40))]
+    df = session.createDataFrame([("a", t, i) for i, t in enumerate(stamps)], "k string, t timestamp_ntz, i int")
+    numbered = tl.along(df, tl.Timeline(("k",), ("t", "i"), tl.every("t", 1800)), {"n": tl.position()})
+    assert [r["n"] for r in numbered.orderBy("i").collect()] == [1, 2, 3, 4]
+    micros = df.select("i", epoch_micros(F.col("t")).alias("us"), seconds_to_ntz(epoch_seconds(F.col("t"))).alias("s")).orderBy("i").collect()
+    assert [r["us"] for r in micros] == [int((t - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) for t in stamps]
+    assert [r["s"] for r in micros] == [t.replace(microsecond=0) for t in stamps]
