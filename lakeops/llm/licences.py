@@ -190,6 +190,8 @@ def find_licences(
     own = said.join(distinct, "text").select("text", "family", "probability", F.array_distinct(runs(F.col("words"), 3)).alias("own"))
     best = F.max(F.size(F.array_intersect("own", "runs")) / F.size("runs")).alias("template_share")
     confirmed = own.join(F.broadcast(known), "family").groupBy("text", "family", "probability").agg(best).filter(F.col("template_share") >= min_share)
+    # Stored, so that the lines of one frequent text can be split in the join.
+    confirmed = stored(confirmed, "confirmed")
     return lines.join(confirmed, "text").select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), "family", F.round("probability", 6).alias("probability"), "template_share")
 
 
