@@ -1,13 +1,17 @@
-"""Licence statements in documents, by a trained paragraph classifier. DataFrame operations only.
+"""Licence statements in documents, by a trained classifier of passages. DataFrame operations only.
 
-A sparse logistic regression over word 1- and 2-grams gives each paragraph a licence family or
+A passage is a line, or some lines in a row of one paragraph (lines with words, up to a line without)
+that together hold a template, as notices wrapped by hand do. Comment marks hold no word, so they
+neither count nor join paragraphs.
+
+A sparse logistic regression over word 1- and 2-grams gives each passage a licence family or
 ``unknown``; its probabilities are tempered on held-out rows, and below a threshold the answer is
-``unknown`` too. A predicted family stands only if a template of it is found in the paragraph: enough
-of the template's word 3-grams.
+``unknown`` too. A predicted family stands only if a template of it is found in the passage: enough
+of the word 3-grams of a sentence, a bare title as the whole passage, or an SPDX tag.
 
-That confirmation also says which paragraphs can't come out as a licence. ``anchors`` picks words
-such that no template can be confirmed without one of them, and paragraphs without any aren't looked
-at further. Equal paragraphs are classified once.
+That confirmation also says which passages can't come out as a licence. ``anchors`` picks words
+such that no template can be confirmed without one of them, and passages without any aren't looked
+at further. Equal passages are classified once.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from itertools import product
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lakeops.llm.common import query, stored, table
 from lakeops.session import local_table
@@ -57,6 +61,26 @@ NOTICES = {
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "EPL": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License"],
 }
+#: What a passage that is a title and nothing more says; {1} is the family.
+TITLES = ["{0}", "The {0}", "{0} ({1})", "The {0} ({1})", "License: {0}"]
+TAG = "spdx-license-identifier"
+#: Identifiers of SPDX tags.
+TAGS = {
+    "MIT": ["MIT", "MIT-0"],
+    "Apache": ["Apache-2.0", "Apache-1.1"],
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "0BSD"],
+    "GPL": ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "LGPL": ["LGPL-2.0", "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "AGPL": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "MPL": ["MPL-1.1", "MPL-2.0"],
+    "ISC": ["ISC"],
+    "EPL": ["EPL-1.0", "EPL-2.0"],
+    "CC-BY": ["CC-BY-3.0", "CC-BY-4.0"],
+    "CC-BY-SA": ["CC-BY-SA-3.0", "CC-BY-SA-4.0"],
+    "CC-BY-NC": ["CC-BY-NC-3.0", "CC-BY-NC-4.0"],
+    "CC-BY-ND": ["CC-BY-ND-3.0", "CC-BY-ND-4.0"],
+    "CC0": ["CC0-1.0"],
+}
 #: Sentences that speak of licences and state none.
 OTHERS = ["A driving license is required for this work", "The license plate was found under the car", "Permission to enter was granted by the public office",
           "The general public was released under the terms of the new version", "All rights reserved by the author", "Please read the terms of use",
@@ -69,6 +93,20 @@ def templates() -> list[tuple[str, str]]:
     return stated + [(family, text) for family, texts in NOTICES.items() for text in texts]
 
 
+def named() -> list[tuple[str, str]]:
+    """Names and identifiers that make titles; those of a few letters are words of other meaning too."""
+    return [(family, name) for names in (NAMES, TAGS) for family, listed in names.items() for name in listed if len(name) > 4]
+
+
+def titles() -> list[tuple[str, str]]:
+    """Titles that state a licence where they stand alone."""
+    return list(dict.fromkeys((family, title.format(name, family)) for family, name in named() for title in TITLES))
+
+
+def tags() -> list[tuple[str, str]]:
+    return [(family, f"SPDX-License-Identifier: {name}") for family, names in TAGS.items() for name in names]
+
+
 def words(text: Column) -> Column:
     """Lower-cased runs of letters, digits and inner dots and hyphens."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"), F.lit(0))
@@ -80,6 +118,17 @@ def runs(column: Column, n: int) -> Column:
     return F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(column, i, n), " "))
 
 
+def whole(column: Column) -> Column:
+    """All words as what a title is compared with."""
+    return F.concat(F.lit("= "), F.array_join(column, " "))
+
+
+def marks(column: Column) -> Column:
+    """What templates are compared with: runs of 3 words, the whole, and SPDX tags with the word after them."""
+    tagged = F.filter(runs(column, 2), lambda run: run.startswith(f"{TAG} "))
+    return F.array_distinct(F.concat(runs(column, 3), F.array(whole(column)), tagged))
+
+
 def grams(column: Column) -> Column:
     return F.array_distinct(F.concat(column, F.when(F.size(column) > 1, runs(column, 2)).otherwise(F.array())))
 
@@ -116,10 +165,10 @@ def train(docs: DataFrame, text: str = "text", background: int = 2_000) -> Model
     state no licence, and about ``background`` lines of the documents, picked by hash, that share no
     3-word run with a template."""
     spark = docs.sparkSession
-    positive = [(f, t) for f, t in templates()]
+    positive = [*templates(), *titles(), *tags()]
     positive += [(f, " ".join(t.split()[k:])) for f, t in templates() for k in (1, 2) if len(t.split()) > 5]
     rows = local_table(spark, [*positive, *[(UNKNOWN, t) for t in OTHERS * 5]], "label string, text string")
-    known = local_table(spark, templates(), "label string, text string").select(F.explode(runs(words(F.col("text")), 3)).alias("run")).distinct()
+    known = local_table(spark, [*templates(), *titles(), *tags()], "label string, text string").select(F.explode(runs(words(F.col("text")), 3)).alias("run")).distinct()
     total = docs.count() or 1
     drawn = F.pmod(F.xxhash64(F.col(text), F.lit("licences")), F.lit(2**32)) < int(min(1.0, background / total) * 2**32)
     line = docs.filter(drawn & F.col(text).isNotNull()).select(F.explode(F.slice(F.split(text, "\n", -1), 1, 3)).alias("text")).distinct()
@@ -162,37 +211,82 @@ def classify(paragraphs: DataFrame, model: Model, min_probability: float = 0.5)
     return sure.withColumn("family", F.when(F.col("probability") >= min_probability, F.col("family")).otherwise(UNKNOWN))
 
 
+def spans(lines: DataFrame, known: DataFrame, min_share: float) -> DataFrame:
+    """(row, line, last, text) of lines in a row, inside a paragraph, that hold ``min_share`` of a sentence's
+    3-word runs within twice its length.
+
+    ``lines``: (row, line, text, words) of lines with words; ``known``: (template, runs) of sentences.
+    """
+    here = F.col("line") - F.row_number().over(Window.partitionBy("row").orderBy("line"))
+    lined = lines.withColumn("part", here)
+    listed = F.array_sort(F.collect_list(F.struct("line", "words")))
+    parts = lined.groupBy("row", "part").agg(listed.alias("lines")).filter(F.size("lines") > 1)
+    placed = F.flatten(F.transform("lines", lambda x: F.transform(x["words"], lambda w: F.struct(x["line"].alias("line"), w.alias("word")))))
+    parts = parts.select("row", "part", placed.alias("at")).filter(F.size("at") > 2)
+    run = lambda i: F.struct(
+        F.array_join(F.transform(F.slice("at", i, 3), lambda x: x["word"]), " ").alias("run"), i.alias("place"),
+        F.element_at("at", i)["line"].alias("line"), F.element_at("at", i + 2)["line"].alias("last"),
+    )
+    ran = parts.select("row", "part", F.inline(F.transform(F.sequence(F.lit(1), F.size("at") - 2), run)))
+    held = ran.join(F.broadcast(known.select("template", F.size("runs").alias("size"), F.explode("runs").alias("run"))), "run")
+    after = Window.partitionBy("row", "part", "template").orderBy(F.floor(F.col("place") * 1000 / F.col("size"))).rangeBetween(0, 2000)
+    found = held.withColumns({"share": F.size(F.collect_set("run").over(after)) / F.col("size"), "end": F.max("last").over(after)})
+    found = found.filter((F.col("share") >= min_share) & (F.col("end") > F.col("line"))).select("row", "line", F.col("end").alias("last")).distinct()
+    inside = lines.select("row", F.col("line").alias("n"), F.col("text").alias("t"))
+    joined = found.join(inside, "row").filter(F.col("n").between(F.col("line"), F.col("last"))).groupBy("row", "line", "last")
+    ordered = F.array_sort(F.collect_list(F.struct("n", "t")))
+    return joined.agg(F.array_join(F.transform(ordered, lambda x: x["t"]), " ").alias("text"))
+
+
 def find_licences(
     docs: DataFrame, text: str = "text", key: str = "doc_id", min_share: float = 0.6, min_probability: float = 0.5, narrow: bool = True
 ) -> DataFrame:
-    """(doc_id, paragraph, family, probability, template_share) of the paragraphs that state a licence.
+    """(doc_id, paragraph, family, probability, template_share, n_lines) of the passages that state a licence.
 
-    A paragraph is a line; its number counts from 0. Null and empty texts have none; rows that repeat
-    a key give rows of their own; other columns are ignored. ``narrow`` uses the anchors.
+    ``paragraph`` is the number of a passage's first line, from 0, and ``n_lines`` how many lines it has. Of
+    passages of one family that share a line, the one with the highest share stands, then the shortest,
+    then the first. Null and empty texts have none; rows that repeat a key give rows of their own; other
+    columns are ignored. ``narrow`` uses the anchors.
     """
     spark = docs.sparkSession
     model = train(docs, text)
-    known = local_table(spark, templates(), "family string, template string").withColumn("runs", F.array_distinct(runs(words(F.col("template")), 3)))
-    lines = docs.select(F.col(key).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("paragraph", "text"))
+    stated = local_table(spark, templates(), "family string, template string").withColumn("runs", F.array_distinct(runs(words(F.col("template")), 3)))
+    alone = local_table(spark, titles(), "family string, template string").withColumn("runs", F.array(whole(words(F.col("template")))))
+    tagged = local_table(spark, tags(), "family string, template string").withColumn("runs", F.array(F.array_join(words(F.col("template")), " ")))
+    known = stated.unionAll(alone).unionAll(tagged)
+    held = lambda column: F.lit(True)
     if narrow:
-        listed = [list(r.w) for r in known.select(words(F.col("template")).alias("w")).collect()]
-        needed = "|".join(f"\\Q{w}\\E" for w in sorted(anchors(listed, min_share)))
+        listed = local_table(spark, [*((True, t) for _, t in templates()), *((False, t) for _, t in named())], "sentence boolean, text string")
+        listed = [(r.sentence, list(r.w)) for r in listed.select("sentence", words(F.col("text")).alias("w")).collect()]
+        # A title or tag stands only with every word of its name, so one word of each is enough.
+        chosen = {*anchors([w for sentence, w in listed if sentence], min_share), *(max(w, key=len) for sentence, w in listed if not sentence), TAG}
+        needed = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"\\Q{w}\\E" for w in sorted(chosen)) + r")(?![\p{L}\p{N}])"
         held = lambda column: F.lower(column).rlike(needed)
-        lines = (
-            docs.filter(held(F.col(text)))
-            .select(F.col(key).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("paragraph", "text"))
-            .filter(held(F.col("text")))
-        )
-    lines = stored(lines, "lines")
-    distinct = lines.select("text").distinct().withColumn("words", words(F.col("text"))).filter(F.size("words") > 0)
-    distinct = stored(distinct, "paragraphs")
+    given = docs.filter(F.col(text).isNotNull() & held(F.col(text))).select(F.struct(F.monotonically_increasing_id().alias("at"), F.col(key).alias("doc_id")).alias("row"), F.col(text).alias("text"))
+    lines = given.select("row", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")).withColumn("words", words(F.col("text")))
+    # Stored, so that a row has one number in all that follows.
+    lines = stored(lines.filter(F.size("words") > 0), "lines")
+    wrapped = spans(lines, stated, min_share)
+    passages = lines.filter(held(F.col("text"))).select("row", "line", F.col("line").alias("last"), "text").unionAll(wrapped)
+    passages = stored(passages, "passages")
+    distinct = passages.select("text").distinct().withColumn("words", words(F.col("text")))
+    distinct = stored(distinct, "distinct")
     said = classify(distinct, model, min_probability).filter(F.col("family") != UNKNOWN)
-    own = said.join(distinct, "text").select("text", "family", "probability", F.array_distinct(runs(F.col("words"), 3)).alias("own"))
+    own = said.join(distinct, "text").select("text", "family", "probability", marks(F.col("words")).alias("own"))
     best = F.max(F.size(F.array_intersect("own", "runs")) / F.size("runs")).alias("template_share")
     confirmed = own.join(F.broadcast(known), "family").groupBy("text", "family", "probability").agg(best).filter(F.col("template_share") >= min_share)
-    # Stored, so that the lines of one frequent text can be split in the join.
+    # Stored, so that the passages of one frequent text can be split in the join.
     confirmed = stored(confirmed, "confirmed")
-    return lines.join(confirmed, "text").select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), "family", F.round("probability", 6).alias("probability"), "template_share")
+    n_lines = F.col("last") - F.col("line") + 1
+    rated = F.struct((-F.col("template_share")).alias("worse"), n_lines.alias("n_lines"), "line", "last", "probability")
+    sorted_ = passages.join(confirmed, "text").groupBy("row", "family").agg(F.array_sort(F.collect_list(rated)).alias("rated"))
+    shared = lambda kept, x: F.exists(kept, lambda k: (k["line"] <= x["last"]) & (k["last"] >= x["line"]))
+    none = F.filter("rated", lambda x: F.lit(False))
+    kept = F.aggregate("rated", none, lambda kept, x: F.when(shared(kept, x), kept).otherwise(F.concat(kept, F.array(x))))
+    return sorted_.select("row", "family", F.inline(kept)).select(
+        "row.doc_id", F.col("line").cast("long").alias("paragraph"), "family", F.round("probability", 6).alias("probability"),
+        (-F.col("worse")).alias("template_share"), F.col("n_lines").cast("long").alias("n_lines"),
+    )
 
 
 @query("op2_licences")

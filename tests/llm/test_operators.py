@@ -172,6 +172,38 @@ def test_licences_anchors_lose_nothing(spark):
     assert narrow == wide and {(r[0], r[1], r[2]) for r in narrow if r[0] < 0} == {(-1, 0, "MIT"), (-3, 0, "GPL")}
 
 
+def test_licences_wrapped_titles_and_tags(spark):
+    bsd = """/*
+ * Copyright (c) 2020, Someone
+ * Redistribution and use in source and binary
+ * forms, with or without modification, are
+ * permitted provided that the following
+ * conditions are met:
+ */
+int x;"""
+    isc = """Permission to use, copy, modify, and/or distribute
+this software for any purpose with or without fee is
+hereby granted, provided that the above"""
+    mit = """// Permission is hereby granted, free of charge, to any person
+// obtaining a copy of this software and associated documentation
+// files (the "Software"), to deal in the Software without
+// restriction, including without limitation the rights"""
+    gpl = """first words
+# This program is free software: you can redistribute
+# it and/or modify it under the terms of the GNU
+# General Public License as published by the
+# Free Software Foundation, either version 3"""
+    torn = isc.replace("\n", "\n\n")
+    texts = [bsd, isc, mit, gpl, "The MIT License (MIT)\n\nCopyright", "MIT License", "// SPDX-License-Identifier: MIT\nint y;", "# SPDX-License-Identifier: GPL-2.0-or-later",
+             "Apache License\nVersion 2.0, January 2004", "SPDX-License-Identifier: BSD-3-Clause", torn, "He got a license of the city"]
+    found = licences.find_licences(docs(spark, [(i, t, "") for i, t in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.family) for r in found} == {
+        (0, "BSD"), (1, "ISC"), (2, "MIT"), (3, "GPL"), (4, "MIT"), (5, "MIT"), (6, "MIT"), (7, "GPL"), (8, "Apache"), (9, "BSD")
+    }
+    at = {r.doc_id: (r.paragraph, r.n_lines) for r in found}
+    assert at[0] == (2, 4) and at[1] == (0, 3) and at[4] == at[5] == at[6] == (0, 1) and at[3][0] in (1, 2)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
