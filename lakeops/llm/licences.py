@@ -160,25 +160,38 @@ class Model:
     temperature: float
 
 
+def background_lines(docs: DataFrame, text: str = "text", most: int = 2_000, per_document: int = 3) -> DataFrame:
+    """(text, paragraph) of about ``per_document`` lines of each of about ``most`` documents, both drawn by hash, wherever
+    in the document they stand, with their paragraph; all lines of a document with fewer."""
+    total = docs.count() or 1
+    below = lambda bound, *key: F.pmod(F.xxhash64(*key), F.lit(2**32)) < bound
+    picked = docs.filter(below(int(min(1.0, most / total) * 2**32), F.col(text), F.lit("licences")) & F.col(text).isNotNull())
+    split = lambda column: F.split(column, "\n", -1)
+    # Cut where a line without words stands.
+    parts = F.posexplode(F.split(text, r"\n[^\p{L}\p{N}\n]*(?=\n)", -1)).alias("part", "paragraph")
+    lines = picked.select(F.xxhash64(text).alias("of"), F.size(split(text)).alias("n"), parts)
+    lines = lines.select("of", "n", "part", "paragraph", F.posexplode(split(F.col("paragraph"))).alias("at", "text"))
+    return lines.filter(below(F.least(F.lit(1.0), per_document / F.col("n")) * 2**32, "of", "part", "at", "text")).select("text", "paragraph")
+
+
 def train(docs: DataFrame, text: str = "text", background: int = 2_000) -> Model:
     """A model from the templates, with endings and openings varied, against ``unknown``: sentences that
-    state no licence, and about ``background`` lines of the documents, picked by hash, that share no
-    3-word run with a template."""
+    state no licence, and lines of the documents (``background_lines``) whose paragraph shares no 3-word
+    run with a template: the rest of a notice says as little against it as the templates themselves."""
     spark = docs.sparkSession
-    positive = [*templates(), *titles(), *tags()]
+    stated = [*templates(), *titles(), *tags() * 2]
+    positive = list(stated)
     positive += [(f, " ".join(t.split()[k:])) for f, t in templates() for k in (1, 2) if len(t.split()) > 5]
-    rows = local_table(spark, [*positive, *[(UNKNOWN, t) for t in OTHERS * 5]], "label string, text string")
+    # Each template is learned from; only endings, openings and background are left out below.
+    rows = local_table(spark, [*((f, t, k < len(stated)) for k, (f, t) in enumerate(positive)), *[(UNKNOWN, t, False) for t in OTHERS * 5]], "label string, text string, learned boolean")
     known = local_table(spark, [*templates(), *titles(), *tags()], "label string, text string").select(F.explode(runs(words(F.col("text")), 3)).alias("run")).distinct()
-    total = docs.count() or 1
-    drawn = F.pmod(F.xxhash64(F.col(text), F.lit("licences")), F.lit(2**32)) < int(min(1.0, background / total) * 2**32)
-    line = docs.filter(drawn & F.col(text).isNotNull()).select(F.explode(F.slice(F.split(text, "\n", -1), 1, 3)).alias("text")).distinct()
-    line = line.withColumn("words", words(F.col("text"))).filter(F.size("words") > 0)
-    stating = line.select("text", F.explode(runs(F.col("words"), 3)).alias("run")).join(known, "run").select("text").distinct()
-    line = line.join(stating, "text", "left_anti").select(F.lit(UNKNOWN).alias("label"), "text")
+    line = background_lines(docs, text, background).filter(F.size(words(F.col("text"))) > 0).distinct()
+    stating = line.select("paragraph", F.explode(runs(words(F.col("paragraph")), 3)).alias("run")).join(known, "run").select("paragraph").distinct()
+    line = line.join(stating, "paragraph", "left_anti").select(F.lit(UNKNOWN).alias("label"), "text", F.lit(False).alias("learned")).distinct()
     rows = stored(rows.unionAll(line).withColumn("grams", grams(words(F.col("text")))), "licence-rows")
     families = sorted({UNKNOWN, *NAMES})
     place = F.create_map(*[F.lit(x) for i, f in enumerate(families) for x in (f, float(i))])
-    numbered = rows.withColumn("y", place[F.col("label")]).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(5)))
+    numbered = rows.withColumn("y", place[F.col("label")]).withColumn("fold", F.when(F.col("learned"), 1).otherwise(F.pmod(F.xxhash64("text"), F.lit(5))))
     counted = CountVectorizer(inputCol="grams", outputCol="x", vocabSize=20_000, minDF=2.0, binary=True).fit(numbered)
     fitted = LogisticRegression(featuresCol="x", labelCol="y", maxIter=40, regParam=1e-3, elasticNetParam=0.3, family="multinomial")
     rest = fitted.fit(counted.transform(numbered.filter("fold > 0")))

@@ -204,6 +204,14 @@ hereby granted, provided that the above"""
     assert at[0] == (2, 4) and at[1] == (0, 3) and at[4] == at[5] == at[6] == (0, 1) and at[3][0] in (1, 2)
 
 
+def test_licences_learn_from_whole_documents(spark):
+    rows = [(i, "\n".join(f"line {i} {k}" for k in range(30)), "") for i in range(200)]
+    drawn = [r.text for r in licences.background_lines(docs(spark, rows)).collect()]
+    assert 450 < len(drawn) < 750 and {int(t.split()[2]) for t in drawn} == set(range(30))
+    assert len({t.split()[1] for t in drawn}) > 150
+    assert licences.background_lines(docs(spark, [(1, "a\nb\nc", ""), (2, None, "")])).count() == 3
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
