@@ -4,7 +4,7 @@ from importlib import import_module
 
 from lakeops.llm.common import ORACLE, QUERIES
 
-MODULES = ("langid", "licences", "main_text", "line_dedup", "exact_dedup", "pieces", "near_dedup", "chat", "leaks", "warc", "repair")
+MODULES = ("langid", "licences", "main_text", "line_dedup", "exact_dedup", "pieces", "near_dedup", "chat", "leaks", "warc", "repair", "suffix_tree", "phrases")
 
 for _module in MODULES:
     import_module(f"lakeops.llm.{_module}")
