@@ -54,6 +54,15 @@ def unpacked(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).reshape(-1)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted hashes, as steps from one to the next."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
 def _blocked(depth: int, block: int, kind: pa.DataType) -> Callable:
     """Blocks of documents (key, text, train). A document longer than a block goes on in the next one,
     with the ``depth`` words before it as context."""
@@ -200,7 +209,7 @@ def _asking(level: int, bits: int, least_context: int, least_next: int) -> Calla
             block = _rebuilt(rows, level - 1, least_context, least_next)
             wanted, keys, which = block.asks(level, least_context, least_next)
             learned = np.bincount(which[block.learned[wanted]], minlength=len(keys))
-            yield _batch([(number, level, at, packed(keys[part]), packed(learned[part])) for at, part in _split(keys, bits)])
+            yield _batch([(number, level, at, packed_keys(keys[part]), packed(learned[part])) for at, part in _split(keys, bits)])
 
     return run
 
@@ -209,7 +218,7 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Asks of one range of hashes, answered by the counts over all blocks. One row a range (block -1)
     has the number of n-grams that were learned, and of their occurrences."""
     for (level, at), rows in _grouped(batches, "level", "range"):
-        keys = [unpacked(row["keys"], np.uint64) for row in rows]
+        keys = [unpacked_keys(row["keys"]) for row in rows]
         _, which = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(which, np.concatenate([unpacked(row["payload"], np.int64) for row in rows])).astype(np.int64)
         ends = np.cumsum([len(k) for k in keys])
@@ -236,11 +245,10 @@ def _testing(depth: int, words: int, bits: int, least_context: int, least_next:
                 values[1] = np.bincount(which[own], minlength=len(keys))
                 values[2] = np.bincount(which[own], 1 / c[own], minlength=len(keys))
                 values[3] = np.bincount(which[own], told, minlength=len(keys))
-                # Whole numbers and single precision are enough, and half as long.
-                out += [
-                    (number, TEST + d, at_, packed(keys[part]), packed(np.ascontiguousarray(values[:, part].T).reshape(-1).astype(np.float32)))
-                    for at_, part in _split(keys, bits)
-                ]
+                for at_, part in _split(keys, bits):
+                    # Two numbers that are whole in a block, two of which single precision is enough.
+                    short = np.concatenate([values[:2, part].astype(np.uint32), values[2:, part].astype(np.float32).view(np.uint32)])
+                    out.append((number, TEST + d, at_, packed_keys(keys[part]), packed(short.reshape(-1))))
             yield _batch(out)
 
     return run
@@ -249,11 +257,12 @@ def _testing(depth: int, words: int, bits: int, least_context: int, least_next:
 def _judging(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whether contexts are states: of those that are, the occurrences of next words told apart and how many these are."""
     for (level, at), rows in _grouped(batches, "level", "range"):
-        keys = [unpacked(row["keys"], np.uint64) for row in rows]
+        keys = [unpacked_keys(row["keys"]) for row in rows]
         _, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        values = np.concatenate([unpacked(row["payload"], np.float32).reshape(-1, 4) for row in rows]).astype(np.float64)
-        n = values[first, 0]
-        total, different, ratio = (np.bincount(which, values[:, k]) for k in (1, 2, 3))
+        short = np.concatenate([unpacked(row["payload"], np.uint32).reshape(4, -1) for row in rows], axis=1)
+        n = short[0][first].astype(np.float64)
+        total = np.bincount(which, short[1])
+        different, ratio = (np.bincount(which, x.view(np.float32)) for x in np.ascontiguousarray(short[2:]))
         different = np.round(different)  # each next word adds 1, in parts
         state = ratio > 0.5 * different * np.log(np.maximum(n, 2))
         said = np.stack([np.where(state, total, -1.0), np.where(state, different, 0.0)], axis=1)
