@@ -12,8 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.functions.clock import epoch_micros
-from lakeops.operators.timeline import Timeline, along, fitted, last_known, next_known, running_total
-from lakeops.session import size_checked
+from lakeops.operators.timeline import ROWS, Timeline, along, last_known, next_known, running_total
 
 
 def clean_key(column: Column, kind: str | None = None) -> Column:
@@ -27,35 +26,46 @@ def band_join(
     value: Column,
     low: str,
     high: str,
-    width: float,
     how: str = "left",
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """OP-74: ``value BETWEEN low AND high`` as an equi join.
+    """OP-74: ``value BETWEEN low AND high`` as an equi join over power-of-two cells.
 
-    A band is repeated for every slot of ``width`` it touches, a fact has one slot; the
-    exact predicate afterwards makes the result independent of the width. Both bounds
-    are inclusive, so touching bands both match. Bands are checked for size: few enough,
-    they are joined in place; too many, both sides are shuffled by slot.
+    A band lies on the level whose cells are at least as long as itself, so it touches one or two
+    of them, however long it is; a fact probes one cell on each level that some band lies on. The
+    exact predicate decides afterwards. Both bounds are inclusive, so touching bands both match; a
+    null bound, or a low above its high, matches nothing. ``how`` is inner or left.
     """
-    bands = size_checked(bands)
-    slot = F.floor(F.col("__value") / width).cast("long")
-    left = facts.withColumn("__value", value).withColumn("__slot", slot)
-    right = bands.withColumn(
-        "__slot",
-        F.explode(
-            F.when(
-                F.col(low) <= F.col(high),
-                F.sequence(F.floor(F.col(low) / width).cast("long"), F.floor(F.col(high) / width).cast("long")),
-            )
-        ),
-    )
-    l, r = left.alias("l"), right.alias("r")
-    on = (F.col("l.__slot") == F.col("r.__slot")) & F.col("l.__value").between(F.col(f"r.{low}"), F.col(f"r.{high}"))
+    length = F.col(high).cast("double") - F.col(low).cast("double")
+    # The lengths of bands that are one point long say nothing about a level; any will do.
+    level = F.when(length > 0, F.ceil(F.log2(length))).otherwise(0).cast("int")
+    cell = lambda at, size: F.floor(at.cast("double") / F.pow(F.lit(2.0), size)).cast("long")
+    leveled = bands.filter(F.col(low) <= F.col(high)).withColumn("__level", level)
+    ends = F.array_distinct(F.array(cell(F.col(low), F.col("__level")), cell(F.col(high), F.col("__level"))))
+    # The end cells are neighbours or the same.
+    right = leveled.withColumn("__cell", F.explode(ends)).alias("r")
+    levels = leveled.agg(F.collect_set("__level")).scalar()
+    probed = facts.withColumns({"__value": value, "__levels": levels}).withColumn("__level", F.explode("__levels"))
+    left = probed.withColumn("__cell", cell(F.col("__value"), F.col("__level"))).alias("l")
+    on = (F.col("l.__level") == F.col("r.__level")) & (F.col("l.__cell") == F.col("r.__cell"))
+    on = on & F.col("l.__value").between(F.col(f"r.{low}"), F.col(f"r.{high}"))
     for key in keys:
         on = on & (F.col(f"l.{key}") == F.col(f"r.{key}"))
     kept = [c for c in bands.columns if c not in keys]
-    return l.join(r, on, how).select(*[F.col(f"l.`{c}`") for c in facts.columns], *[F.col(f"r.`{c}`") for c in kept])
+    joined = left.join(right, on)
+    out = joined.select(*[F.col(f"l.`{c}`") for c in facts.columns], *[F.col(f"r.`{c}`") for c in kept])
+    if how == "inner":
+        return out
+    # A fact has a band if another one with its keys and value has.
+    found = joined.select(*[F.col(f"l.`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)], F.col("l.__value").alias("__found")).distinct()
+    valued = facts.withColumn("__value", value)
+    same = valued["__value"] == found["__found"]
+    for i, key in enumerate(keys):
+        same = same & (valued[key] == found[f"__k{i}"])
+    alone = valued.join(found, same, "left_anti").select(
+        *[F.col(f"`{c}`") for c in facts.columns], *[F.lit(None).cast(bands.schema[c].dataType).alias(c) for c in kept]
+    )
+    return out.unionAll(alone)
 
 
 def nearest_event(
@@ -69,8 +79,7 @@ def nearest_event(
     back_s: float,
     ahead_s: float,
     ahead_weight: int = 10,
-    chunk_s: int = 86400,
-    chunk_rows: int = 250_000,
+    chunk_rows: int = ROWS,
 ) -> DataFrame:
     """OP-76: the cheapest event around each subject row; rows without one are kept.
 
@@ -79,8 +88,8 @@ def nearest_event(
     grows with the distance, so the winner is the last event before or the first event
     after: two fills along the merged timeline, never a pair per candidate. Equal cost
     takes the earlier event; events at one instant take the first in ``event_order``.
-    Chunks start at ``chunk_s`` and narrow until none holds more than about ``chunk_rows``
-    rows.
+    Keys are cut into chunks of about ``chunk_rows`` rows, also where many subjects fall on
+    one instant.
     """
     at = "__at"
     # Keys and times compare as in SQL: a null matches nothing.
@@ -99,12 +108,10 @@ def nearest_event(
     )
     rows = subjects.withColumn(at, F.col(subject_time)).withColumn("__kind", F.lit(1))
     merged = rows.unionByName(marks, allowMissingColumns=True)
-    moments = subjects.select(*keys, F.col(subject_time).alias(at)).unionByName(
-        events.select(*keys, F.col(event_time).alias(at))
-    )
-    merged = merged.withColumn("__chunk_at", fitted(moments, keys, at, chunk_s, chunk_rows))
-    # __kind 0 sorts events before subjects of the same instant: distance 0 counts as "back".
-    line = Timeline(tuple(keys), (at, "__kind"), F.col("__chunk_at"))
+    # __kind 0 sorts events before subjects of the same instant: distance 0 counts as "back". The order of
+    # subjects of one instant doesn't matter, a hash of the row lets them be cut.
+    merged = merged.withColumn("__tie", F.xxhash64(*subjects.columns))
+    line = Timeline(tuple(keys), (at, "__kind", "__tie"), chunk_rows)
     seen = along(merged, line, {"__back": last_known("__event"), "__ahead": next_known("__event")})
     seen = seen.filter(F.col("__kind") == 1)
 
@@ -131,16 +138,16 @@ def count_in_ranges(
     high: str,
     at: str,
     out: str,
-    chunk_s: int = 86400,
-    chunk_rows: int = 250_000,
+    chunk_rows: int = ROWS,
 ) -> DataFrame:
     """Number of points of the same key within each ``[low, high]`` span, both ends included.
 
     The count is the difference of two running totals on the merged timeline, so its cost
-    is the rows, never the pairs: right for big spans over big, skewed keys. Chunks start at
-    ``chunk_s`` and narrow until none holds more than about ``chunk_rows`` rows.
+    is the rows, never the pairs: right for big spans over big, skewed keys. Keys are cut into
+    chunks of about ``chunk_rows`` rows, also where many points fall on one instant.
     """
-    # Among equal instants a span opens before the points and closes after them.
+    # Among equal instants a span opens before the points and closes after them, so points of one
+    # instant may come in any order and be cut apart.
     ends = F.array(
         F.struct(F.col(low).alias("__at"), F.lit(0).alias("__kind")),
         F.struct(F.col(high).alias("__at"), F.lit(2).alias("__kind")),
@@ -148,13 +155,12 @@ def count_in_ranges(
     sides = spans.select(*keys, F.col(span_id).alias("__id"), F.explode(ends).alias("__end")).select(
         *keys, "__id", "__end.*"
     )
-    marks = points.dropna(subset=[*keys, at]).select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind"))
-    marks = marks.withColumn("__one", F.lit(1))
-    merged = sides.unionByName(marks, allowMissingColumns=True)
-    moments = merged.select(*keys, "__at")
-    merged = merged.withColumn("__slice", fitted(moments, keys, "__at", chunk_s, chunk_rows))
-    line = Timeline(tuple(keys), ("__at", "__kind"), F.col("__slice"))
-    counted = along(merged, line, {"__upto": running_total(F.coalesce("__one", F.lit(0)), peers_share=True)})
+    marks = points.dropna(subset=[*keys, at]).select(
+        *keys, F.col(at).alias("__at"), F.lit(1).alias("__kind"), F.lit(1).alias("__one"), F.xxhash64(*points.columns).alias("__tie")
+    )
+    merged = sides.withColumn("__tie", F.xxhash64("__id")).unionByName(marks, allowMissingColumns=True)
+    line = Timeline(tuple(keys), ("__at", "__kind", "__tie"), chunk_rows)
+    counted = along(merged, line, {"__upto": running_total(F.coalesce("__one", F.lit(0)))})
     sign = F.when(F.col("__kind") == 2, 1).otherwise(-1)
     totals = counted.filter(F.col("__kind") != 1).groupBy("__id").agg(F.sum(F.col("__upto") * sign).alias(out))
     return spans.join(totals, F.col(span_id) == F.col("__id"), "left").drop("__id")

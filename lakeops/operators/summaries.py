@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeops.session import size_checked
 
 
 def conditional_counts(conditions: Mapping[str, Column]) -> list[Column]:
@@ -32,27 +31,23 @@ def rate(part: Column, whole: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probabilities: Mapping[str, str],
-    width: float,
-    groups: Sequence[str] = (),
-    refine: int | None = 1024,
+    df: DataFrame, value: str, probabilities: Mapping[str, str], groups: Sequence[str] = (), slots: int = 16_384, levels: int = 2
 ) -> DataFrame:
     """OP-91/154: discrete quantiles, exact at any group size.
 
-    Values are counted per slot of ``width`` (one row per group and slot after the map-side
-    combine) to find the slot holding each wanted rank; that slot is counted again in
-    ``refine`` finer slots; only the last slot's distinct values are ranked one by one. No
-    group's values are ever gathered. Slots in use are checked for size: few, they filter
-    the values in place; many, both sides are shuffled by group and slot. Give ``refine=None`` where a slot holds few distinct
-    values anyway. Probabilities are decimal text, so ranks carry no rounding.
+    Values are counted in ``slots`` slots between the smallest and the largest value, one row per group and
+    slot after the map-side combine, which finds the slot of each wanted rank; its values are
+    counted again in slots between its own smallest and largest value, and so on. So a level ranks
+    ``slots`` rows a group and quantile at most, whatever the values; far outliers cost one level. The distinct
+    values of the last slots, which some 270 million cells don't tell apart, are ranked one by one; give
+    more ``levels`` where a few outliers hide others. No group's values are ever gathered, and nothing runs
+    before the plan does. Probabilities are decimal text, so ranks carry no rounding.
     """
     groups = list(groups)
-    widths = [width] if refine is None else [width, width / refine]
-    slots = [f"__s{i}" for i in range(len(widths))]
-    values = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("__v"))
-    values = values.withColumns({s: F.floor(F.col("__v") / w).cast("long") for s, w in zip(slots, widths)})
+    place = lambda low, high: F.coalesce(F.floor(F.try_divide(F.col("__x") - low, high - low) * slots), F.lit(0)).cast("long")
+    values = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("__v"), F.col(value).cast("double").alias("__x"))
+    ends = [values.agg(f("__x")).scalar() for f in (F.min, F.max)]
+    rows = values.withColumn("__slot", place(*ends))
     wanted = F.explode(
         F.array(
             *[
@@ -61,37 +56,48 @@ def exact_quantiles(
             ]
         )
     )
-    counted = values.groupBy(*groups, slots[0]).agg(F.count(F.lit(1)).alias("n"))
-    ordered = Window.partitionBy(*groups).orderBy(slots[0]).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        counted.withColumns({"upto": F.sum("n").over(ordered), "total": F.sum("n").over(Window.partitionBy(*groups))})
-        .withColumn("__q", wanted)
-        .select("*", F.col("__q.name").alias("__name"))
-        .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("__q.p") * F.col("total"))).cast("long"))
-    )
-    for level, slot in enumerate([*slots[1:], "__v"]):
-        found = slots[: level + 1]
-        targets = ranked.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(
-            *[F.col(c).alias(f"__t_{c}") for c in (*groups, *found)],
-            "__name",
-            (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
+    totals = F.sum("n").over(Window.partitionBy(*groups))
+    first = _slot_counts(rows, [*groups, "__slot"], groups).withColumn("total", totals).withColumn("__q", wanted)
+    ranked = first.select("*", F.col("__q.name").alias("__name"), F.greatest(F.lit(1), F.ceil(F.col("__q.p") * F.col("total"))).cast("long").alias("rank"))
+    named = list(groups)
+    for _ in range(levels):
+        targets = ranked.filter(_HIT).select(
+            *[F.col(c).alias(f"__t{i}") for i, c in enumerate((*named, "__slot"))],
+            *([] if "__name" in named else ["__name"]), (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "low", "high",
         )
-        targets = size_checked(targets)
-        on = reduce(lambda x, y: x & y, [values[c].eqNullSafe(targets[f"__t_{c}"]) for c in (*groups, *found)])
-        finer = values.join(targets, on).groupBy(*groups, "__name", "rank", *found, slot).agg(F.count(F.lit(1)).alias("n"))
-        ordered = Window.partitionBy(*groups, "__name").orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = finer.withColumn("upto", F.sum("n").over(ordered))
-    hit = ranked.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-    return hit.groupBy(*groups).agg(
+        # A row a quantile where there are no groups; else sized as the plan runs.
+        targets = targets if groups else F.broadcast(targets)
+        held = [c for c in rows.columns if c not in ("rank", "low", "high")]
+        rows = rows.select(*held)
+        on = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(targets[f"__t{i}"]) for i, c in enumerate((*named, "__slot"))])
+        named = [*groups, "__name"]
+        joined = rows.join(targets, on).select(*[rows[c] for c in held], *([] if "__name" in held else ["__name"]), "rank", "low", "high")
+        rows = joined.withColumn("__slot", place(F.col("low"), F.col("high")))
+        ranked = _slot_counts(rows, [*named, "rank", "__slot"], named)
+    targets = ranked.filter(_HIT).select(*[F.col(c).alias(f"__t{i}") for i, c in enumerate((*named, "__slot"))], (F.col("rank") - F.col("upto") + F.col("n")).alias("left"))
+    targets = targets if groups else F.broadcast(targets)
+    on = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(targets[f"__t{i}"]) for i, c in enumerate((*named, "__slot"))])
+    last = rows.join(targets, on).groupBy(*named, "left", "__v").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(*named).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = last.withColumns({"upto": F.sum("n").over(before), "rank": F.col("left")})
+    return ranked.filter(_HIT).groupBy(*groups).agg(
         *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probabilities]
     )
 
 
-def flag_above_quantile(
-    df: DataFrame, value: str, probability: str, width: float, out: str, refine: int | None = 1024
-) -> DataFrame:
+_HIT = "upto >= rank AND upto - n < rank"
+
+
+def _slot_counts(rows: DataFrame, keys: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """Rows per slot, their smallest and largest value, and the rows up to the slot."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("low"), F.max("__x").alias("high"))
+    before = Window.partitionBy(*within).orderBy("__slot").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.withColumn("upto", F.sum("n").over(before))
+
+
+def flag_above_quantile(df: DataFrame, value: str, probability: str, out: str) -> DataFrame:
     """OP-154: 0/1 flag for values at or above a global quantile."""
-    bound = exact_quantiles(df, value, {"__bound": probability}, width, refine=refine)
+    bound = exact_quantiles(df, value, {"__bound": probability})
     return df.withColumn(out, F.when(F.col(value) >= bound.scalar(), 1).otherwise(0))
 
 

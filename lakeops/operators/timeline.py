@@ -1,14 +1,16 @@
 """Ordered-row operators that stay parallel inside one key.
 
 A plain window puts every row of a key into one task. Here a key's rows are first cut
-into *chunks* (slices of the ordering column, an hour of a timestamp say). Each chunk
-is its own window group, and what flows from one chunk to the next (the previous row,
-a running total, the last known value) is computed on one summary row per chunk and
-enters the chunk as an extra edge row. The rows themselves are shuffled once, by
-(keys, chunk), whatever the skew of the keys.
-
-``Timeline(chunk=None)`` is the plain window, right when a key is bounded by nature
-(one row per entity and day, say).
+into *chunks*, ranges of the whole order. Each chunk is its own window group, and what
+flows from one chunk to the next (the previous row, a running total, the last known
+value) is computed on one summary row per chunk and enters the chunk as an extra edge
+row. The rows themselves are shuffled once, by (keys, chunk), whatever the skew of the
+keys.
+
+``Timeline(chunk=ROWS)`` cuts keys with many rows at splitters (:func:`splitters`), which
+are values of the whole order, so rows of one instant are cut too. A column cuts where
+its value changes. ``chunk=None`` is the plain window, right when a key is bounded by
+nature (one row per entity and day, say).
 """
 
 from __future__ import annotations
@@ -25,16 +27,34 @@ _CHUNK, _EDGE = "__chunk", "__edge"
 _LEADING, _ROW, _TRAILING = 0, 1, 2
 
 
+#: Rows of a key that a chunk is meant for.
+ROWS = 262_144
+#: One row in so many is looked at to draw splitters, fewer beyond MOST looked at; every STEP-th is a splitter.
+RATE, MOST, STEP = 4_096, 2**24, 64
+
+
 @dataclass(frozen=True)
 class Timeline:
     """Rows of ``keys`` in ``order`` (a total order), cut by ``chunk``.
 
-    ``chunk`` must not decrease along the order and be equal for order peers.
+    ``chunk`` is a number of rows, or a column that doesn't decrease along the order and is equal
+    for order peers.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    chunk: Column | None = None
+    chunk: Column | int | None = None
+
+    def cut(self, rows: DataFrame) -> DataFrame:
+        """The rows with their chunk."""
+        if not isinstance(self.chunk, int):
+            return rows.withColumn(_CHUNK, self.chunk)
+        borders = splitters(rows, self.keys, self.order, self.chunk)
+        on = reduce(lambda x, y: x & y, [rows[k].eqNullSafe(borders[f"__k{i}"]) for i, k in enumerate(self.keys)])
+        # Few enough for every task: see splitters().
+        placed = rows.join(F.broadcast(borders), on, "left")
+        at = F.when(F.col("__borders").isNull(), 0).otherwise(_reached(F.col("__borders"), _order_key(self.order)))
+        return placed.withColumn(_CHUNK, at.cast("long")).drop("__borders", *[f"__k{i}" for i in range(len(self.keys))])
 
     def window(self, backwards: bool = False, leading: Sequence[str] = (), split: Sequence[str] = ()):
         """``backwards`` reads the same rows from the end. A frame that ends at unbounded
@@ -49,22 +69,37 @@ def every(column: str, seconds: int) -> Column:
     return F.floor(epoch_seconds(F.col(column)) / seconds).cast("long")
 
 
-def fitted(
-    df: DataFrame, keys: Sequence[str], column: str, seconds: int, rows_per_chunk: int = 250_000
-) -> Column:
-    """:func:`every`, narrowed until the fullest chunk of the fullest key fits a task.
+def splitters(rows: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = ROWS) -> DataFrame:
+    """(__k0, .., __borders): of keys with more than about ``size`` rows, the order values to cut them at.
 
-    Counts rows per key and slice (a narrow scan, combined map-side) and halves at least
-    once per round; only the largest count reaches the driver. A second is the finest slice.
+    One row in RATE is looked at, or one in so many that about MOST are; which one, a hash of its order
+    value says, so the same rows give the same splitters wherever the plan is run. There is a splitter
+    every STEP rows looked at and ``size`` rows or more: at most MOST / STEP altogether, whatever the
+    table's size. Nothing runs before the plan does.
     """
-    width = seconds
-    while width > 1:
-        slices = df.groupBy(*keys, every(column, width).alias("__slice")).agg(F.count(F.lit(1)).alias("__n"))
-        fullest = slices.agg(F.max("__n")).first()[0] or 0
-        if fullest <= rows_per_chunk:
-            break
-        width = max(1, int(width * rows_per_chunk / fullest / 2))
-    return every(column, width)
+    rate = max(1, min(RATE, size // STEP))
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    share = F.greatest(F.lit(rate), F.ceil(total / MOST)).cast("long")
+    names = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    seen = rows.select(*names, _order_key(order).alias("__at")).filter(F.pmod(F.xxhash64("__at"), share) == 0)
+    by = [f"__k{i}" for i in range(len(keys))]
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy("__at"))
+    drawn = seen.withColumn("__nth", nth).filter(F.col("__nth") % (size // rate) == 0)
+    return drawn.groupBy(*by).agg(F.array_sort(F.collect_list("__at")).alias("__borders"))
+
+
+def _reached(borders: Column, at: Column) -> Column:
+    """How many of the sorted borders are not beyond ``at``, by halving."""
+    start = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
+
+    def half(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        return F.when(F.get(borders, middle) <= at, F.struct((middle + 1).alias("low"), span["high"].alias("high"))).otherwise(
+            F.struct(span["low"].alias("low"), middle.alias("high"))
+        )
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(borders) + 1)).cast("int"))
+    return F.aggregate(steps, start, half, lambda span: span["low"])
 
 
 def every_number(column: str, width: float) -> Column:
@@ -110,7 +145,7 @@ def previous(column: str | Column, default=None) -> Feature:
 def running_total(value: str | Column, peers_share: bool = False) -> Feature:
     """OP-101/110: running sum; with ``peers_share`` rows of equal order show the same sum.
 
-    Peers share a chunk. Where many rows are peers, sum them first and join the result back.
+    Peers share a chunk, so the order has to name all of them alike. Where many rows are peers, sum them first and join the result back.
     """
 
     def read(name, window):
@@ -174,7 +209,7 @@ def along(df: DataFrame, timeline: Timeline, features: Mapping[str, Feature]) ->
         read = {out: f.read(names[out], timeline.window(f.edge == _TRAILING)) for out, f in features.items()}
         return rows.select(*columns, *[c.alias(out) for out, c in read.items()])
 
-    rows = rows.withColumn(_CHUNK, timeline.chunk)
+    rows = timeline.cut(rows)
     order = _order_key(timeline.order)
     summary = rows.groupBy(*timeline.keys, _CHUNK).agg(
         *[f.summarise(names[out], order).alias(names[out]) for out, f in features.items()]
@@ -232,7 +267,7 @@ def with_runs(
             .drop("__snap", "__start")
         )
 
-    rows = df.withColumn(_CHUNK, timeline.chunk).withColumn("__snap", snapshot)
+    rows = timeline.cut(df).withColumn("__snap", snapshot)
     inside = Window.partitionBy(*timeline.keys, _CHUNK).orderBy(*timeline.order)
     order = _order_key(timeline.order)
     narrow = rows.select(*dict.fromkeys([*timeline.keys, _CHUNK, *timeline.order]), "__snap")

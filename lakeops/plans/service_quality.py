@@ -15,9 +15,9 @@ from lakeops.operators.summaries import rate
 from lakeops.operators.timeline import Timeline, along, position, previous
 
 
-def with_band(passages: DataFrame, bands: DataFrame, second_of_day: Column, width: int = 900) -> DataFrame:
+def with_band(passages: DataFrame, bands: DataFrame, second_of_day: Column) -> DataFrame:
     """OP-74: hour band(s) of each passage."""
-    return band_join(passages, bands, second_of_day, "band_from", "band_to", width, how="inner")
+    return band_join(passages, bands, second_of_day, "band_from", "band_to", how="inner")
 
 
 def band_table(slices: DataFrame, segments: DataFrame, bridge: DataFrame, bands: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def headways(
     tolerance_s: int = 180,
     absolute: bool = True,
     inclusive: bool = False,
-    chunk: Column | None = None,
+    chunk: Column | int | None = None,
 ) -> DataFrame:
     """MART-04: planned and actual time since the previous passage, and whether the actual
     one stays below the planned one plus a tolerance.
@@ -74,7 +74,7 @@ def headway_rollup(rows: DataFrame, keys: Sequence[str], terminals: DataFrame |
 
 def tolerance_headways(
     passages: DataFrame, keys: Sequence[str], order: Sequence[str], planned_s: str, deviation_s: str,
-    tolerances: Sequence[int] = (59, 119), chunk: Column | None = None,
+    tolerances: Sequence[int] = (59, 119), chunk: Column | int | None = None,
 ) -> DataFrame:
     """MART-09: one regularity flag per tolerance and the absolute headway difference."""
     rows = headways(passages, keys, order, planned_s, deviation_s, chunk=chunk)
@@ -103,7 +103,7 @@ def punctuality(
     late_s: int = 239,
     tail: int = 2,
     allowed: Column | None = None,
-    chunk: Column | None = None,
+    chunk: Column | int | None = None,
 ) -> DataFrame:
     """MART-07: on time within [early, late]; a reference passage when its rank in the trip
     is at most the chain's distinct stops less ``tail``."""
@@ -145,7 +145,7 @@ def monitored_punctuality(
 
 
 def without_tail(points: DataFrame, chain: Sequence[str], order: Sequence[str], tail: int = 2,
-                 chunk: Column | None = None) -> DataFrame:
+                 chunk: Column | int | None = None) -> DataFrame:
     """MART-06: chain points less the last ``tail`` of each chain, with their rank and the
     chain's size."""
     ranked = along(points, Timeline(tuple(chain), tuple(order), chunk), {"rank": position()})

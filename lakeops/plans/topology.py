@@ -18,7 +18,7 @@ def chain_topology(
     order: str,
     point: str,
     period: Sequence[str] = (),
-    chunk: Column | None = None,
+    chunk: Column | int | None = None,
 ) -> DataFrame:
     """MART-12: previous point, distance from it, cumulative distance and point counts.
 

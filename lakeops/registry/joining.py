@@ -71,11 +71,30 @@ def bucketed_range_join(spark, d):
         (F.col("lo") + width * (F.col("step") + 1) / 4).alias("bound_to"),
     )
     joined = joins.band_join(
-        customers, bands, F.col("c_acctbal"), "bound_from", "bound_to", 500.0, "left", ["c_mktsegment"]
+        customers, bands, F.col("c_acctbal"), "bound_from", "bound_to", "left", ["c_mktsegment"]
     )
     return joined.groupBy("c_mktsegment", "step").agg(F.count(F.lit(1)).alias("customers"))
 
 
+@query(
+    "bands_of_any_length",
+    """WITH f AS (SELECT user_id, min(epoch_us(ts) // 1000000) AS opened FROM events GROUP BY 1),
+    b AS (SELECT user_id, 'second' AS kind, opened AS band_from, opened + 1 AS band_to FROM f
+      UNION ALL SELECT user_id, 'season', opened, opened + 10000000 FROM f UNION ALL SELECT user_id, 'point', opened, opened FROM f)
+    SELECT e.event_type, kind, count(*) AS events FROM events e
+    LEFT JOIN b ON b.user_id = e.user_id AND epoch_us(e.ts) // 1000000 BETWEEN band_from AND band_to GROUP BY 1, 2""",
+)
+def bands_of_any_length(spark, d):
+    from lakeops.functions.clock import epoch_seconds
+
+    events = table(spark, d, "events").withColumn("second", epoch_seconds(F.col("ts")).cast("long"))
+    opened = events.groupBy("user_id").agg(F.min("second").alias("band_from"))
+    spans = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(n).alias("n")) for k, n in (("second", 1), ("season", 10_000_000), ("point", 0))])
+    bands = opened.withColumn("span", F.explode(spans)).select("user_id", "span.kind", "band_from", (F.col("band_from") + F.col("span.n")).alias("band_to"))
+    joined = joins.band_join(events, bands, F.col("second"), "band_from", "band_to", "left", ["user_id"])
+    return joined.groupBy("event_type", "kind").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query(
     "range_counts",
     """SELECT p.event_id, count(c.event_id) AS clicks

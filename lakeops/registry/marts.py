@@ -160,7 +160,7 @@ def level_bands(spark, d):
     from lakeops.operators.summaries import exact_quantiles
 
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    bounds = exact_quantiles(orders, "o_totalprice", {"low": "0.3", "high": "0.7"}, 1000.0, ["o_orderpriority"])
+    bounds = exact_quantiles(orders, "o_totalprice", {"low": "0.3", "high": "0.7"}, ["o_orderpriority"])
     price = F.col("o_totalprice")
     level = first_rule([(price < F.col("low"), "low"), (price >= F.col("high"), "high")], "middle")
     return orders.join(bounds, "o_orderpriority").select("o_orderkey", level.alias("level"))

@@ -123,7 +123,7 @@ def sessions(spark, d):
     from lakeops.operators import timeline as tl
 
     events = table(spark, d, "events")
-    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.fitted(events, ["user_id"], "ts", 864000))
+    line = tl.Timeline(("user_id",), ("ts", "event_id"), tl.ROWS)
     gap = 3 * 3600 * 1_000_000
     runs = tl.with_runs(
         events, line, "run", ["ts"],

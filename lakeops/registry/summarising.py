@@ -56,7 +56,7 @@ def conditional_shares(spark, d):
 )
 def group_percentiles(spark, d):
     return summaries.exact_quantiles(
-        table(spark, d, "lineitem"), "l_extendedprice", {"low": "0.3", "median": "0.5", "high": "0.9"}, 100.0, ["l_returnflag"]
+        table(spark, d, "lineitem"), "l_extendedprice", {"low": "0.3", "median": "0.5", "high": "0.9"}, ["l_returnflag"]
     )
 
 
@@ -65,7 +65,7 @@ def group_percentiles(spark, d):
     """SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3, quantile_disc(value, 0.95) AS q95 FROM events""",
 )
 def global_quantiles(spark, d):
-    return summaries.exact_quantiles(table(spark, d, "events"), "value", {"q1": "0.25", "q3": "0.75", "q95": "0.95"}, 1.0)
+    return summaries.exact_quantiles(table(spark, d, "events"), "value", {"q1": "0.25", "q3": "0.75", "q95": "0.95"})
 
 
 @query("approximate_percentiles")
@@ -101,7 +101,7 @@ def approximate_percentile_ranks(spark, d):
     """SELECT event_id, CASE WHEN value >= (SELECT quantile_disc(value, 0.9) FROM events) THEN 1 ELSE 0 END AS is_high FROM events""",
 )
 def quantile_flag(spark, d):
-    out = summaries.flag_above_quantile(table(spark, d, "events"), "value", "0.9", 1.0, "is_high")
+    out = summaries.flag_above_quantile(table(spark, d, "events"), "value", "0.9", "is_high")
     return out.select("event_id", "is_high")
 
 

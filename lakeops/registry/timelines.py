@@ -11,17 +11,15 @@ from lakeops.registry.base import CHAIN_POINTS, PANEL, PASSAGES, chain_points, p
 from lakeops.registry.joining import HOUR_BANDS, hour_bands
 from lakeops.registry.stars import RULES_SQL, rules
 
-DAY = 86400
 
-
-def _by_user(events):
-    return tl.Timeline(("user_id",), ("ts", "event_id"), tl.fitted(events, ["user_id"], "ts", 10 * DAY))
+def _by_user():
+    return tl.Timeline(("user_id",), ("ts", "event_id"), tl.ROWS)
 
 
 def _headways(spark, d, **options):
     rows, keys = passages(spark, d), ["day", "line", "stop"]
     return sq.headways(
-        rows, keys, ["ts", "event_id"], "planned_s", "deviation_s", chunk=tl.fitted(rows, keys, "ts", DAY), **options
+        rows, keys, ["ts", "event_id"], "planned_s", "deviation_s", chunk=tl.ROWS, **options
     )
 
 
@@ -81,7 +79,7 @@ def headway_signed(spark, d):
 def tram_headway(spark, d):
     rows, keys = passages(spark, d), ["day", "line", "stop"]
     rows = sq.tolerance_headways(
-        rows, keys, ["ts", "event_id"], "planned_s", "deviation_s", chunk=tl.fitted(rows, keys, "ts", DAY)
+        rows, keys, ["ts", "event_id"], "planned_s", "deviation_s", chunk=tl.ROWS
     )
     return sq.with_band(rows, hour_bands(spark), second_of_day("ts")).groupBy("line", "band").agg(
         F.sum("regular_59").alias("regular_59"),
@@ -106,7 +104,7 @@ ranked AS (SELECT p.*, chain_stops, row_number() OVER (PARTITION BY p.user_id, d
 def punctuality(spark, d):
     rows, trip = passages(spark, d), ["user_id", "day"]
     out = sq.punctuality(
-        rows, trip, ["ts", "event_id"], ["user_id"], "line", "deviation_s", chunk=tl.fitted(rows, trip, "ts", DAY)
+        rows, trip, ["ts", "event_id"], ["user_id"], "line", "deviation_s", chunk=tl.ROWS
     )
     return out.select("event_id", "rank_in_trip", "chain_stops", "on_time", "is_reference", "on_time_reference")
 
@@ -143,7 +141,7 @@ def monitored_punctuality(spark, d):
 )
 def row_number_first(spark, d):
     events = table(spark, d, "events")
-    return tl.along(events, _by_user(events), {"rn": tl.position()}).select("user_id", "event_id", "event_type", "rn")
+    return tl.along(events, _by_user(), {"rn": tl.position()}).select("user_id", "event_id", "event_type", "rn")
 
 
 @query(
@@ -309,8 +307,7 @@ def running_totals(spark, d):
     from lakeops.registry.base import money
 
     rows = table(spark, d, "events").withColumns({"day": F.col("ts").cast("date"), "v": money("value")})
-    chunk = tl.fitted(rows, ["event_type"], "ts", DAY)
-    rows = tl.along(rows, tl.Timeline(("event_type",), ("ts", "event_id"), chunk), {"running": tl.running_total("v")})
+    rows = tl.along(rows, tl.Timeline(("event_type",), ("ts", "event_id"), tl.ROWS), {"running": tl.running_total("v")})
     # Rows of one day are peers: sum them first, then run over days, of which there are few.
     days = rows.groupBy("event_type", "day").agg(F.sum("v").alias("day_total"))
     days = tl.along(days, tl.Timeline(("event_type",), ("day",)), {"upto_day": tl.running_total("day_total", peers_share=True)})
@@ -326,7 +323,7 @@ def running_totals(spark, d):
 def forward_fill(spark, d):
     known = F.when(F.col("event_type").isin("purchase", "signup"), F.col("value"))
     events = table(spark, d, "events")
-    out = tl.along(events, _by_user(events), {"back": tl.last_known(known), "ahead": tl.next_known(known)})
+    out = tl.along(events, _by_user(), {"back": tl.last_known(known), "ahead": tl.next_known(known)})
     return out.select("event_id", "back", "ahead")
 
 
@@ -351,7 +348,7 @@ def two_sided_gap_fill(spark, d):
 )
 def fill_both_ways(spark, d):
     rows = table(spark, d, "events").withColumn("known", F.when(F.col("event_type") == "signup", F.col("value")))
-    return tl.fill_both_ways(rows, _by_user(rows), "known", "filled").select("event_id", "filled")
+    return tl.fill_both_ways(rows, _by_user(), "known", "filled").select("event_id", "filled")
 
 
 ISLANDS = f"""{PANEL},
@@ -400,7 +397,7 @@ def event_runs(spark, d):
         gap = epoch_micros(here("ts")) - epoch_micros(before("ts"))
         return (gap > 7_200_000_000) | (here("event_type") != before("event_type"))
 
-    return tl.with_runs(events, _by_user(events), "run", ["ts", "event_type"], breaks).select("event_id", "run")
+    return tl.with_runs(events, _by_user(), "run", ["ts", "event_type"], breaks).select("event_id", "run")
 
 
 @query(

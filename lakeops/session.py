@@ -70,13 +70,3 @@ def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> D
     kind = T.StructType.fromDDL(schema)
     listed = [dict(zip(kind.names, row, strict=True)) for row in rows]
     return spark.createDataFrame(pa.Table.from_pylist(listed, schema=to_arrow_schema(kind)), kind)
-
-
-def size_checked(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A derived lookup table as an inline one, if it really is small.
-
-    At most ``max_rows + 1`` rows are read. A table within the bound gets its exact size, so
-    joins broadcast it; a larger one is returned untouched and joins shuffle it.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    return df if head.num_rows > max_rows else df.sparkSession.createDataFrame(head, df.schema)

@@ -17,19 +17,37 @@ BANDS = [("a", 0, 10), ("b", 10, 20), ("c", 30, 40), ("upside down", 50, 45)]
 FACTS = [(1, 0), (2, 10), (3, 20), (4, 25), (5, None), (6, 40), (7, 47)]
 
 
-@pytest.mark.parametrize("width", [1, 3, 7, 1000])
-def test_band_edges_and_width(spark, width):
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_band_edges(spark, how):
     facts = spark.createDataFrame(FACTS, "id int, v int")
     bands = spark.createDataFrame(BANDS, "band string, lo int, hi int")
-    out = joins.band_join(facts, bands, F.col("v"), "lo", "hi", width)
-    got = sorted((r["id"], r["band"] or "") for r in out.collect())
-    assert got == [(1, "a"), (2, "a"), (2, "b"), (3, "b"), (4, ""), (5, ""), (6, "c"), (7, "")]
+    got = sorted((r["id"], r["band"] or "") for r in joins.band_join(facts, bands, F.col("v"), "lo", "hi", how).collect())
+    found = [(1, "a"), (2, "a"), (2, "b"), (3, "b"), (6, "c")]
+    assert got == sorted(found + [(4, ""), (5, ""), (7, "")] * (how == "left"))
 
 
-def nearest(spark, subject_minutes, event_minutes, chunk_s=600):
+def test_bands_of_any_length_explode_little(spark):
+    r = random.Random(8)
+    spans = [(i, lo, lo + r.choice([0, 0.25, 1, 3, 1_000, 10_000_000])) for i in range(60) for lo in [r.uniform(-1e6, 1e6)]]
+    points = [(i, r.choice([r.uniform(-1e6, 1e6), *(s[r.choice([1, 2])] for s in spans[:5])])) for i in range(80)]
+    bands = spark.createDataFrame(spans, "band int, lo double, hi double")
+    facts = spark.createDataFrame(points + [(100, None)], "id int, v double")
+    joined = joins.band_join(facts, bands, F.col("v"), "lo", "hi")
+    got = sorted((x["id"], -1 if x["band"] is None else x["band"]) for x in joined.collect())
+    want = [(i, b) for i, v in points for b, lo, hi in spans if lo <= v <= hi]
+    assert got == sorted(want + [(i, -1) for i, _ in points + [(100, None)] if i not in {k for k, _ in want}])
+    cells = joined._jdf.queryExecution().analyzed().toString()
+    assert cells.count("Generate explode(__levels") >= 1
+    # Two cells a band at most, whatever its length.
+    wide = spark.createDataFrame([(1, 0.5, 1e15)], "band int, lo double, hi double")
+    tall = joins.band_join(facts, wide, F.col("v"), "lo", "hi", "inner")
+    assert {x["id"] for x in tall.collect()} == {i for i, v in points if 0.5 <= v <= 1e15}
+
+
+def nearest(spark, subject_minutes, event_minutes, chunk_rows=3):
     subjects = spark.createDataFrame([("v", i, at(m)) for i, m in enumerate(subject_minutes)], f"k string, id int, t {TS}")
     events = spark.createDataFrame([("v", i, at(m)) for i, m in enumerate(event_minutes)], f"k string, eid int, e {TS}")
-    out = joins.nearest_event(subjects, events, ["k"], "t", "e", ["e", "eid"], ["eid"], 120, 1200, chunk_s=chunk_s)
+    out = joins.nearest_event(subjects, events, ["k"], "t", "e", ["e", "eid"], ["eid"], 120, 1200, chunk_rows=chunk_rows)
     return [r["eid"] for r in out.orderBy("id").collect()]
 
 
@@ -63,7 +81,7 @@ def test_nearest_against_brute_force(spark):
         want[i] = best[2] if best else None
     s = spark.createDataFrame(subjects, f"k string, id int, t {TS}")
     e = spark.createDataFrame(events, f"k string, eid int, e {TS}")
-    out = joins.nearest_event(s, e, ["k"], "t", "e", ["e", "eid"], ["eid"], 120, 1200, chunk_s=1800)
+    out = joins.nearest_event(s, e, ["k"], "t", "e", ["e", "eid"], ["eid"], 120, 1200, chunk_rows=2)
     assert {r["id"]: r["eid"] for r in out.collect()} == want
 
 
@@ -75,7 +93,7 @@ def test_count_in_ranges_against_brute_force(spark):
     out = joins.count_in_ranges(
         spark.createDataFrame(spans, f"k string, id int, lo {TS}, hi {TS}"),
         spark.createDataFrame(points, f"k string, p {TS}"),
-        ["k"], "id", "lo", "hi", "p", "n", chunk_s=1800,
+        ["k"], "id", "lo", "hi", "p", "n", chunk_rows=2,
     )
     assert {r["id"]: r["n"] for r in out.collect()} == want
 

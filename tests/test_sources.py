@@ -187,19 +187,25 @@ def test_melt_round_trip(spark):
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.orderBy("id").collect()]
 
 
-@pytest.mark.parametrize("width,refine", [(1.0, None), (10.0, 4), (1000.0, 16), (0.5, 1024)])
-def test_quantiles_are_exact(spark, width, refine):
+@pytest.mark.parametrize("slots,levels,groups", [(1, 1, ["g"]), (4, 2, ["g"]), (16_384, 2, ["g"]), (5, 3, []), (16_384, 2, [])])
+def test_quantiles_are_exact(spark, slots, levels, groups):
     import random
 
     r = random.Random(3)
-    rows = [(r.choice(["hot", "hot", "b", None]), r.choice([r.uniform(-50, 50), 7.0, None])) for _ in range(300)]
+    rows = [(r.choice(["hot", "hot", "b", None]), r.choice([r.uniform(-50, 50), 7.0, None, 1e-9 * r.random(), 1e12 * r.random()])) for _ in range(300)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = summaries.exact_quantiles(df, "v", {"p0": "0", "p30": "0.3", "p50": "0.5", "p100": "1"}, width, ["g"], refine)
-    for row in got.collect():
-        values = sorted(v for g, v in rows if g == row["g"] and v is not None)
+    got = summaries.exact_quantiles(df, "v", {"p0": "0", "p30": "0.3", "p50": "0.5", "p100": "1"}, groups, slots, levels).collect()
+    for row in got:
+        values = sorted(v for g, v in rows if v is not None and (not groups or g == row["g"]))
         rank = lambda p: values[max(1, -(-p * len(values) // 100)) - 1]
-        assert tuple(row)[1:] == (values[0], rank(30), rank(50), values[-1])
-    assert got.count() == 3
+        assert tuple(row)[len(groups):] == (values[0], rank(30), rank(50), values[-1])
+    assert len(got) == (3 if groups else 1)
+
+
+def test_quantiles_of_many_values_in_few_slots(spark):
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v"))
+    found = summaries.exact_quantiles(df, "v", {"m": "0.5"}, slots=100)
+    assert found.first()["m"] == df.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)")).first()[0]
 
 
 def test_shares_text_and_members(spark):

@@ -122,18 +122,35 @@ def test_chunked_plan_never_groups_rows_by_key_alone(spark):
     assert any("__chunk" in w and "__edge" in w for w in windows) and len(windows) == 2
 
 
-@pytest.mark.parametrize("bound,fullest", [(10_000, 400), (50, 50), (1, 1)])
-def test_chunks_narrow_until_the_fullest_fits(spark, bound, fullest):
-    import datetime as dt
-
+@pytest.mark.parametrize("size", [1, 64, 640])
+def test_splitters_cut_a_key_even_at_one_instant(spark, size):
     start = dt.datetime(2024, 1, 1)
-    rows = [("hot", i, start + dt.timedelta(seconds=30 * i)) for i in range(400)] + [("cold", 1000, start)]
-    df = spark.createDataFrame(rows, "k string, i int, t timestamp_ntz")
-    chunk = tl.fitted(df, ["k"], "t", 864_000, bound)
-    sizes = [r["count"] for r in df.groupBy("k", chunk.alias("c")).count().collect()]
-    assert max(sizes) <= fullest
-    out = tl.along(df, tl.Timeline(("k",), ("t", "i"), chunk), {"rank": tl.position()})
-    assert [r["rank"] for r in out.filter("k = 'hot'").orderBy("i").collect()] == list(range(1, 401))
+    rows = [("hot", i, start, i % 3) for i in range(3_000)] + [("even", i, start + dt.timedelta(seconds=i), 1) for i in range(900)]
+    rows += [("cold", 9_000, start, 2), (None, 9_001, start, 2), (None, 9_002, start, None)]
+    df = spark.createDataFrame(rows, "k string, i int, t timestamp_ntz, v int").repartition(5)
+    line = tl.Timeline(("k",), ("t", "i"), size)
+    sizes = {(r["k"], r["__chunk"]): r["count"] for r in line.cut(df).groupBy("k", "__chunk").count().collect()}
+    assert max(sizes.values()) <= max(2 * size, 3) and sum(n for (k, _), n in sizes.items() if k in ("cold", None)) == 3
+    assert sum(k == "hot" for k, _ in sizes) >= 3_000 // size * 0.6
+    plain = tl.along(df, tl.Timeline(("k",), ("t", "i")), features())
+    assert sorted(map(str, tl.along(df, line, features()).collect())) == sorted(map(str, plain.collect()))
+    breaks = lambda before, here: before("v") != here("v")
+    runs = [sorted(map(str, tl.with_runs(df, x, "run", ["v"], breaks).select("i", "run").collect())) for x in (line, tl.Timeline(("k",), ("t", "i")))]
+    assert runs[0] == runs[1]
+
+
+def test_splitters_run_no_job_before_the_plan(spark):
+    df = spark.range(1000).select(F.lit("k").alias("k"), F.col("id").alias("i"), F.lit(1).alias("v"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("splitters", "")
+    tl.along(df, tl.Timeline(("k",), ("i",), 50), {"n": tl.position()})
+    assert not tracker.getJobIdsForGroup("splitters")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_few_rows_have_no_splitters(spark):
+    df = spark.createDataFrame(rows_of(2), DDL)
+    assert tl.splitters(df, ["k"], ["o", "i"]).count() == 0
 
 
 def test_slices_keep_to_the_clock_where_a_zone_skips_an_hour(spark):
