@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,9 @@ BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -35,7 +39,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage is cut, sizes are known to the planner."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    # What the write shuffles is of no use once the table is there.
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,6 +58,19 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array of numbers, byte by byte of all of them in turn, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd"), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).reshape(-1)
+
+
 def text_slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
     """Parts of a text column of about ``most`` characters; one text is never cut."""
     start, part, size = 0, [], 0

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lakeops.llm.common import discard, query, stored, table
+from lakeops.llm.common import discard, packed, query, stored, table, unpacked
 
 #: What stands before the first word and after the last one; no word has white space.
 OPEN, END = b"\n", b" "
@@ -41,19 +41,6 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
-def packed(values: np.ndarray) -> bytes:
-    """An array of numbers, byte by byte of all of them in turn, compressed."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def unpacked(data: bytes, kind) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd"), np.uint8)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).reshape(-1)
-
-
 def packed_keys(keys: np.ndarray) -> bytes:
     """Sorted hashes, as steps from one to the next."""
     return packed(np.diff(keys, prepend=np.uint64(0)))
