@@ -6,7 +6,7 @@ entry ``.`` counts where a prefix is not extended. One merged stripe gives the e
 prefix (phrases one word longer), the prefix's own total, and the largest extension, which is what
 can subsume the prefix; words in total are the sum of the stripes of the empty prefix.
 
-Stripes are made length by length: a phrase is as rare as its rarest part, so only occurrences whose
+Texts are read once, into blocks of word codes. Stripes are made from these length by length: a phrase is as rare as its rarest part, so only occurrences whose
 first and last words (all but one) are both frequent are counted. Tasks learn of frequent phrases from
 a Bloom filter of fixed size: a false positive, or a filter that fills up on a very large corpus, costs
 work and changes no count. A stripe of a prefix with many occurrences is cut into slices by its next word.
@@ -20,10 +20,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lakeops.llm.common import LOWER, UPPER, discard, query, stored, table, text_slices
+from lakeops.llm.common import LOWER, UPPER, discard, packed, query, stored, table, unpacked
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 END = b"."  # between pieces; no word holds it
@@ -76,38 +77,59 @@ def _held(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return found
 
 
-def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """Words of the texts of one language, some millions of characters at a time."""
-    for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        for start, part in text_slices(batch.column("text"), 8_000_000):
-            texts: dict[str, list[str]] = defaultdict(list)
-            for lang, text in zip(langs[start : start + len(part)], part, strict=True):
-                texts[lang].append(text)
-            for lang, listed in texts.items():
-                yield lang, tokens_of(listed)
-
-
-def stripes_of(lang: str, tokens: list[bytes], width: int, known: Known) -> pa.RecordBatch | None:
-    """The stripes (lang, prefix, slice, next, n) of prefixes of ``width`` words, cut into slices."""
+def coded(tokens: list[bytes]) -> tuple[list[str], np.ndarray]:
+    """The distinct words, ``.`` first, and the place of each token's word among them."""
     ids: dict[bytes, int] = defaultdict()
     ids.default_factory = ids.__len__
     ids[END]
     codes = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-    words = list(ids)
+    return [word.decode("utf-8", "surrogatepass") for word in ids], codes
+
+
+def _coded(most: int = 4_000_000, most_held: int = 12_000_000):
+    """Texts of one language as blocks of word codes, about ``most`` characters each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[str]] = defaultdict(list)
+        size: Counter = Counter()
+
+        def block(lang: str) -> pa.RecordBatch:
+            words, codes = coded(tokens_of(held.pop(lang)))
+            del size[lang]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang]), pa.array([words], pa.list_(pa.string())), pa.array([packed(codes.astype(np.uint32)) if len(codes) else None], pa.binary())],
+                names=["lang", "words", "codes"],
+            )
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+                lang, text = lang.as_py(), text.as_py()
+                held[lang].append(text)
+                size[lang] += len(text)
+                if size[lang] >= most:
+                    yield block(lang)
+                elif size.total() >= most_held:
+                    yield block(max(size, key=size.get))
+        for lang in list(held):
+            yield block(lang)
+
+    return run
+
+
+def stripes_of(lang: str, words: list[str], codes: np.ndarray, width: int, known: Known) -> pa.RecordBatch | None:
+    """The stripes (lang, prefix, slice, next, n) of prefixes of ``width`` words, cut into slices."""
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    word_at = hashes[codes]
     # Where a run of ``width`` words of one piece begins that may be frequent.
     inside = codes != 0
-    starts = np.ones(len(codes) - width + 1, bool) if len(codes) >= width else np.zeros(0, bool)
-    chained = np.full(len(starts), _seed(lang))
-    for k in range(width):
-        starts &= inside[k : k + len(starts)]
-        chained = _chained(chained, word_at[k : k + len(starts)])
     if width == 0:
-        starts = np.append(inside, False)
-        followed = starts[:-1]
+        starts, followed = np.append(inside, False), inside
     else:
+        word_at = hashes[codes]
+        starts = np.ones(max(0, len(codes) - width + 1), bool)
+        chained = np.full(len(starts), _seed(lang))
+        for k in range(width):
+            starts &= inside[k : k + len(starts)]
+            chained = _chained(chained, word_at[k : k + len(starts)])
         starts[starts] = _held(known.bits, chained[starts])
         followed = starts[:-1] & starts[1:]
     at = np.flatnonzero(starts)
@@ -123,21 +145,23 @@ def stripes_of(lang: str, tokens: list[bytes], width: int, known: Known) -> pa.R
     ended = np.flatnonzero(rest)
     pair, n = np.concatenate([ended << 32, pair]), np.concatenate([rest[ended], n])
     owner, following = pair >> 32, pair & 0xFFFFFFFF
-    spelt = [words[c] for c in codes[at[where]]] if width else [b""]
-    for k in range(1, width):
-        spelt = [a + b" " + words[c] for a, c in zip(spelt, codes[at[where] + k].tolist(), strict=True)]
-    prefixes = [p.decode() for p in spelt]
-    cuts = np.array([ROOT_SLICES if not p else known.slices.get((lang, p), 1) for p in prefixes], np.uint64)
+    vocabulary = pa.array(words, pa.string())
+    spelt = [vocabulary.take(pa.array(codes[at[where] + k])) for k in range(width)]
+    prefixes = pc.binary_join_element_wise(*spelt, " ") if spelt else pa.array([""])
+    cuts = np.full(len(where), 1 if width else ROOT_SLICES, np.uint64)
+    hot = {p: n for (of, p), n in known.slices.items() if of == lang} if width else {}
+    if hot:
+        found = pc.index_in(prefixes, value_set=pa.array(list(hot))).fill_null(-1).to_numpy(zero_copy_only=False)
+        cuts = np.where(found >= 0, np.array(list(hot.values()), np.uint64)[found], cuts)
     piece = np.where(following == 0, np.uint64(0), hashes[following] % cuts[owner]).astype(np.int64)
     order = np.lexsort((piece, owner))
     owner, piece, following, n = owner[order], piece[order], following[order], n[order]
     first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1])))
     offsets = np.append(first, len(owner)).astype(np.int32)
-    vocabulary = pa.array([w.decode() for w in words], pa.string())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([lang] * len(first), pa.string()),
-            pa.array(prefixes, pa.string()).take(pa.array(owner[first])),
+            pa.array([lang]).take(pa.array(np.zeros(len(first), np.int64))),
+            prefixes.take(pa.array(owner[first])),
             pa.array(piece[first].astype(np.int32)),
             pa.ListArray.from_arrays(offsets, vocabulary.take(pa.array(following))),
             pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int64))),
@@ -148,55 +172,62 @@ def stripes_of(lang: str, tokens: list[bytes], width: int, known: Known) -> pa.R
 
 def _merged(least: int):
     """Stripes sorted by (lang, prefix, slice), merged element by element: total, and the entries of at least ``least``."""
+    names = ["lang", "prefix", "total", "next", "n"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, counts = None, Counter()
-        names = ["lang", "prefix", "total", "next", "n"]
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-        rows: list[tuple] = []
-
-        def closed() -> None:
-            kept = [(w, c) for w, c in counts.items() if c >= least and w != "."]
-            rows.append((key[0], key[1], sum(counts.values()), [w for w, _ in kept], [c for _, c in kept]))
-
-        def flushed() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-            rows.clear()
-            return out
+    def merged(keys: pa.Table, entries: pa.Table) -> pa.RecordBatch:
+        """Rows of keys (lang, prefix, slice), a row a stripe, from summed entries (stripe, next, n)."""
+        stripe, n = entries["stripe"].to_numpy(), entries["n"].to_numpy()
+        total = np.bincount(stripe, n, minlength=keys.num_rows).astype(np.int64)
+        kept = entries.filter(pa.array((n >= least))).filter(pc.field("next") != ".").sort_by("stripe")
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(kept["stripe"].to_numpy(), minlength=keys.num_rows))]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(offsets, pa.concat_arrays(kept[c].chunks) if kept.num_rows else pa.array([], t)) for c, t in (("next", pa.string()), ("n", pa.int64()))]
+        return pa.RecordBatch.from_arrays([*(keys[c].combine_chunks() for c in ("lang", "prefix")), pa.array(total), *lists], names=names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_keys, open_entries = None, None  # the last stripe, which the next batch may go on with
         for batch in batches:
-            columns = [batch.column(c) for c in ("next", "n")]
-            for i, here in enumerate(zip(*(batch.column(c).to_pylist() for c in ("lang", "prefix", "slice")), strict=True)):
-                if here != key:
-                    if key is not None:
-                        closed()
-                    key, counts = here, Counter()
-                listed, n = (c[i].as_py() for c in columns)
-                if counts:
-                    for w, c in zip(listed, n, strict=True):
-                        counts[w] += c
-                else:
-                    counts.update(dict(zip(listed, n, strict=True)))
-                if len(rows) >= 20_000:
-                    yield flushed()
-        if key is not None:
-            closed()
-            yield flushed()
+            if not batch.num_rows:
+                continue
+            keys = pa.Table.from_batches([batch.select(["lang", "prefix", "slice"])])
+            lengths = batch.column("n").value_lengths().to_numpy()
+            entry = pa.table({"row": np.repeat(np.arange(batch.num_rows), lengths), "next": batch.column("next").flatten(), "n": batch.column("n").flatten()})
+            if open_keys is not None:
+                keys = pa.concat_tables([open_keys, keys])
+                entry = pa.concat_tables([open_entries, entry.set_column(0, "row", pc.add(entry["row"], 1))])
+            keys = keys.combine_chunks()
+            new = np.zeros(keys.num_rows, bool)
+            new[0] = True
+            for c in ("lang", "prefix", "slice"):
+                column = keys[c].combine_chunks()
+                new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            number = np.cumsum(new) - 1
+            summed = entry.set_column(0, "stripe", pa.array(number[entry["row"].to_numpy()])).group_by(["stripe", "next"]).aggregate([("n", "sum")])
+            summed = summed.rename_columns({"n_sum": "n"}).select(["stripe", "next", "n"])
+            keys, last = keys.filter(pa.array(new)), int(number[-1])
+            of_last = pc.equal(summed["stripe"], last)
+            open_keys = keys.slice(last)
+            ended = summed.filter(of_last)
+            open_entries = pa.table({"row": np.zeros(ended.num_rows, np.int64), "next": ended["next"], "n": ended["n"]})
+            if last:
+                yield merged(keys.slice(0, last), summed.filter(pc.invert(of_last)))
+        if open_keys is not None:
+            yield merged(open_keys, open_entries.rename_columns(["stripe", "next", "n"]))
 
     return run
 
 
-def stripes(docs: DataFrame, width: int, known: Known, least: int) -> DataFrame:
-    """Merged stripes (lang, prefix, total, next, n) of ``docs`` (lang, text), a row a slice; stored."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+def stripes(blocks: DataFrame, width: int, known: Known, least: int) -> DataFrame:
+    """Merged stripes (lang, prefix, total, next, n) of blocks (lang, words, codes), a row a slice; stored."""
+    shared = blocks.sparkSession.sparkContext.broadcast(known)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, tokens in _by_language(batches):
-            batch = stripes_of(lang, tokens, width, shared.value)
-            if batch is not None:
-                yield batch
+        for batch in batches:
+            for lang, words, codes in zip(*(batch.column(c) for c in ("lang", "words", "codes")), strict=True):
+                made_ = stripes_of(lang.as_py(), words.as_py(), unpacked(codes.as_py(), np.uint32).astype(np.int64), width, shared.value)
+                if made_ is not None:
+                    yield made_
 
-    parts = docs.mapInArrow(made, "lang string, prefix string, slice int, next array<string>, n array<long>")
+    parts = blocks.mapInArrow(made, "lang string, prefix string, slice int, next array<string>, n array<long>")
     keys = ("lang", "prefix", "slice")
     dealt = parts.repartition(*keys).sortWithinPartitions(*keys)
     out = stored(dealt.mapInArrow(_merged(least), "lang string, prefix string, total long, next array<string>, n array<long>"), f"stripes-{width}")
@@ -241,9 +272,11 @@ def collocations(
     repeated rows count each time, other columns are ignored; an empty table gives no rows.
     """
     given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    known, totals, longer, merged = Known(), [], [], []
+    blocks = given.mapInArrow(_coded(), "lang string, words array<string>, codes binary").filter("codes IS NOT NULL")
+    blocks = stored(blocks, "phrase-blocks")
+    known, totals, longer, merged = Known(), [], [], [blocks]
     for width in range(longest):
-        level = stripes(given, width, known, least)
+        level = stripes(blocks, width, known, least)
         merged.append(level)
         entry = level.select("lang", "prefix", F.inline(F.arrays_zip("next", "n")).alias("next", "f"))
         phrase = F.concat_ws(" ", "prefix", "next") if width else F.col("next")

@@ -65,8 +65,8 @@ def test_hot_prefixes_in_slices_and_a_full_filter(spark, monkeypatch):
     assert known.slices == {("en", "the"): 6}
     assert got(spark, rows, least=5) == want
     full = phrases.Known(known.bits | ~known.bits, known.slices)
-    tokens = phrases.tokens_of(["the cat the dog. the", "a b"])
-    parts = phrases.stripes_of("en", tokens, 1, full).to_pylist()
+    words, codes = phrases.coded(phrases.tokens_of(["the cat the dog. the", "a b"]))
+    parts = phrases.stripes_of("en", words, codes, 1, full).to_pylist()
     merged = defaultdict(Counter)
     for part in parts:
         merged[part["prefix"]].update(dict(zip(part["next"], part["n"])))
