@@ -101,7 +101,7 @@ def band_keys(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, part in text_slices(batch.column("text")):
+        for start, part in text_slices(batch.column("text"), 1_000_000):
             sets = [shingles(text) for text in part]
             full = [i for i, s in enumerate(sets) if len(s)]
             keys = band_keys(sketches([sets[i] for i in full])) if full else np.zeros((0, BINS // ROWS), np.int64)
@@ -120,7 +120,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, part in text_slices(batch.column("text")):
+        for start, part in text_slices(batch.column("text"), 1_000_000):
             sets = [shingles(text).astype(np.int64) for text in part]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").slice(start, len(part)), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
@@ -264,10 +264,12 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percen
 
 def without_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows that stay, one of each component, with all their columns; of rows that share key and text one."""
-    stay = near_groups(docs, text, key).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("raw").alias("_kept_raw"))
-    marked = docs.withColumns({"_raw": F.xxhash64(F.coalesce(docs[text], F.lit(""))), "_id": docs[key].cast("long")})
-    same = marked["_id"].eqNullSafe(stay["_kept_id"]) & (marked["_raw"] == stay["_kept_raw"])
-    return marked.join(stay, same, "left_semi").drop("_id", "_raw")
+    name = lambda column: F.coalesce(column.cast("long").cast("string"), F.lit(""))
+    stay = near_groups(docs, text, key).filter("kept").select(name(F.col("doc_id")).alias("_id"), F.col("raw").alias("_raw"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    marked = docs.select(row, F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("_raw"), name(docs[key]).alias("_id"))
+    # Both sides are dealt by (_id, _raw) already, so dropping repeated rows shuffles nothing again.
+    return marked.join(stay, ["_id", "_raw"], "left_semi").dropDuplicates(["_id", "_raw"]).select("row.*")
 
 
 @query("op7_near_dedup", sql=r"""
