@@ -31,7 +31,7 @@ def rate(part: Column, whole: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Mapping[str, str], groups: Sequence[str] = (), slots: int = 16_384, levels: int = 2
+    df: DataFrame, value: str, probabilities: Mapping[str, str], groups: Sequence[str] = (), slots: int = 16_384, levels: int = 1
 ) -> DataFrame:
     """OP-91/154: discrete quantiles, exact at any group size.
 
@@ -59,27 +59,24 @@ def exact_quantiles(
     totals = F.sum("n").over(Window.partitionBy(*groups))
     first = _slot_counts(rows, [*groups, "__slot"], groups).withColumn("total", totals).withColumn("__q", wanted)
     ranked = first.select("*", F.col("__q.name").alias("__name"), F.greatest(F.lit(1), F.ceil(F.col("__q.p") * F.col("total"))).cast("long").alias("rank"))
-    named = list(groups)
-    for _ in range(levels):
+    named = [*groups, "__name"]
+    for level in range(levels + 1):
+        # Where the wanted ranks are: the first slot, and the smallest and largest value of the last one.
         targets = ranked.filter(_HIT).select(
-            *[F.col(c).alias(f"__t{i}") for i, c in enumerate((*named, "__slot"))],
-            *([] if "__name" in named else ["__name"]), (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "low", "high",
+            *[F.col(c).alias(f"__t{i}") for i, c in enumerate((*groups, "__slot" if level == 0 else "__first"))],
+            "__name", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "low", "high",
         )
         # A row a quantile where there are no groups; else sized as the plan runs.
         targets = targets if groups else F.broadcast(targets)
-        held = [c for c in rows.columns if c not in ("rank", "low", "high")]
-        rows = rows.select(*held)
-        on = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(targets[f"__t{i}"]) for i, c in enumerate((*named, "__slot"))])
-        named = [*groups, "__name"]
-        joined = rows.join(targets, on).select(*[rows[c] for c in held], *([] if "__name" in held else ["__name"]), "rank", "low", "high")
-        rows = joined.withColumn("__slot", place(F.col("low"), F.col("high")))
-        ranked = _slot_counts(rows, [*named, "rank", "__slot"], named)
-    targets = ranked.filter(_HIT).select(*[F.col(c).alias(f"__t{i}") for i, c in enumerate((*named, "__slot"))], (F.col("rank") - F.col("upto") + F.col("n")).alias("left"))
-    targets = targets if groups else F.broadcast(targets)
-    on = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(targets[f"__t{i}"]) for i, c in enumerate((*named, "__slot"))])
-    last = rows.join(targets, on).groupBy(*named, "left", "__v").agg(F.count(F.lit(1)).alias("n"))
+        on = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(targets[f"__t{i}"]) for i, c in enumerate((*groups, "__slot"))])
+        # Each level reads the values anew, not what the levels before have joined.
+        met = rows.join(targets, on & F.col("__x").between(F.col("low"), F.col("high")))
+        met = met.select(*[rows[c] for c in groups], "__name", "rank", rows["__slot"].alias("__first"), "__v", "__x", "low", "high")
+        if level < levels:
+            ranked = _slot_counts(met.withColumn("__slot", place(F.col("low"), F.col("high"))), [*named, "rank", "__first", "__slot"], named)
+    last = met.groupBy(*named, "rank", "__v").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(*named).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = last.withColumns({"upto": F.sum("n").over(before), "rank": F.col("left")})
+    ranked = last.withColumn("upto", F.sum("n").over(before))
     return ranked.filter(_HIT).groupBy(*groups).agg(
         *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probabilities]
     )

@@ -160,6 +160,17 @@ def running_total(value: str | Column, peers_share: bool = False) -> Feature:
     )
 
 
+def latest_maximum(column: str) -> Feature:
+    """The largest value on the rows before this one."""
+    before = (Window.unboundedPreceding, -1)
+    return Feature(
+        source=F.col(column),
+        summarise=lambda name, order: F.max(name),
+        hand_over=lambda name, chunks: F.max(name).over(chunks.rowsBetween(*before)),
+        read=lambda name, window: F.max(name).over(window.rowsBetween(*before)),
+    )
+
+
 def position() -> Feature:
     """OP-98: row number."""
     return running_total(F.lit(1).cast("long"))

@@ -12,7 +12,7 @@ from lakeops.registry.base import query, table
 from lakeops.registry.streams import HOURLY, NOW, _plain
 from lakeops.registry.upserts import ORDER_TOTALS, _order_totals, _orders
 from lakeops.session import local_table, scratch_path
-from lakeops.sources import files, tables
+from lakeops.sources import buckets, files, tables
 from lakeops.streaming import aggregates, sinks, sources
 
 EARLY, LATER = "coalesce(year(day) < 1998, false)", "NOT coalesce(year(day) < 1998, false)"
@@ -287,12 +287,12 @@ def stream_upsert_batches(spark, d):
     """Three deliveries, a restart each: a later one replaces what an earlier one stored for a customer."""
     landed, out, checkpoint = (scratch_path(spark, x) for x in ("landed", "latest", "cp"))
     rows = _orders(spark, d).select("o_custkey", "o_orderkey", "o_orderstatus", "day")
-    body = sinks.upsert_table(out, ["o_custkey"], ["day", "o_orderkey"])
+    body = sinks.upsert_buckets(out, ["o_custkey"], ["day", "o_orderkey"], 16)
     for delivery in range(3):
         tables.append(rows.filter(F.col("o_orderkey") % 3 == delivery), landed)
         stream = sources.file_stream(spark, landed, rows.schema)
         sinks.run_available(sinks.each_batch(stream, body, checkpoint, trigger=NOW))
-    return spark.read.parquet(out)
+    return buckets.read(spark, out)
 
 
 @query(

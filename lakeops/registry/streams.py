@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.registry.base import money, query, table
 from lakeops.session import scratch_path
-from lakeops.sources import bus
+from lakeops.sources import buckets, bus
 from lakeops.streaming import aggregates, sinks, sources
 
 NOW = sinks.trigger_options("available")
@@ -83,9 +83,9 @@ def stream_sliding_update(spark, d):
 def stream_upsert(spark, d):
     out = scratch_path(spark, "latest-orders")
     rows = _stream(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
-    body = sinks.upsert_table(out, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    body = sinks.upsert_buckets(out, ["o_custkey"], ["o_orderdate", "o_orderkey"], 16)
     sinks.run_available(sinks.each_batch(rows, body, scratch_path(spark, "cp"), trigger=NOW))
-    return spark.read.parquet(out)
+    return buckets.read(spark, out)
 
 
 @query(

@@ -8,7 +8,7 @@ from lakeops.functions.hashing import row_hash, with_identity
 from lakeops.operators import quality, upsert
 from lakeops.registry.base import money, query, table
 from lakeops.session import scratch_path
-from lakeops.sources import files, ingest, tables
+from lakeops.sources import buckets, files, ingest, tables
 
 KEYS = upsert.key_columns("o_orderkey | o_custkey")
 
@@ -175,9 +175,27 @@ def merge_metrics(spark, d):
 def audited_load(spark, d):
     path = scratch_path(spark, "audited")
     events = _events(spark, d).withColumnsRenamed({"event_id": "Event ID", "event_type": "Event-Type"})
-    ingest.load(spark, events.filter(F.col("day") < F.lit("2024-01-20").cast("date")), path, "load-1", "reload")
-    ingest.load(spark, events.filter(F.col("day") >= F.lit("2024-01-10").cast("date")), path, "load-2", "append")
-    return spark.read.parquet(path)
+    ingest.load(spark, events.filter(F.col("day") < F.lit("2024-01-20").cast("date")), path, "load-1", "reload", buckets=16)
+    ingest.load(spark, events.filter(F.col("day") >= F.lit("2024-01-10").cast("date")), path, "load-2", "append", buckets=16)
+    return buckets.read(spark, path)
+
+
+@query(
+    "upsert_buckets",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderkey <= 2000 THEN 'NEW' ELSE o_orderstatus END AS status FROM orders
+    UNION ALL SELECT -o_orderkey, 'NEW' FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey BETWEEN 1 AND 40
+    UNION ALL SELECT 0, 'first version: ' || count(*) FROM orders""",
+)
+def upsert_buckets(spark, d):
+    """A small batch of updates and inserts; the version before it can still be read."""
+    path = scratch_path(spark, "bucketed")
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    buckets.upsert(spark, path, orders, ["o_orderkey"], 16)
+    hit = orders.filter("o_orderkey % 5 = 0 AND o_orderkey <= 2000").withColumn("status", F.lit("NEW"))
+    added = hit.filter("o_orderkey BETWEEN 1 AND 40").withColumn("o_orderkey", -F.col("o_orderkey"))
+    buckets.upsert(spark, path, hit.unionAll(added), ["o_orderkey"])
+    before = buckets.read(spark, path, 0).agg(F.lit(0).cast("long").alias("o_orderkey"), F.concat(F.lit("first version: "), F.count(F.lit(1))).alias("status"))
+    return buckets.read(spark, path).unionByName(before)
 
 
 @query(

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lakeops.functions.coding import slug_columns
 from lakeops.functions.hashing import with_identity
 from lakeops.operators.upsert import INSERTED, merge_by_hash, merge_metrics, upsert_evolving
-from lakeops.session import scratch_path
-from lakeops.sources.tables import path_exists, read_partitioned, recover, replace_whole
+from lakeops.sources.buckets import merge, row_count
 
 # Load treatments and what they do to the target.
 TREATMENTS = {
@@ -78,25 +77,27 @@ def prepare(df: DataFrame, load_id: str, null_token: str | None = None) -> DataF
 
 
 def load(
-    spark: SparkSession, df: DataFrame, path: str, load_id: str, treatment: str, null_token: str | None = None
+    spark: SparkSession, df: DataFrame, path: str, load_id: str, treatment: str, null_token: str | None = None, buckets: int = 256
 ) -> DataFrame:
-    """OP-32..34: bring one landing frame into a bucketed table and report what happened.
+    """OP-32..34: bring one landing frame into a bucketed table (``sources.buckets``) and report what happened.
 
-    Overwriting treatments replace the table; merging ones refresh the load id of known
-    rows and insert new ones, staged in the shared folder. Returns one row of metrics.
+    Overwriting treatments replace the table; merging ones refresh the load id of known rows and insert new
+    ones, rewriting only the buckets with a row of the load, once. Returns one row of metrics.
     """
-    recover(spark, path)
     prepared = prepare(df, load_id, null_token)
-    staging = scratch_path(spark, "load")
-    if action_for(treatment) == "overwrite" or not path_exists(spark, path):
-        merged = prepared.withColumn("_op", F.lit(INSERTED))
-    else:
-        target = read_partitioned(spark, path, prepared.schema, ["row_bucket"])
-        merged = merge_by_hash(target.select(*prepared.columns), prepared, with_op=True)
-    merged.write.parquet(staging)
-    staged = spark.read.parquet(staging)
-    replace_whole(spark, staged.drop("_op"), path, ["row_bucket"])
-    return merge_metrics(staged).withColumn("load_id", F.lit(load_id))
+    replace = action_for(treatment) == "overwrite"
+
+    def body(old: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if old is None:
+            return batch.withColumn("_op", F.lit(INSERTED))
+        return merge_by_hash(old.select(*batch.columns), batch, with_op=True)
+
+    before = 0 if replace else row_count(spark, path)
+    written = merge(spark, path, prepared, ["row_key"], body, buckets, replace)
+    metrics = merge_metrics(written)
+    # Rows of buckets that the load didn't hit are kept as well.
+    kept = F.lit(before) - F.col("rows_updated")
+    return metrics.withColumns({"rows_kept": kept.cast(metrics.schema["rows_kept"].dataType), "load_id": F.lit(load_id)})
 
 
 def log_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:

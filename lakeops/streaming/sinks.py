@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.operators.joins import latest_per_key
+from lakeops.sources.buckets import upsert
 from lakeops.sources.tables import create_or_upsert, overwrite
 
 
@@ -90,6 +91,16 @@ def upsert_table(
     return body
 
 
+def upsert_buckets(path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 256) -> Callable[[DataFrame, int], None]:
+    """OP-35/140: as :func:`upsert_table`, into a bucketed table: a batch rewrites only the buckets its keys
+    fall into, and readers see whole versions."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch.sparkSession, path, latest_per_key(batch, keys, order), keys, buckets)
+
+    return body
+
+
 def run_available(query: StreamingQuery, timeout_s: int | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query and raise its failure, if any."""
     finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from lakeops.operators import upsert
-from lakeops.sources import ingest, tables
+from lakeops.sources import buckets, ingest, tables
 
 DDL = "k int, k2 string, v int"
 
@@ -188,12 +188,60 @@ def test_file_time(spark):
 def test_load_twice_adds_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "`Row ID` int, v string")
-    assert ingest.load(spark, first, path, "l1", "append").first()["rows_inserted"] == 3
+    assert ingest.load(spark, first, path, "l1", "append", buckets=4).first()["rows_inserted"] == 3
     again = ingest.load(spark, first, path, "l2", "append").first().asDict()
     assert again == {"rows_kept": 0, "rows_updated": 3, "rows_inserted": 0, "load_id": "l2"}
     more = ingest.load(spark, spark.createDataFrame([(3, "c")], "`Row ID` int, v string"), path, "l3", "delta").first().asDict()
     assert more == {"rows_kept": 3, "rows_updated": 0, "rows_inserted": 1, "load_id": "l3"}
-    got = rows(spark.read.parquet(path), "row_id", "v", "first_load_id", "last_load_id")
+    got = rows(buckets.read(spark, path), "row_id", "v", "first_load_id", "last_load_id")
     assert got == sorted([(1, "a", "l1", "l2"), (2, None, "l1", "l2"), (2, None, "l1", "l2"), (3, "c", "l3", "l3")], key=str)
     ingest.load(spark, first.limit(1), path, "l4", "truncate_load")
-    assert spark.read.parquet(path).count() == 1
+    assert buckets.read(spark, path).count() == 1
+    assert buckets.read(spark, path).columns == ["row_id", "v", "row_key", "row_bucket", "first_load_id", "last_load_id"]
+
+
+ROW = "k int, v string"
+
+
+def test_bucketed_upsert_rewrites_what_the_batch_hits(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [(i, "old") for i in range(400)] + [(None, "n")]
+    buckets.upsert(spark, path, spark.createDataFrame(first, ROW), ["k"], 32)
+    opened = buckets.read(spark, path)
+    before = buckets.current(spark, path)[1]["folders"]
+    batch = spark.createDataFrame([(7, "new"), (1_000, "added"), (None, "m")], ROW)
+    written = buckets.upsert(spark, path, batch, ["k"])
+    after = buckets.current(spark, path)[1]["folders"]
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert 1 <= len(changed) <= 3 and written.count() < 100
+    want = [(i, "new" if i == 7 else "old") for i in range(400)] + [(1_000, "added"), (None, "n"), (None, "m")]
+    assert rows(buckets.read(spark, path), "k", "v") == sorted(want, key=str)
+    # A reader that began before the merge, and one that asks for the version, still see all of the first one.
+    assert rows(opened, "k", "v") == rows(buckets.read(spark, path, 0), "k", "v") == sorted(first, key=str)
+    buckets.upsert(spark, path, batch.filter("k IS NOT NULL"), ["k"])
+    assert rows(buckets.read(spark, path), "k", "v") == sorted(want, key=str)
+    buckets.drop_old_versions(spark, path, 1)
+    assert rows(buckets.read(spark, path), "k", "v") == sorted(want, key=str)
+    assert buckets.upsert(spark, path, batch.limit(0), ["k"]).count() == 0 and buckets.current(spark, path)[0] == 2
+
+
+def test_bucketed_writers_do_not_overwrite_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    start = spark.createDataFrame([(1, "a"), (2, "b")], ROW)
+    buckets.upsert(spark, path, start, ["k"], 4)
+
+    def slow(old, batch):
+        buckets.upsert(spark, path, spark.createDataFrame([(3, "fast")], ROW), ["k"])
+        return old.unionByName(batch)
+
+    with pytest.raises(buckets.Conflict):
+        buckets.merge(spark, path, spark.createDataFrame([(4, "slow")], ROW), ["k"], slow)
+    with pytest.raises(ValueError):
+        buckets.upsert(spark, path, spark.createDataFrame([(5, "x"), (5, "y")], ROW), ["k"])
+
+    def broken(old, batch):
+        raise RuntimeError
+
+    with pytest.raises(RuntimeError):
+        buckets.merge(spark, path, start, ["k"], broken)
+    assert rows(buckets.read(spark, path), "k", "v") == [(1, "a"), (2, "b"), (3, "fast")]
