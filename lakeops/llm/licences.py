@@ -108,8 +108,8 @@ def tags() -> list[tuple[str, str]]:
 
 
 def words(text: Column) -> Column:
-    """Lower-cased runs of letters, digits and inner dots and hyphens."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"), F.lit(0))
+    """Lower-cased runs of letters, digits and inner dots and hyphens; a licence is spelt license."""
+    return F.regexp_extract_all(F.regexp_replace(F.lower(text), "licen([cs])e", "license"), F.lit(r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"), F.lit(0))
 
 
 def runs(column: Column, n: int) -> Column:
@@ -160,18 +160,21 @@ class Model:
     temperature: float
 
 
-def background_lines(docs: DataFrame, text: str = "text", most: int = 2_000, per_document: int = 3) -> DataFrame:
-    """(text, paragraph) of about ``per_document`` lines of each of about ``most`` documents, both drawn by hash, wherever
-    in the document they stand, with their paragraph; all lines of a document with fewer."""
+def background_lines(docs: DataFrame, text: str = "text", most: int = 2_000, per_document: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Lines (place, text) of about ``per_document`` lines of each of about ``most`` documents, both drawn by hash, wherever
+    in the document they stand (all lines of a document with fewer), and the paragraphs (place, words) they stand in."""
     total = docs.count() or 1
     below = lambda bound, *key: F.pmod(F.xxhash64(*key), F.lit(2**32)) < bound
     picked = docs.filter(below(int(min(1.0, most / total) * 2**32), F.col(text), F.lit("licences")) & F.col(text).isNotNull())
     split = lambda column: F.split(column, "\n", -1)
     # Cut where a line without words stands.
     parts = F.posexplode(F.split(text, r"\n[^\p{L}\p{N}\n]*(?=\n)", -1)).alias("part", "paragraph")
-    lines = picked.select(F.xxhash64(text).alias("of"), F.size(split(text)).alias("n"), parts)
-    lines = lines.select("of", "n", "part", "paragraph", F.posexplode(split(F.col("paragraph"))).alias("at", "text"))
-    return lines.filter(below(F.least(F.lit(1.0), per_document / F.col("n")) * 2**32, "of", "part", "at", "text")).select("text", "paragraph")
+    paragraphs = picked.select(F.xxhash64(text).alias("of"), F.size(split(text)).alias("n"), parts).withColumn("place", F.monotonically_increasing_id())
+    # Stored, so that a paragraph has one number and is cut into words once.
+    paragraphs = stored(paragraphs.withColumn("words", words(F.col("paragraph"))), "paragraphs")
+    lines = paragraphs.select("of", "n", "part", "place", F.posexplode(split(F.col("paragraph"))).alias("at", "text"))
+    lines = lines.filter(below(F.least(F.lit(1.0), per_document / F.col("n")) * 2**32, "of", "part", "at", "text")).select("place", "text")
+    return lines, paragraphs.select("place", "words")
 
 
 def train(docs: DataFrame, text: str = "text", background: int = 2_000) -> Model:
@@ -184,11 +187,15 @@ def train(docs: DataFrame, text: str = "text", background: int = 2_000) -> Model
     positive += [(f, " ".join(t.split()[k:])) for f, t in templates() for k in (1, 2) if len(t.split()) > 5]
     # Each template is learned from; only endings, openings and background are left out below.
     rows = local_table(spark, [*((f, t, k < len(stated)) for k, (f, t) in enumerate(positive)), *[(UNKNOWN, t, False) for t in OTHERS * 5]], "label string, text string, learned boolean")
-    known = local_table(spark, [*templates(), *titles(), *tags()], "label string, text string").select(F.explode(runs(words(F.col("text")), 3)).alias("run")).distinct()
-    line = background_lines(docs, text, background).filter(F.size(words(F.col("text"))) > 0).distinct()
-    stating = line.select("paragraph", F.explode(runs(words(F.col("paragraph")), 3)).alias("run")).join(known, "run").select("paragraph").distinct()
-    line = line.join(stating, "paragraph", "left_anti").select(F.lit(UNKNOWN).alias("label"), "text", F.lit(False).alias("learned")).distinct()
-    rows = stored(rows.unionAll(line).withColumn("grams", grams(words(F.col("text")))), "licence-rows")
+    known = local_table(spark, [*templates(), *titles(), *tags()], "label string, text string").withColumn("words", words(F.col("text")))
+    known = stored(known, "known").select(F.explode(runs(F.col("words"), 3)).alias("run")).distinct()
+    line, paragraph = background_lines(docs, text, background)
+    line = line.filter(F.size(words(F.col("text"))) > 0).distinct()
+    drawn = paragraph.join(line.select("place").distinct(), "place", "left_semi").select("place", F.explode(runs(F.col("words"), 3)).alias("run"))
+    stating = drawn.join(known, "run").select("place").distinct()
+    line = line.join(stating, "place", "left_anti").select(F.lit(UNKNOWN).alias("label"), "text", F.lit(False).alias("learned")).distinct()
+    rows = stored(rows.unionAll(line).withColumn("words", words(F.col("text"))), "licence-lines")
+    rows = stored(rows.withColumn("grams", grams(F.col("words"))).drop("words"), "licence-rows")
     families = sorted({UNKNOWN, *NAMES})
     place = F.create_map(*[F.lit(x) for i, f in enumerate(families) for x in (f, float(i))])
     numbered = rows.withColumn("y", place[F.col("label")]).withColumn("fold", F.when(F.col("learned"), 1).otherwise(F.pmod(F.xxhash64("text"), F.lit(5))))
@@ -266,7 +273,9 @@ def find_licences(
     stated = local_table(spark, templates(), "family string, template string").withColumn("runs", F.array_distinct(runs(words(F.col("template")), 3)))
     alone = local_table(spark, titles(), "family string, template string").withColumn("runs", F.array(whole(words(F.col("template")))))
     tagged = local_table(spark, tags(), "family string, template string").withColumn("runs", F.array(F.array_join(words(F.col("template")), " ")))
-    known = stated.unionAll(alone).unionAll(tagged)
+    # Stored, so that the words of a template are cut once.
+    known = stored(stated.unionAll(alone).unionAll(tagged), "templates")
+    stated = stored(stated, "sentences")
     held = lambda column: F.lit(True)
     if narrow:
         listed = local_table(spark, [*((True, t) for _, t in templates()), *((False, t) for _, t in named())], "sentence boolean, text string")

@@ -204,12 +204,23 @@ hereby granted, provided that the above"""
     assert at[0] == (2, 4) and at[1] == (0, 3) and at[4] == at[5] == at[6] == (0, 1) and at[3][0] in (1, 2)
 
 
+def test_licences_in_one_long_paragraph(spark):
+    import time
+
+    long = " ".join(f"word{i % 977} and{i}" for i in range(10_000))
+    rows = [(1, long, ""), (2, f"{long}\nMIT License", ""), (3, f"{long}\n\nReleased under the MIT Licence.", ""), (4, None, ""), (5, "", "")]
+    begin = time.perf_counter()
+    found = {(r.doc_id, r.family) for r in licences.find_licences(docs(spark, rows)).collect()}
+    assert (3, "MIT") in found and not {1, 4, 5} & {doc for doc, _ in found} and time.perf_counter() - begin < 240
+    assert licences.find_licences(docs(spark, [])).count() == 0
+
+
 def test_licences_learn_from_whole_documents(spark):
     rows = [(i, "\n".join(f"line {i} {k}" for k in range(30)), "") for i in range(200)]
-    drawn = [r.text for r in licences.background_lines(docs(spark, rows)).collect()]
+    drawn = [r.text for r in licences.background_lines(docs(spark, rows))[0].collect()]
     assert 450 < len(drawn) < 750 and {int(t.split()[2]) for t in drawn} == set(range(30))
     assert len({t.split()[1] for t in drawn}) > 150
-    assert licences.background_lines(docs(spark, [(1, "a\nb\nc", ""), (2, None, "")])).count() == 3
+    assert licences.background_lines(docs(spark, [(1, "a\nb\nc", ""), (2, None, "")]))[0].count() == 3
 
 
 def test_pipeline_stages(spark):
