@@ -6,10 +6,10 @@ entry ``.`` counts where a prefix is not extended. One merged stripe gives the e
 prefix (phrases one word longer), the prefix's own total, and the largest extension, which is what
 can subsume the prefix; words in total are the sum of the stripes of the empty prefix.
 
-Texts are read once, into blocks of word codes. Stripes are made from these length by length: a phrase is as rare as its rarest part, so only occurrences whose
-first and last words (all but one) are both frequent are counted. Tasks learn of frequent phrases from
-a Bloom filter of fixed size: a false positive, or a filter that fills up on a very large corpus, costs
-work and changes no count. A stripe of a prefix with many occurrences is cut into slices by its next word.
+Texts are read once, into blocks of word codes. Stripes are made from these length by length: a phrase is
+as rare as its rarest part, so only occurrences whose first and last words (all but one) are both
+frequent are counted. Tasks learn of frequent phrases from a Bloom filter of fixed size: a false
+positive, or a filter that fills up on a very large corpus, costs work and changes no count. A stripe of a prefix with many occurrences is cut into slices by its next word.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ def coded(tokens: list[bytes]) -> tuple[list[str], np.ndarray]:
     return [word.decode("utf-8", "surrogatepass") for word in ids], codes
 
 
-def _coded(most: int = 4_000_000, most_held: int = 12_000_000):
+def _coded(most: int = 8_000_000, most_held: int = 12_000_000):
     """Texts of one language as blocks of word codes, about ``most`` characters each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +163,9 @@ def stripes_of(lang: str, words: list[str], codes: np.ndarray, width: int, known
             pa.array([lang]).take(pa.array(np.zeros(len(first), np.int64))),
             prefixes.take(pa.array(owner[first])),
             pa.array(piece[first].astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, vocabulary.take(pa.array(following))),
-            pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int64))),
+            # No word has a space: one text is shorter than a list.
+            pc.binary_join(pa.ListArray.from_arrays(offsets, vocabulary.take(pa.array(following))), " "),
+            pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32))),
         ],
         names=["lang", "prefix", "slice", "next", "n"],
     )
@@ -190,7 +191,8 @@ def _merged(least: int):
                 continue
             keys = pa.Table.from_batches([batch.select(["lang", "prefix", "slice"])])
             lengths = batch.column("n").value_lengths().to_numpy()
-            entry = pa.table({"row": np.repeat(np.arange(batch.num_rows), lengths), "next": batch.column("next").flatten(), "n": batch.column("n").flatten()})
+            following = pc.split_pattern(batch.column("next"), " ").flatten()
+            entry = pa.table({"row": np.repeat(np.arange(batch.num_rows), lengths), "next": following, "n": batch.column("n").flatten().cast(pa.int64())})
             if open_keys is not None:
                 keys = pa.concat_tables([open_keys, keys])
                 entry = pa.concat_tables([open_entries, entry.set_column(0, "row", pc.add(entry["row"], 1))])
@@ -227,7 +229,7 @@ def stripes(blocks: DataFrame, width: int, known: Known, least: int) -> DataFram
                 if made_ is not None:
                     yield made_
 
-    parts = blocks.mapInArrow(made, "lang string, prefix string, slice int, next array<string>, n array<long>")
+    parts = blocks.mapInArrow(made, "lang string, prefix string, slice int, next string, n array<int>")
     keys = ("lang", "prefix", "slice")
     dealt = parts.repartition(*keys).sortWithinPartitions(*keys)
     out = stored(dealt.mapInArrow(_merged(least), "lang string, prefix string, total long, next array<string>, n array<long>"), f"stripes-{width}")
