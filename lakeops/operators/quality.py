@@ -38,10 +38,12 @@ def schema_text(df: DataFrame) -> str:
 
 
 def warehouse_type(kind: T.DataType) -> str:
-    """OP-44."""
+    """OP-44. A type that has no counterpart raises."""
     if isinstance(kind, T.DecimalType):
         return f"decimal({kind.precision},{kind.scale})"
-    return WAREHOUSE_TYPES.get(kind.simpleString(), "nvarchar(max)")
+    if kind.simpleString() not in WAREHOUSE_TYPES:
+        raise ValueError(f"no warehouse type for {kind.simpleString()}")
+    return WAREHOUSE_TYPES[kind.simpleString()]
 
 
 def warehouse_columns(df: DataFrame) -> DataFrame:

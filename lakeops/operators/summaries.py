@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakeops.operators.timeline import CHUNK, ROWS, Timeline
+
 
 
 def conditional_counts(conditions: Mapping[str, Column]) -> list[Column]:
@@ -109,13 +111,18 @@ def approximate_quantiles(value: str, probabilities: Mapping[str, float], accura
     return [F.percentile_approx(value, p, accuracy).alias(name) for name, p in probabilities.items()]
 
 
-def ordered_text(df: DataFrame, keys: Sequence[str], value: str, out: str, separator: str = ",") -> DataFrame:
-    """OP-95: distinct values of a key joined in order. Duplicates are removed before the
-    key's values meet, so a key costs its vocabulary, not its rows."""
+def ordered_text(df: DataFrame, keys: Sequence[str], value: str, out: str, separator: str = ",", size: int = ROWS) -> DataFrame:
+    """OP-95: distinct values of a key joined in order.
+
+    Duplicates are removed first. A key with very many values is cut at splitters of the values; each part is joined by
+    itself and the parts are joined in order, so what meets in one task is the text of the result.
+    """
     distinct = df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
-    return distinct.groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_list(value)), separator).alias(out)
+    parts = Timeline(tuple(keys), (value,), size).cut(distinct).groupBy(*keys, CHUNK).agg(
+        F.array_join(F.array_sort(F.collect_list(value)), separator).alias("__text")
     )
+    whole = F.transform(F.array_sort(F.collect_list(F.struct(CHUNK, "__text"))), lambda part: part["__text"])
+    return parts.groupBy(*keys).agg(F.array_join(whole, separator).alias(out))
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], **columns: str) -> DataFrame:

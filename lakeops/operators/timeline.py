@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions.clock import epoch_seconds
 
-_CHUNK, _EDGE = "__chunk", "__edge"
+CHUNK, _EDGE = "__chunk", "__edge"
 _LEADING, _ROW, _TRAILING = 0, 1, 2
 
 
@@ -48,13 +48,13 @@ class Timeline:
     def cut(self, rows: DataFrame) -> DataFrame:
         """The rows with their chunk."""
         if not isinstance(self.chunk, int):
-            return rows.withColumn(_CHUNK, self.chunk)
+            return rows.withColumn(CHUNK, self.chunk)
         borders = splitters(rows, self.keys, self.order, self.chunk)
         on = reduce(lambda x, y: x & y, [rows[k].eqNullSafe(borders[f"__k{i}"]) for i, k in enumerate(self.keys)])
         # Few enough for every task: see splitters().
         placed = rows.join(F.broadcast(borders), on, "left")
         at = F.when(F.col("__borders").isNull(), 0).otherwise(_reached(F.col("__borders"), _order_key(self.order)))
-        return placed.withColumn(_CHUNK, at.cast("long")).drop("__borders", *[f"__k{i}" for i in range(len(self.keys))])
+        return placed.withColumn(CHUNK, at.cast("long")).drop("__borders", *[f"__k{i}" for i in range(len(self.keys))])
 
     def window(self, backwards: bool = False, leading: Sequence[str] = (), split: Sequence[str] = ()):
         """``backwards`` reads the same rows from the end. A frame that ends at unbounded
@@ -222,26 +222,26 @@ def along(df: DataFrame, timeline: Timeline, features: Mapping[str, Feature]) ->
 
     rows = timeline.cut(rows)
     order = _order_key(timeline.order)
-    summary = rows.groupBy(*timeline.keys, _CHUNK).agg(
+    summary = rows.groupBy(*timeline.keys, CHUNK).agg(
         *[f.summarise(names[out], order).alias(names[out]) for out, f in features.items()]
     )
-    whole = Timeline(timeline.keys, (_CHUNK,))
+    whole = Timeline(timeline.keys, (CHUNK,))
     handed = summary.select(
         *timeline.keys,
-        _CHUNK,
+        CHUNK,
         *[f.hand_over(names[out], whole.window(f.edge == _TRAILING)).alias(names[out]) for out, f in features.items()],
     )
     sides = sorted({f.edge for f in features.values()})
     edges = handed.withColumn(_EDGE, F.explode(F.array(*[F.lit(side) for side in sides])))
     edges = edges.select(
         *timeline.keys,
-        _CHUNK,
+        CHUNK,
         _EDGE,
         *[F.when(F.col(_EDGE) == f.edge, F.col(names[out])).alias(names[out]) for out, f in features.items()],
     ).filter(reduce(lambda x, y: x | y, [F.col(n).isNotNull() for n in names.values()]))
     merged = rows.withColumn(_EDGE, F.lit(_ROW)).unionByName(edges, allowMissingColumns=True)
     read = {
-        out: f.read(names[out], timeline.window(f.edge == _TRAILING, [_EDGE], [_CHUNK])) for out, f in features.items()
+        out: f.read(names[out], timeline.window(f.edge == _TRAILING, [_EDGE], [CHUNK])) for out, f in features.items()
     }
     return (
         merged.select(*columns, _EDGE, *[c.alias(out) for out, c in read.items()])
@@ -279,32 +279,32 @@ def with_runs(
         )
 
     rows = timeline.cut(df).withColumn("__snap", snapshot)
-    inside = Window.partitionBy(*timeline.keys, _CHUNK).orderBy(*timeline.order)
+    inside = Window.partitionBy(*timeline.keys, CHUNK).orderBy(*timeline.order)
     order = _order_key(timeline.order)
-    narrow = rows.select(*dict.fromkeys([*timeline.keys, _CHUNK, *timeline.order]), "__snap")
+    narrow = rows.select(*dict.fromkeys([*timeline.keys, CHUNK, *timeline.order]), "__snap")
     narrow = narrow.withColumn("__earlier", F.lag("__snap").over(inside))
-    summary = narrow.groupBy(*timeline.keys, _CHUNK).agg(
+    summary = narrow.groupBy(*timeline.keys, CHUNK).agg(
         F.sum(F.when(F.col("__earlier").isNotNull(), starts(F.col("__earlier"), F.col("__snap")))).alias("inner"),
         F.min_by("__snap", order).alias("first"),
         F.max_by("__snap", order).alias("last"),
     )
-    chunks = Window.partitionBy(*timeline.keys).orderBy(_CHUNK)
+    chunks = Window.partitionBy(*timeline.keys).orderBy(CHUNK)
     handed = (
         summary.withColumn("__snap", F.lag("last").over(chunks))
         .withColumn("total", F.coalesce("inner", F.lit(0)) + starts(F.col("__snap"), F.col("first")))
         .withColumn("__seed", F.sum("total").over(chunks.rowsBetween(Window.unboundedPreceding, -1)))
         .filter(F.col("__snap").isNotNull())
-        .select(*timeline.keys, _CHUNK, "__snap", "__seed", F.lit(_LEADING).alias(_EDGE))
+        .select(*timeline.keys, CHUNK, "__snap", "__seed", F.lit(_LEADING).alias(_EDGE))
     )
     merged = rows.withColumn(_EDGE, F.lit(_ROW)).unionByName(handed, allowMissingColumns=True)
-    local = Window.partitionBy(*timeline.keys, _CHUNK).orderBy(_EDGE, *timeline.order)
+    local = Window.partitionBy(*timeline.keys, CHUNK).orderBy(_EDGE, *timeline.order)
     numbered = merged.withColumn(
         "__start",
         F.when(F.col(_EDGE) == _LEADING, F.col("__seed")).otherwise(
             starts(F.lag("__snap").over(local), F.col("__snap"))
         ),
     ).withColumn(run, F.sum("__start").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return numbered.filter(F.col(_EDGE) == _ROW).drop(_EDGE, _CHUNK, "__snap", "__seed", "__start")
+    return numbered.filter(F.col(_EDGE) == _ROW).drop(_EDGE, CHUNK, "__snap", "__seed", "__start")
 
 
 def fill_both_ways(df: DataFrame, timeline: Timeline, column: str, out: str | None = None) -> DataFrame:

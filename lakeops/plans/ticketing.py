@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeops.functions.clock import operating_day
-from lakeops.operators.joins import by_source_join, nearest_event
+from lakeops.functions.clock import epoch_micros, operating_day
+from lakeops.operators.joins import by_source_join, first_per_key, nearest_event
 
 
 def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], how: str = "left") -> DataFrame:
@@ -39,13 +39,23 @@ def boarding_stops(
     payload: Sequence[str],
     back_s: int = 120,
     ahead_s: int = 1200,
+    key: Sequence[str] = ("event_id",),
+    ahead_weight: int = 10,
 ) -> DataFrame:
-    """MART-23: the vehicle by source-dependent code, then its nearest passage."""
+    """MART-23: the vehicle by source-dependent code, then its nearest passage.
+
+    ``key`` tells validations apart. A code that is listed for several vehicles gives one row a validation all
+    the same: the vehicle whose passage costs least, then the earliest passage, then the smallest fleet code.
+    """
     known = by_source_join(validations, vehicles, "source", "vehicle_code", key_of_source)
-    known = known.select(*validations.columns, "fleet_code")
-    return nearest_event(
-        known, passages, ["fleet_code"], "validated_at", "arrived_at", ["arrived_at", "passage_id"], payload, back_s, ahead_s
+    known = known.select(*validations.columns, "fleet_code").distinct()
+    found = nearest_event(
+        known, passages, ["fleet_code"], "validated_at", "arrived_at", ["arrived_at", "passage_id"], payload, back_s, ahead_s, ahead_weight
     )
+    gap = epoch_micros(F.col("validated_at")) - epoch_micros(F.col("event_at"))
+    cost = F.when(gap >= 0, gap).otherwise(-ahead_weight * gap)
+    rated = found.withColumns({"__none": F.col("event_at").isNull(), "__cost": cost})
+    return first_per_key(rated, key, ["__none", "__cost", "event_at", "fleet_code"]).drop("__none", "__cost")
 
 
 def daily_counts(validations: DataFrame, day: Column, card: str) -> DataFrame:

@@ -175,6 +175,27 @@ def boarding_stops(spark, d):
     ).select("event_id", "fleet_code", "passage_id", "stop")
 
 
+@query(
+    "boarding_stops_listed_twice",
+    """WITH v AS (SELECT event_id, ts, user_id FROM events WHERE event_type = 'purchase'),
+    k AS (SELECT v.*, user_id + 1000 AS fleet_code FROM v UNION ALL SELECT v.*, user_id + 1001 FROM v WHERE user_id % 3 = 0),
+    p AS (SELECT user_id + 1000 AS fleet_code, ts AS arrived_at, event_id AS passage_id FROM events WHERE event_type <> 'purchase'),
+    c AS (SELECT k.event_id, k.fleet_code, passage_id, arrived_at,
+        CASE WHEN ts >= arrived_at THEN epoch_us(ts) - epoch_us(arrived_at) ELSE 10 * (epoch_us(arrived_at) - epoch_us(ts)) END AS cost
+      FROM k LEFT JOIN p ON k.fleet_code = p.fleet_code AND ts > arrived_at - INTERVAL 6 HOUR AND ts < arrived_at + INTERVAL 1 HOUR)
+    SELECT event_id, fleet_code, passage_id FROM c
+    QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY passage_id IS NULL, cost, arrived_at, fleet_code, passage_id) = 1""",
+)
+def boarding_stops_listed_twice(spark, d):
+    """A code that is listed for two vehicles still gives a validation one passage."""
+    events, user = table(spark, d, "events"), F.col("user_id").cast("string")
+    validations = events.filter("event_type = 'purchase'").select("event_id", F.col("ts").alias("validated_at"), F.lit("a").alias("source"), user.alias("vehicle_code"))
+    fleet = F.explode(F.when(F.col("user_id") % 3 == 0, F.array(F.lit(1000), F.lit(1001))).otherwise(F.array(F.lit(1000))))
+    vehicles = events.select("user_id").distinct().select(user.alias("code"), "user_id", fleet.alias("more")).select("code", (F.col("user_id") + F.col("more")).alias("fleet_code"))
+    stops = events.filter("event_type <> 'purchase'").select((F.col("user_id") + 1000).alias("fleet_code"), F.col("ts").alias("arrived_at"), F.col("event_id").alias("passage_id"))
+    return ticketing.boarding_stops(validations, vehicles, stops, {"a": "code"}, ["passage_id"], 3600, 6 * 3600).select("event_id", "fleet_code", "passage_id")
+
+
 @query(
     "either_key_join",
     """SELECT s_nationkey, count(*) AS pairs, CAST(sum(p_size) AS BIGINT) AS sizes

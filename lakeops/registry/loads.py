@@ -312,6 +312,28 @@ def stream_rescued(spark, d):
     return spark.read.parquet(out)
 
 
+@query(
+    "stream_growing",
+    """SELECT CASE WHEN event_id % 3 = 2 AND event_id % 5 < 2 THEN NULL ELSE event_id END AS event_id,
+      CASE WHEN event_id % 3 = 2 AND event_id % 5 = 0 THEN NULL ELSE event_type END AS event_type,
+      CASE WHEN event_id % 3 = 1 THEN user_id END AS user,
+      CASE WHEN event_id % 3 = 2 AND event_id % 5 = 0 THEN 'broken ' || event_id WHEN event_id % 3 = 2 AND event_id % 5 = 1 THEN '{"event_id":"no ' || event_id || '"}' END AS rescued FROM events""",
+)
+def stream_growing(spark, d):
+    """Three deliveries: as declared, with a new field, and with values of a wrong type and broken lines."""
+    landed, out, checkpoint = (scratch_path(spark, x) for x in ("lines", "growing", "cp"))
+    events, first = table(spark, d, "events"), "event_id bigint, event_type string"
+    wrong = F.to_json(F.struct(F.concat(F.lit("no "), F.col("event_id")).alias("event_id"), "event_type"))
+    plain, wider = F.to_json(F.struct("event_id", "event_type")), F.to_json(F.struct("event_id", "event_type", F.col("user_id").alias("user")))
+    broken = F.concat(F.lit("broken "), F.col("event_id"))
+    fifth = F.col("event_id") % 5
+    for delivery, line in enumerate((plain, wider, F.when(fifth == 0, broken).when(fifth == 1, wrong).otherwise(plain))):
+        events.filter(F.col("event_id") % 3 == delivery).select(line.alias("value")).write.mode("append").text(landed)
+        lines = sources.file_stream(spark, landed, "value string", "text")
+        sinks.run_available(sinks.each_batch(lines, sources.growing_table(out, first), checkpoint, trigger=NOW))
+    return sources.read_growing(spark, out, first)
+
+
 @query(
     "schema_check",
     """SELECT 'l_orderkey' AS "column", true AS ok, count(*) AS lines FROM lineitem UNION ALL SELECT 'l_comment_missing', false, count(*) FROM lineitem

@@ -321,6 +321,22 @@ def compacted_table(spark, d):
     return _order_totals(spark.read.parquet(large))
 
 
+@query(
+    "packed_files",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, 1 AS files FROM orders WHERE o_orderkey % 50 <> 0 GROUP BY 1""",
+)
+def packed_files(spark, d):
+    """Many small files a year, packed into one each."""
+    path = scratch_path(spark, "small-files")
+    rows = table(spark, d, "orders").filter("o_orderkey % 50 <> 0").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    rows.repartition(6).write.partitionBy("year").parquet(path)
+    tables.compact_small(spark, path, target=2**30, partition_by=["year"])
+    packed = spark.read.parquet(path)
+    return packed.groupBy("year").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"), F.count_distinct("_metadata.file_path").cast("int").alias("files")
+    )
+
+
 @query(
     "daily_drop_scan",
     """SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1""",

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from lakeops.operators.upsert import _any_null, upsert_all
 
@@ -176,9 +176,9 @@ def _folders(spark: SparkSession, root: str, depth: int, below: str = "") -> lis
     return [f for n in sorted(names) if "=" in n for f in _folders(spark, root, depth - 1, f"{below}/{n}" if below else n)]
 
 
-def _move_in(spark: SparkSession, path: str, staging: str, folders: list[str] | None, gone: list[str]) -> None:
+def _move_in(spark: SparkSession, path: str, staging: str, folders: list[str] | None, gone: list[str], **files: list) -> None:
     """Note what is to move, then move it: from here on the change is finished, now or by ``recover``."""
-    note = json.dumps({"staging": staging, "folders": folders, "gone": gone})
+    note = json.dumps({"staging": staging, "folders": folders, "gone": gone, **files})
     location, system = _location(spark, f"{path}.pending.tmp")
     out = system.create(location, True)
     out.write(bytearray(note, "utf-8"))
@@ -195,10 +195,17 @@ def _finish(spark: SparkSession, path: str, note: str) -> None:
         pairs = [(f"{staging}/new", path)]
     else:
         pairs = [(f"{staging}/new/{f}", f"{path}/{f}") for f in todo["folders"]]
-    for source, destination in pairs:
+    for nth, (source, destination) in enumerate(pairs):
         if path_exists(spark, source):
-            _delete(spark, destination)
+            # The old folder goes aside, which is one rename; it is deleted with the staging folder.
+            if path_exists(spark, destination):
+                _move(spark, destination, f"{staging}/old-{uuid.uuid4().hex}/{nth}")
             _move(spark, source, destination)
+    for source, destination in todo.get("files", []):
+        if path_exists(spark, source):
+            _move(spark, source, destination)
+    for file in todo.get("old", []):
+        _delete(spark, file)
     for folder in todo["gone"]:
         _delete(spark, f"{path}/{folder}")
     _delete(spark, f"{path}.pending")
@@ -218,6 +225,50 @@ def compact(spark: SparkSession, source: str, destination: str, files: int, clus
     df.write.mode("overwrite").parquet(destination)
 
 
+def compact_small(spark: SparkSession, path: str, target: int = 128 * 2**20, small: int | None = None, partition_by: Sequence[str] = ()) -> int:
+    """OP-24: pack the small files of each folder into files of about ``target`` bytes; larger ones stay as they are.
+
+    Files under ``small`` bytes (half of ``target`` where not given) are packed in the order of their names: a bin takes files
+    until the next would begin beyond ``target``. A folder with one small file is left alone. Files are only listed; the
+    rows of packed ones are read and written once. Returns the files replaced. As with any rewriting in
+    place, a reader in the moment of the change may see rows of a file and of its bin; ``sources.buckets`` has versions.
+    """
+    recover(spark, path)
+    parts, small = list(partition_by), target // 2 if small is None else small
+    rows = spark.read.parquet(path)
+    at = F.col("_metadata.file_path").alias("__file")
+    files = rows.select(at, F.col("_metadata.file_size").alias("__size")).distinct().filter(F.col("__size") < small)
+    files = files.withColumn("__folder", F.regexp_extract("__file", "^(.*)/[^/]+$", 1))
+    inside = Window.partitionBy("__folder").orderBy("__file")
+    before = F.coalesce(F.sum("__size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    binned = files.withColumn("__bin", F.floor(before / target).cast("long"))
+    many = F.count(F.lit(1)).over(Window.partitionBy("__folder", "__bin")) > 1
+    listed = binned.withColumn("__many", many).filter("__many").select("__file", "__folder", "__bin")
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    listed.write.parquet(f"{staging}/bins")
+    listed = spark.read.parquet(f"{staging}/bins")
+    old = [unquote(r["__file"]) for r in listed.select("__file").collect()]
+    if not old:
+        _delete(spark, staging)
+        return 0
+    packed = rows.select("*", at).join(listed, "__file").drop("__file")
+    number = F.dense_rank().over(Window.orderBy("__folder", "__bin"))
+    bins = listed.select("__folder", "__bin").distinct().withColumn("__nth", number)
+    packed = packed.join(bins, ["__folder", "__bin"]).drop("__folder", "__bin")
+    # One task a bin, so one file a bin; ``target`` bounds it.
+    packed.repartition("__nth").write.partitionBy(*parts, "__nth").parquet(f"{staging}/new")
+    moves = []
+    for folder in _folders(spark, f"{staging}/new", len(parts) + 1):
+        location, system = _location(spark, f"{staging}/new/{folder}")
+        home = "/".join(folder.split("/")[:-1])
+        for status in system.listStatus(location):
+            name = status.getPath().getName()
+            if name.startswith("part-"):
+                moves.append([f"{staging}/new/{folder}/{name}", "/".join(filter(None, (path, home, f"packed-{uuid.uuid4().hex}.parquet")))])
+    _move_in(spark, path, staging, [], [], files=moves, old=old)
+    return len(old)
+
+
 def maintenance_statements(spark: SparkSession, database: str, properties: dict[str, str]) -> list[str]:
     """OP-24: one ALTER statement per table of a database."""
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())

@@ -216,3 +216,30 @@ def test_shares_text_and_members(spark):
     assert summaries.ordered_text(df, ["k"], "v", "t", ";").first()["t"] == "a;b"
     assert [r[0] for r in summaries.first_values(df.filter("v is not null"), "v", 1, descending=True).collect()] == ["b"]
     assert summaries.with_catch_all(df, "k", {"v": "all"}).filter("v = 'all'").count() == 1
+
+
+def test_compaction_packs_small_files_and_leaves_large_ones(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    spark.range(200_000).selectExpr("id", "0 AS p").repartition(1).write.partitionBy("p").parquet(path)
+    large = {f for f in os.listdir(f"{path}/p=0") if f.endswith(".parquet")}
+    spark.range(1_000, 1_050).selectExpr("id", "id % 2 AS p").repartition(5).write.mode("append").partitionBy("p").parquet(path)
+    before = sorted(tuple(r) for r in spark.read.parquet(path).groupBy("p").agg(F.count("id"), F.sum("id")).collect())
+    replaced = tables.compact_small(spark, path, target=100_000, small=20_000, partition_by=["p"])
+    assert replaced >= 8 and sorted(tuple(r) for r in spark.read.parquet(path).groupBy("p").agg(F.count("id"), F.sum("id")).collect()) == before
+    left = {p: {f for f in os.listdir(f"{path}/p={p}") if f.endswith(".parquet")} for p in (0, 1)}
+    assert large < left[0] and len(left[0]) == 2 and len(left[1]) == 1
+    assert tables.compact_small(spark, path, target=100_000, small=20_000, partition_by=["p"]) == 0
+
+
+def test_ordered_text_of_a_key_in_parts(spark):
+    rows = [("hot", f"v{i:04d}") for i in range(900)] * 2 + [("b", "x"), ("b", None), (None, "n"), (None, "a")]
+    df = spark.createDataFrame(rows, "k string, v string")
+    got = {r["k"]: r["t"] for r in summaries.ordered_text(df, ["k"], "v", "t", ";", size=64).collect()}
+    assert got == {"hot": ";".join(f"v{i:04d}" for i in range(900)), "b": "x", None: "a;n"}
+
+
+def test_unknown_warehouse_type_raises():
+    with pytest.raises(ValueError):
+        quality.warehouse_type(T.MapType(T.StringType(), T.StringType()))

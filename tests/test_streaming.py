@@ -148,3 +148,19 @@ def test_stateful_session_leaves_the_caller_alone(spark):
     assert session.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert session.range(3).select(F.sum("id")).first()[0] == 3
+
+
+def test_growing_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    body = sources.growing_table(path, "a bigint")
+    lines = lambda *rows: spark.createDataFrame([(r,) for r in rows], "value string")
+    body(lines('{"a": 1}', '{"a": null}', "", "no json", "[1]"), 0)
+    body(lines('{"a": 2, "b": 1.5, "c": true, "d": {"x": 1}}', '{"a": "word", "b": 2}'), 1)
+    body(lines('{"a": 3, "b": "text", "d": "s"}'), 2)
+    body(lines('{"a": 3, "b": "text", "d": "s"}'), 2)
+    got = sorted((tuple(r) for r in sources.read_growing(spark, path, "a bigint").collect()), key=str)
+    assert sources.read_growing(spark, path, "a bigint").columns == ["a", "b", "c", "d", "rescued"]
+    assert sorted(got, key=str) == sorted([
+        (1, None, None, None, None), (None, None, None, None, None), (None, None, None, None, ""), (None, None, None, None, "no json"), (None, None, None, None, "[1]"),
+        (2, 1.5, True, '{"x":1}', None), (None, 2.0, None, None, '{"a":"word"}'), (3, None, None, "s", '{"b":"text"}'),
+    ], key=str)
