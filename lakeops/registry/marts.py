@@ -210,21 +210,58 @@ def factor_scores(spark, d):
     return screening.factor_scores(screening.chi2_screen(factor_rows(spark, d), FACTORS, "flag", "class", ["short", "long"]))
 
 
+def tree_sql(depth: int, min_leaf: int) -> str:
+    """A tree on the factors, grown level by level: each node is cut by the factor with the largest Gini decrease, if both
+    sides have enough rows; nodes whose leaves all say the same are leaves. ``leaves`` and ``inner`` are its nodes."""
+    gini = lambda n, p: f"(1 - ({p} / {n}) * ({p} / {n}) - (1 - {p} / {n}) * (1 - {p} / {n}))"
+    parts = [f"""{PANEL}, r AS (SELECT flag, CASE WHEN isodow(day) >= 6 THEN 1 ELSE 0 END AS weekend, CASE WHEN amount > 100 THEN 1 ELSE 0 END AS high_value,
+      CASE WHEN n_events > 3 THEN 1 ELSE 0 END AS many_events, CASE WHEN day(day) > 15 THEN 1 ELSE 0 END AS late_month FROM panel),
+    m0 AS (SELECT '' AS path, CAST([] AS VARCHAR[]) AS factors, [weekend, high_value, many_events, late_month] AS v, CAST(count(*) AS DOUBLE) AS n, CAST(sum(flag) AS DOUBLE) AS p FROM r GROUP BY 3)"""]
+    for k in range(depth):
+        parts.append(f"""c{k} AS (SELECT path, i, sum(n) AS n, sum(p) AS p, sum(n) FILTER (v[i] = 0) AS n0, sum(p) FILTER (v[i] = 0) AS p0, sum(n) FILTER (v[i] = 1) AS n1, sum(p) FILTER (v[i] = 1) AS p1
+      FROM m{k}, range(1, 5) t(i) GROUP BY 1, 2),
+    g{k} AS (SELECT *, {gini('n', 'p')} - n0 / n * {gini('n0', 'p0')} - n1 / n * {gini('n1', 'p1')} AS gain FROM c{k} WHERE n0 >= {min_leaf} AND n1 >= {min_leaf}),
+    b{k} AS (SELECT * FROM g{k} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, i) = 1),
+    m{k + 1} AS (SELECT m.path || CASE WHEN v[b.i] = 1 THEN 'R' ELSE 'L' END AS path, list_append(factors, ['weekend', 'high_value', 'many_events', 'late_month'][b.i]) AS factors, v, m.n, m.p
+      FROM m{k} m JOIN b{k} b ON b.path = m.path)""")
+    nodes = " UNION ALL ".join(f"SELECT path, any_value(factors) AS factors, sum(n) AS n, sum(p) AS p FROM m{k} GROUP BY 1" for k in range(depth + 1))
+    cuts = " UNION ALL ".join(f"SELECT path, i, gain FROM b{k}" for k in range(depth))
+    # A node stays cut if some leaf below it says something else than another one.
+    parts.append(f"""nodes AS (SELECT *, CASE WHEN p > n - p THEN 1 ELSE 0 END AS said FROM ({nodes})), cuts AS ({cuts}),
+    ends AS (SELECT * FROM nodes WHERE path NOT IN (SELECT path FROM cuts)),
+    inner_ AS (SELECT c.path, c.i, c.gain, max(n.n) AS n FROM cuts c JOIN nodes n ON n.path = c.path JOIN ends e ON starts_with(e.path, c.path) GROUP BY 1, 2, 3 HAVING count(DISTINCT e.said) > 1),
+    leaves AS (SELECT *, CAST(row_number() OVER (ORDER BY path) - 1 AS INTEGER) AS leaf FROM nodes
+      WHERE path NOT IN (SELECT path FROM inner_) AND (path = '' OR left(path, length(path) - 1) IN (SELECT path FROM inner_)))""")
+    return ",\n".join(parts)
+
+
+TREE = tree_sql(4, 20)
+
+
 def _tree(spark, d):
     rows = factor_rows(spark, d).drop("class")
     return screening.fit_tree(rows, FACTORS, "flag", 20, depth=4)
 
 
-@query("tree_leaf_stats")
+@query(
+    "tree_leaf_stats",
+    f"""WITH {TREE} SELECT leaf, CAST(n AS BIGINT) AS rows, said AS predicted, CAST(CASE WHEN said = 1 THEN p ELSE n - p END AS BIGINT) AS correct,
+      CAST(CASE WHEN said = 1 THEN n - p ELSE p END AS BIGINT) AS wrong, CAST(p AS BIGINT) AS positives, round(CASE WHEN said = 1 THEN p ELSE n - p END / n, 9) AS precision, round(p / n, 9) AS rate FROM leaves""",
+)
 def tree_leaf_stats(spark, d):
-    return screening.leaf_stats(_tree(spark, d)[1], "flag")
+    return screening.leaf_stats(_tree(spark, d)[1], "flag").withColumns({c: F.round(c, 9) for c in ("precision", "rate")})
 
 
-@query("tree_top_leaf_rules")
+@query(
+    "tree_top_leaf_rules",
+    f"""WITH {TREE}, top AS (SELECT * FROM leaves WHERE n >= 50 ORDER BY p / n DESC, leaf LIMIT 15)
+    SELECT leaf, CAST(step - 1 AS INTEGER) AS step, factors[step] AS factor, substr(path, step, 1) = 'R' AS holds, CAST(n AS BIGINT) AS rows, round(p / n, 9) AS rate
+    FROM (SELECT *, unnest(range(1, length(path) + 1)) AS step FROM top)""",
+)
 def tree_top_leaf_rules(spark, d):
     model, scored = _tree(spark, d)
     best = screening.top_leaves(screening.leaf_stats(scored, "flag"), at_least=50)
-    return screening.leaf_rules(model, scored, FACTORS).join(best.select("leaf", "rows", "rate"), "leaf")
+    return screening.leaf_rules(model, scored, FACTORS).join(best.select("leaf", "rows", F.round("rate", 9).alias("rate")), "leaf")
 
 
 @query(
@@ -249,8 +286,15 @@ def tree_rules_cover(spark, d):
     return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
-@query("factor_importance")
+@query(
+    "factor_importance",
+    f"""WITH {TREE}, f AS (SELECT ['weekend', 'high_value', 'many_events', 'late_month'][i] AS factor, sum(gain * n) AS gained FROM inner_ GROUP BY 1),
+    scored AS (WITH {CHI2} SELECT factor, sum(score) AS score FROM screen GROUP BY 1)
+    SELECT CASE WHEN coalesce(score, 0) < 0 THEN 'not ' || f.factor ELSE f.factor END AS factor, round(gained / sum(gained) OVER (), 9) AS importance
+    FROM f LEFT JOIN scored s ON s.factor = f.factor""",
+)
 def factor_importance(spark, d):
     model, scored = _tree(spark, d)
     scores = factor_scores(spark, d)
-    return screening.signed_importance(screening.importance(model, scored, FACTORS), scores)
+    signed = screening.signed_importance(screening.importance(model, scored, FACTORS), scores)
+    return signed.withColumn("importance", F.round("importance", 9))
