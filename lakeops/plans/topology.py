@@ -11,6 +11,11 @@ from lakeops.operators.reshape import union_distinct
 from lakeops.operators.timeline import Timeline, along, previous, running_total
 
 
+def with_previous(points: DataFrame, chain: Sequence[str], order: str, point: str, chunk: Column | int | None = None) -> DataFrame:
+    """MART-12/13: the point before each one of its chain; 0 for the first."""
+    return along(points, Timeline(tuple(chain), (order,), chunk), {"previous_point": previous(point, default=0)})
+
+
 def chain_topology(
     points: DataFrame,
     distances: DataFrame,
@@ -27,7 +32,7 @@ def chain_topology(
     chain is a window group of its own.
     """
     line = Timeline(tuple(chain), (order,), chunk)
-    linked = along(points, line, {"previous_point": previous(point, default=0)})
+    linked = with_previous(points, chain, order, point, chunk)
     measured = (
         linked.join(
             distances,
