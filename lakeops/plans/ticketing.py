@@ -39,23 +39,25 @@ def boarding_stops(
     payload: Sequence[str],
     back_s: int = 120,
     ahead_s: int = 1200,
-    key: Sequence[str] = ("event_id",),
     ahead_weight: int = 10,
 ) -> DataFrame:
     """MART-23: the vehicle by source-dependent code, then its nearest passage.
 
-    ``key`` tells validations apart. A code that is listed for several vehicles gives one row a validation all
-    the same: the vehicle whose passage costs least, then the earliest passage, then the smallest fleet code.
+    A code that is listed for several vehicles gives one row a validation all the same: the vehicle whose passage
+    costs least, then the earliest passage, then the smallest fleet code. Validations repeated in full give a row each.
     """
-    known = by_source_join(validations, vehicles, "source", "vehicle_code", key_of_source)
-    known = known.select(*validations.columns, "fleet_code").distinct()
+    columns = validations.columns
+    counted = validations.groupBy(*columns).agg(F.count(F.lit(1)).alias("__times"))
+    known = by_source_join(counted, vehicles, "source", "vehicle_code", key_of_source)
+    known = known.select(*columns, "__times", "fleet_code").distinct()
     found = nearest_event(
         known, passages, ["fleet_code"], "validated_at", "arrived_at", ["arrived_at", "passage_id"], payload, back_s, ahead_s, ahead_weight
     )
     gap = epoch_micros(F.col("validated_at")) - epoch_micros(F.col("event_at"))
     cost = F.when(gap >= 0, gap).otherwise(-ahead_weight * gap)
     rated = found.withColumns({"__none": F.col("event_at").isNull(), "__cost": cost})
-    return first_per_key(rated, key, ["__none", "__cost", "event_at", "fleet_code"]).drop("__none", "__cost")
+    best = first_per_key(rated, [*columns, "__times"], ["__none", "__cost", "event_at", "fleet_code"]).drop("__none", "__cost")
+    return best.withColumn("__nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).drop("__nth", "__times")
 
 
 def daily_counts(validations: DataFrame, day: Column, card: str) -> DataFrame:
