@@ -68,12 +68,17 @@ def exact_quantiles(
             *[F.col(c).alias(f"__t{i}") for i, c in enumerate((*groups, "__slot" if level == 0 else "__first"))],
             "__name", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "low", "high",
         )
-        # A row a quantile where there are no groups; else sized as the plan runs.
-        targets = targets if groups else F.broadcast(targets)
-        on = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(targets[f"__t{i}"]) for i, c in enumerate((*groups, "__slot"))])
         # Each level reads the values anew, not what the levels before have joined.
-        met = rows.join(targets, on & F.col("__x").between(F.col("low"), F.col("high")))
-        met = met.select(*[rows[c] for c in groups], "__name", "rank", rows["__slot"].alias("__first"), "__v", "__x", "low", "high")
+        inside = lambda low, high: F.col("__x").between(low, high)
+        if groups:
+            on = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(targets[f"__t{i}"]) for i, c in enumerate((*groups, "__slot"))])
+            met = rows.join(targets, on & inside(F.col("low"), F.col("high")))
+        else:
+            # A target a quantile, as a scalar subquery.
+            listed = targets.agg(F.collect_list(F.struct("__t0", "__name", "rank", "low", "high"))).scalar()
+            hits = F.filter("__all", lambda t: (t["__t0"] == F.col("__slot")) & inside(t["low"], t["high"]))
+            met = rows.withColumn("__all", listed).withColumn("__hit", F.explode(hits)).select(*rows.columns, "__hit.*")
+        met = met.select(*[rows[c] for c in groups], "__name", "rank", F.col("__slot").alias("__first"), "__v", "__x", "low", "high")
         if level < levels:
             ranked = _slot_counts(met.withColumn("__slot", place(F.col("low"), F.col("high"))), [*named, "rank", "__first", "__slot"], named)
     last = met.groupBy(*named, "rank", "__v").agg(F.count(F.lit(1)).alias("n"))

@@ -50,11 +50,10 @@ class Timeline:
         if not isinstance(self.chunk, int):
             return rows.withColumn(CHUNK, self.chunk)
         borders = splitters(rows, self.keys, self.order, self.chunk)
-        on = reduce(lambda x, y: x & y, [rows[k].eqNullSafe(borders[f"__k{i}"]) for i, k in enumerate(self.keys)])
-        # Few enough for every task: see splitters().
-        placed = rows.join(F.broadcast(borders), on, "left")
-        at = F.when(F.col("__borders").isNull(), 0).otherwise(_reached(F.col("__borders"), _order_key(self.order)))
-        return placed.withColumn(CHUNK, at.cast("long")).drop("__borders", *[f"__k{i}" for i in range(len(self.keys))])
+        at = _order_key((*self.keys, *self.order))
+        placed = rows.withColumn("__borders", borders)
+        reached = F.when(F.size("__borders") == 0, 0).otherwise(_reached(F.col("__borders"), at))
+        return placed.withColumn(CHUNK, reached.cast("long")).drop("__borders")
 
     def window(self, backwards: bool = False, leading: Sequence[str] = (), split: Sequence[str] = ()):
         """``backwards`` reads the same rows from the end. A frame that ends at unbounded
@@ -69,23 +68,24 @@ def every(column: str, seconds: int) -> Column:
     return F.floor(epoch_seconds(F.col(column)) / seconds).cast("long")
 
 
-def splitters(rows: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = ROWS) -> DataFrame:
-    """(__k0, .., __borders): of keys with more than about ``size`` rows, the order values to cut them at.
+def splitters(rows: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = ROWS) -> Column:
+    """The sorted values of (keys, order) to cut keys with more than about ``size`` rows at, as a scalar subquery.
 
     One row in RATE is looked at, or one in so many that about MOST are; which one, a hash of its order
     value says, so the same rows give the same splitters wherever the plan is run. There is a splitter
-    every STEP rows looked at and ``size`` rows or more: at most MOST / STEP altogether, whatever the
-    table's size. Nothing runs before the plan does.
+    every STEP rows of a key looked at and ``size`` rows or more: at most MOST / STEP altogether, whatever
+    the table's size. Nothing runs before the plan does.
     """
     rate = max(1, min(RATE, size // STEP))
     total = rows.agg(F.count(F.lit(1))).scalar()
     share = F.greatest(F.lit(rate), F.ceil(total / MOST)).cast("long")
-    names = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
-    seen = rows.select(*names, _order_key(order).alias("__at")).filter(F.pmod(F.xxhash64("__at"), share) == 0)
     by = [f"__k{i}" for i in range(len(keys))]
+    names = [F.col(k).alias(name) for k, name in zip(keys, by, strict=True)]
+    seen = rows.select(*names, _order_key(order).alias("__at"), _order_key((*keys, *order)).alias("__whole"))
+    seen = seen.filter(F.pmod(F.xxhash64("__at"), share) == 0)
     nth = F.row_number().over(Window.partitionBy(*by).orderBy("__at"))
     drawn = seen.withColumn("__nth", nth).filter(F.col("__nth") % (size // rate) == 0)
-    return drawn.groupBy(*by).agg(F.array_sort(F.collect_list("__at")).alias("__borders"))
+    return drawn.agg(F.array_sort(F.collect_list("__whole"))).scalar()
 
 
 def _reached(borders: Column, at: Column) -> Column:
