@@ -29,7 +29,7 @@ from lakeops.llm.common import query, table, text_slices
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math title textarea select".split())
+RAW = frozenset("script style template iframe svg title textarea select".split())
 BLOCK = frozenset(
     "html head body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd nav header footer aside form fieldset table caption "
     "thead tbody tfoot tr td th blockquote pre figure figcaption address details summary dialog menu hgroup center button label legend".split()

@@ -109,6 +109,14 @@ def test_main_text_on_given_pages(spark):
         assert row.text == "\n\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
 
 
+def test_main_text_keeps_formulas_objects_and_fallbacks():
+    filler = "which we use in the next part of the text, as it is of some length."
+    page = f"""<html><body><nav><ul><li><a href=/a>Home</a><li><a href=/b>About</a></ul></nav><article><h1>A title of some words</h1>
+<p>Let <math>x</math> be and <object>an object</object> there, {filler}</p><noscript><p>A fallback, {filler}</p></noscript><script>no</script>
+<p>The end, {filler}</p></article><footer><p>Copyright</p></footer></body></html>"""
+    assert main_text.trained().extract([page]) == ["\n\n".join(["A title of some words", f"Let x be and an object there, {filler}", f"A fallback, {filler}", f"The end, {filler}"])]
+
+
 def test_main_text_on_unseen_layouts():
     pages = main_text.layouts(150, 1234)
     good = sum(text == "\n\n".join(t for _, t in main_text.parse(page)[1] if t.startswith("m")) for page, text in zip(pages, main_text.trained().extract(pages), strict=True))
