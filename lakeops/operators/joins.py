@@ -1,8 +1,8 @@
 """Joins Spark has no single operator for.
 
-No side is broadcast by hint: Spark broadcasts a side whose size it has checked against
-``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise, where adaptive
-execution splits skewed keys.
+Spark broadcasts a side whose size it has checked against ``spark.sql.autoBroadcastJoinThreshold``
+and sort-merges otherwise, where adaptive execution splits skewed keys. Only :func:`band_join` says
+which, as Spark takes the rows it makes for fewer than they are.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ def band_join(
     high: str,
     how: str = "left",
     keys: Sequence[str] = (),
+    few: bool = False,
 ) -> DataFrame:
     """OP-74: ``value BETWEEN low AND high`` as an equi join over power-of-two cells.
 
@@ -35,7 +36,12 @@ def band_join(
     of them, however long it is; a fact probes one cell on each level that some band lies on. The
     exact predicate decides afterwards. Both bounds are inclusive, so touching bands both match; a
     null bound, or a low above its high, matches nothing. ``how`` is inner or left.
+
+    The sides are sorted and merged: Spark's estimate leaves out that a fact is repeated per level, so it
+    would broadcast facts of any number from small files. ``few`` bands, as rules are, are broadcast
+    unless broadcasts are off.
     """
+    off = facts.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith(("-", "0"))
     length = F.col(high).cast("double") - F.col(low).cast("double")
     # The lengths of bands that are one point long say nothing about a level; any will do.
     level = F.when(length > 0, F.ceil(F.log2(length))).otherwise(0).cast("int")
@@ -52,7 +58,7 @@ def band_join(
     for key in keys:
         on = on & (F.col(f"l.{key}") == F.col(f"r.{key}"))
     kept = [c for c in bands.columns if c not in keys]
-    joined = left.join(right, on)
+    joined = left.join(right.hint("broadcast" if few and not off else "merge"), on)
     out = joined.select(*[F.col(f"l.`{c}`") for c in facts.columns], *[F.col(f"r.`{c}`") for c in kept])
     if how == "inner":
         return out

@@ -49,7 +49,8 @@ def contract_features(
     entity = ["entity"]
     last = days.groupBy("entity").agg(F.max("day").alias("__last"))
     one = intervals.one_state(contracts, entity, "starts", "ends", order, ["nature", "hours_percent"])
-    known = one.join(last, "entity").withColumn("__until", F.col("__last"))
+    # Both tables have a row a person: Spark, who knows the size of their packed files, would broadcast them.
+    known = one.join(last.hint("merge"), "entity").withColumn("__until", F.col("__last"))
     states = intervals.carried(known, entity, "starts", "ends", F.col("__until")).drop("__last", "__until")
     out = intervals.on_days(days.select("entity", "day").distinct(), states, entity, "day", "starts", "ends")
     # A residence holds until the next is known: the latest one on a merged timeline.
@@ -57,7 +58,7 @@ def contract_features(
     moves = moves.groupBy("entity", "day", "__kind").agg(F.max("__place").alias("__place"))
     line = Timeline(("entity",), ("day", "__kind"))
     placed = along(out.withColumn("__kind", F.lit(1)).unionByName(moves, allowMissingColumns=True), line, {"residence": last_known("__place")})
-    out = placed.filter(F.col("__kind") == 1).drop("__kind", "__place").join(people, "entity", "left")
+    out = placed.filter(F.col("__kind") == 1).drop("__kind", "__place").join(people.hint("merge"), "entity", "left")
     years = F.floor(F.datediff("day", "hired") / 365).cast("int")
     age = F.year("day") - F.year("born")
     young = F.size(F.filter(F.coalesce("children", F.array()), lambda born: F.year("day") - F.year(born) <= child_age))

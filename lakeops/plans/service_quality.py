@@ -17,7 +17,7 @@ from lakeops.operators.timeline import Timeline, along, position, previous
 
 def with_band(passages: DataFrame, bands: DataFrame, second_of_day: Column) -> DataFrame:
     """OP-74: hour band(s) of each passage."""
-    return band_join(passages, bands, second_of_day, "band_from", "band_to", how="inner")
+    return band_join(passages, bands, second_of_day, "band_from", "band_to", how="inner", few=True)
 
 
 def band_table(slices: DataFrame, segments: DataFrame, bridge: DataFrame, bands: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def bucketed_range_join(spark, d):
         (F.col("lo") + width * (F.col("step") + 1) / 4).alias("bound_to"),
     )
     joined = joins.band_join(
-        customers, bands, F.col("c_acctbal"), "bound_from", "bound_to", "left", ["c_mktsegment"]
+        customers, bands, F.col("c_acctbal"), "bound_from", "bound_to", "left", ["c_mktsegment"], few=True
     )
     return joined.groupBy("c_mktsegment", "step").agg(F.count(F.lit(1)).alias("customers"))
 

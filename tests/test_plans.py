@@ -35,6 +35,12 @@ def test_inline_rules_are_the_broadcast_side(spark):
     assert "BuildRight" in text and "BuildLeft" not in text and "SortMergeJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["one_state_periods", "contract_features", "bands_of_any_length"])
+def test_bands_of_a_table_broadcast_no_side(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
 def test_headway_uses_one_window_per_level(spark):
     text = plan(QUERIES["headway"](spark, FOLDER))
     assert text.count("+- Window [") == 2, "one over chunk summaries, one over rows"
