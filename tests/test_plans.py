@@ -41,6 +41,11 @@ def test_bands_of_a_table_broadcast_no_side(spark, name):
     assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
 
 
+def test_percentile_ranks_gather_no_group(no_broadcast):
+    text = plan(QUERIES["approximate_percentile_ranks"](no_broadcast, FOLDER))
+    assert "Join" not in text and "Window" not in text
+
+
 def test_headway_uses_one_window_per_level(spark):
     text = plan(QUERIES["headway"](spark, FOLDER))
     assert text.count("+- Window [") == 2, "one over chunk summaries, one over rows"
