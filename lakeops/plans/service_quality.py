@@ -23,7 +23,7 @@ def with_band(passages: DataFrame, bands: DataFrame, second_of_day: Column) -> D
 def band_table(slices: DataFrame, segments: DataFrame, bridge: DataFrame, bands: DataFrame) -> DataFrame:
     """The bands of a time slice, reached over its segments."""
     return (
-        slices.join(bridge, "slice").join(segments, "segment").join(bands, "band").select("slice", "band", "band_from", "band_to")
+        bridge.join(slices, "slice").join(segments, "segment").join(bands, "band").select("slice", "band", "band_from", "band_to")
     )
 
 
