@@ -167,9 +167,11 @@ def conversations_as_records(rows: DataFrame) -> DataFrame:
         F.col("turn").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content")
     )
     parts = rows.groupBy("conv_id", F.floor(F.col("turn") / 256).alias("part")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    whole = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "turns"))).alias("parts"))
-    messages = F.transform(F.flatten(F.col("parts.turns")), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return whole.select("conv_id", F.to_json(F.struct(messages.alias("messages")), {"ignoreNullFields": "false"}).alias("record"))
+    # Each part becomes text by itself, so a long conversation is never an array of all its turns.
+    message = lambda t: F.to_json(F.struct(t["role"].alias("role"), t["content"].alias("content")), {"ignoreNullFields": "false"})
+    written = parts.select("conv_id", F.struct("part", F.array_join(F.transform("turns", message), ",").alias("text")).alias("written"))
+    whole = written.groupBy("conv_id").agg(F.array_sort(F.collect_list("written"))["text"].alias("texts"))
+    return whole.select("conv_id", F.concat(F.lit('{"messages":['), F.array_join("texts", ","), F.lit("]}")).alias("record"))
 
 
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -185,7 +187,7 @@ def format_records(records: DataFrame, record: str = "record") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks, texts, losses = [], [], []
-            for value in batch.column("record"):
+            for value in batch.column("row").field(at):
                 try:
                     parsed = json.loads(value.as_py() or "null")
                 except ValueError:
@@ -201,7 +203,9 @@ def format_records(records: DataFrame, record: str = "record") -> DataFrame:
                 names=["row", "fingerprint", "formatted", "loss"],
             )
 
-    given = records.select(F.struct(*[records[c] for c in records.columns]).alias("row"), records[record].alias("record"))
+    # The record is one of the row's columns and is sent once.
+    at = records.columns.index(record)
+    given = records.select(F.struct(*[records[c] for c in records.columns]).alias("row"))
     schema = T.StructType([given.schema["row"], T.StructField("fingerprint", T.StringType()), T.StructField("formatted", T.StringType()), T.StructField("loss", SPAN)])
     return given.mapInArrow(run, schema)
 
@@ -243,7 +247,9 @@ FROM e GROUP BY conv_id""")
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     probe = local_table(spark, [(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
-    read = read_back(format_records(conversations_as_records(given.unionByName(probe))))
+    formatted = format_records(conversations_as_records(given.unionByName(probe)))
+    # The records aren't needed any more; a long one would be carried along.
+    read = read_back(formatted.withColumn("row", F.struct("row.conv_id")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         F.col("row.conv_id").alias("conv_id"),

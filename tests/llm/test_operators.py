@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import json
 import random
 import re
 
@@ -243,3 +244,16 @@ def test_pipeline_stages(spark):
     wanted = duckdb.sql(f"SELECT count(DISTINCT regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) FROM '{FOLDER}/documents.parquet'").fetchall()[0][0]
     assert 0 < kept.count() <= wanted
     assert corpus_pipeline.run(spark, FOLDER).count() == kept.count()
+
+
+def test_long_conversations_are_carried_once(spark, monkeypatch):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f'turn "{t}" é\\\n') for t in range(1000)] + [(1, None, None, None), (2, 300, "user", "b"), (2, 1, "system", "a")]
+    records = chat.conversations_as_records(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    sent = []
+    real = type(records).mapInArrow
+    monkeypatch.setattr(type(records), "mapInArrow", lambda self, *given, **named: sent.append(self.columns) or real(self, *given, **named))
+    read = chat.read_back(chat.format_records(records)).select("row.*", "turns").collect()
+    assert sent[0] == ["row"], "the record is in the row, and not beside it again"
+    got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in read}
+    assert got == {1: [("", "")] + [(r[2], r[3]) for r in rows[:1000]], 2: [("system", "a"), ("user", "b")]}
+    assert json.loads(next(r.record for r in read if r.conv_id == 2)) == {"messages": [{"role": "system", "content": "a"}, {"role": "user", "content": "b"}]}
