@@ -38,7 +38,9 @@ def schema_text(df: DataFrame) -> str:
 
 
 def warehouse_type(kind: T.DataType) -> str:
-    """OP-44. A type that has no counterpart raises."""
+    """OP-44. Structs and lists are kept as text; another type that has no counterpart raises."""
+    if isinstance(kind, T.StructType | T.ArrayType):
+        return "nvarchar(max)"
     if isinstance(kind, T.DecimalType):
         return f"decimal({kind.precision},{kind.scale})"
     if kind.simpleString() not in WAREHOUSE_TYPES:
