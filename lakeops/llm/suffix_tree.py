@@ -11,13 +11,15 @@ Documents are cut into blocks of word codes, stored once. In each round a block
 its distinct n-grams of one length: asks are shuffled by ranges of n-gram hashes, counted over all blocks
 and answered to the blocks. So a frequent n-gram moves once a block, not once an occurrence. An n-gram is
 asked for only if its context and its suffix are frequent enough to matter. Contexts are tested in the
-same way. Words and n-grams are 64-bit hashes.
+same way, those of one length a round, one round after their next words are counted. Words and n-grams
+are 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -190,71 +192,74 @@ def _rebuilt(rows: list[dict], levels: int, least_context: int, least_next: int)
 TEST = 1_000
 
 
-def _asking(level: int, bits: int, least_context: int, least_next: int) -> Callable:
+def _tests(number: int, block: Block, d: int, words: int, bits: int, least_context: int, least_next: int) -> list[tuple]:
+    """What a block's training occurrences say of their contexts of ``d`` words: n, the occurrences of next words
+    told apart, how many different ones these are, and their log-likelihood ratio to the shorter context."""
+    at, keys, which = block.contexts(d, least_context)
+    n, c = block.counts[d][at - 1], block.counts[d + 1][at]
+    own = (c >= least_next) & block.learned[at]
+    shorter = block.counts[d - 1][at - 1][own] if d > 1 else np.full(int(own.sum()), words)
+    told = np.log(c[own] / n[own]) - np.log(block.counts[d][at][own] / shorter)
+    values = np.zeros((4, len(keys)))
+    values[0][which] = n
+    values[1] = np.bincount(which[own], minlength=len(keys))
+    values[2] = np.bincount(which[own], 1 / c[own], minlength=len(keys))
+    values[3] = np.bincount(which[own], told, minlength=len(keys))
+    out = []
+    for at_, part in _split(keys, bits):
+        # Two numbers that are whole in a block, two of which single precision is enough.
+        short = np.concatenate([values[:2, part].astype(np.uint32), values[2:, part].astype(np.float32).view(np.uint32)])
+        out.append((number, TEST + d, at_, packed_keys(keys[part]), packed(short.reshape(-1))))
+    return out
+
+
+def _asking(level: int, words: int, depth: int, bits: int, least_context: int, least_next: int) -> Callable:
+    """Asks for n-grams of ``level`` words (up to one more than ``depth``), and tests of the contexts two words
+    shorter, whose next words the last round has counted."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (number,), rows in _grouped(batches, "block"):
             block = _rebuilt(rows, level - 1, least_context, least_next)
-            wanted, keys, which = block.asks(level, least_context, least_next)
-            learned = np.bincount(which[block.learned[wanted]], minlength=len(keys))
-            yield _batch([(number, level, at, packed_keys(keys[part]), packed(learned[part])) for at, part in _split(keys, bits)])
+            if level > 2:
+                yield _batch(_tests(number, block, level - 2, words, bits, least_context, least_next))
+            if level <= depth + 1:
+                wanted, keys, which = block.asks(level, least_context, least_next)
+                learned = np.bincount(which[block.learned[wanted]], minlength=len(keys))
+                yield _batch([(number, level, at, packed_keys(keys[part]), packed(learned[part])) for at, part in _split(keys, bits)])
 
     return run
 
 
-def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Asks of one range of hashes, answered by the counts over all blocks. One row a range (block -1)
-    has the number of n-grams that were learned, and of their occurrences."""
+def _answering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Asks and tests of one range of hashes, answered over all blocks."""
     for (level, at), rows in _grouped(batches, "level", "range"):
-        keys = [unpacked_keys(row["keys"]) for row in rows]
-        _, which = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(which, np.concatenate([unpacked(row["payload"], np.int64) for row in rows])).astype(np.int64)
-        ends = np.cumsum([len(k) for k in keys])
-        out = [(row["block"], level, at, None, packed(total[which[e - len(k) : e]])) for row, k, e in zip(rows, keys, ends, strict=True)]
-        yield _batch([*out, (-1, level, at, None, np.array([np.count_nonzero(total), total.sum()], np.int64).tobytes())])
+        yield _batch((_judged if level > TEST else _counted)(level, at, rows))
 
 
-def _testing(depth: int, words: int, bits: int, least_context: int, least_next: int) -> Callable:
-    """What a block's training occurrences say of their contexts: n, the occurrences of next words told
-    apart, how many different ones these are, and their log-likelihood ratio to the shorter context."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (number,), rows in _grouped(batches, "block"):
-            block = _rebuilt(rows, depth + 1, least_context, least_next)
-            out = []
-            for d in range(1, depth + 1):
-                at, keys, which = block.contexts(d, least_context)
-                n, c = block.counts[d][at - 1], block.counts[d + 1][at]
-                own = (c >= least_next) & block.learned[at]
-                shorter = block.counts[d - 1][at - 1][own] if d > 1 else np.full(int(own.sum()), words)
-                told = np.log(c[own] / n[own]) - np.log(block.counts[d][at][own] / shorter)
-                values = np.zeros((4, len(keys)))
-                values[0][which] = n
-                values[1] = np.bincount(which[own], minlength=len(keys))
-                values[2] = np.bincount(which[own], 1 / c[own], minlength=len(keys))
-                values[3] = np.bincount(which[own], told, minlength=len(keys))
-                for at_, part in _split(keys, bits):
-                    # Two numbers that are whole in a block, two of which single precision is enough.
-                    short = np.concatenate([values[:2, part].astype(np.uint32), values[2:, part].astype(np.float32).view(np.uint32)])
-                    out.append((number, TEST + d, at_, packed_keys(keys[part]), packed(short.reshape(-1))))
-            yield _batch(out)
-
-    return run
+def _counted(level: int, at: int, rows: list[dict]) -> list[tuple]:
+    """The counts over all blocks. One row a range (block -1) has the number of n-grams that were learned, and of
+    their occurrences."""
+    keys = [unpacked_keys(row["keys"]) for row in rows]
+    _, which = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(which, np.concatenate([unpacked(row["payload"], np.int64) for row in rows])).astype(np.int64)
+    ends = np.cumsum([len(k) for k in keys])
+    out = [(row["block"], level, at, None, packed(total[which[e - len(k) : e]])) for row, k, e in zip(rows, keys, ends, strict=True)]
+    return [*out, (-1, level, at, None, np.array([np.count_nonzero(total), total.sum()], np.int64).tobytes())]
 
 
-def _judging(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _judged(level: int, at: int, rows: list[dict]) -> list[tuple]:
     """Whether contexts are states: of those that are, the occurrences of next words told apart and how many these are."""
-    for (level, at), rows in _grouped(batches, "level", "range"):
-        keys = [unpacked_keys(row["keys"]) for row in rows]
-        _, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        short = np.concatenate([unpacked(row["payload"], np.uint32).reshape(4, -1) for row in rows], axis=1)
-        n = short[0][first].astype(np.float64)
-        total = np.bincount(which, short[1])
-        different, ratio = (np.bincount(which, x.view(np.float32)) for x in np.ascontiguousarray(short[2:]))
-        different = np.round(different)  # each next word adds 1, in parts
-        state = ratio > 0.5 * different * np.log(np.maximum(n, 2))
-        said = np.stack([np.where(state, total, -1.0), np.where(state, different, 0.0)], axis=1)
-        ends = np.cumsum([len(k) for k in keys])
-        yield _batch([(row["block"], level, at, None, packed(said[which[e - len(k) : e]].reshape(-1))) for row, k, e in zip(rows, keys, ends, strict=True)])
+    keys = [unpacked_keys(row["keys"]) for row in rows]
+    _, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    short = np.concatenate([unpacked(row["payload"], np.uint32).reshape(4, -1) for row in rows], axis=1)
+    n = short[0][first].astype(np.float64)
+    total = np.bincount(which, short[1])
+    different, ratio = (np.bincount(which, x.view(np.float32)) for x in np.ascontiguousarray(short[2:]))
+    different = np.round(different)  # each next word adds 1, in parts
+    state = ratio > 0.5 * different * np.log(np.maximum(n, 2))
+    said = np.stack([np.where(state, total, -1.0), np.where(state, different, 0.0)], axis=1)
+    ends = np.cumsum([len(k) for k in keys])
+    return [(row["block"], level, at, None, packed(said[which[e - len(k) : e]].reshape(-1))) for row, k, e in zip(rows, keys, ends, strict=True)]
 
 
 def root(c: np.ndarray, words: int, distinct: int) -> np.ndarray:
@@ -321,29 +326,32 @@ def suffix_tree_scores(
     def together(rows: DataFrame) -> DataFrame:
         return rows.repartition("block").sortWithinPartitions("block", "level", "range")
 
-    def answered(asks: DataFrame, answer: Callable, label: str) -> DataFrame:
+    def answered(level: int, words: int) -> DataFrame:
+        asks = (together(known) if level > 1 else known).mapInArrow(_asking(level, words, depth, bits, *least), ROWS)
         dealt = asks.repartition("level", "range").sortWithinPartitions("level", "range", "block")
-        return stored(dealt.mapInArrow(answer, ROWS), label)
+        return stored(dealt.mapInArrow(_answering, ROWS), f"round-{level}")
 
-    answers = []
-    for level in range(1, depth + 2):
-        asked = together(known) if level > 1 else known
-        answer = answered(asked.mapInArrow(_asking(level, bits, *least), ROWS), _counting, f"counts-{level}")
+    answers, tested, words = [], [], 0
+    # Contexts are tested in the round after the one that counts their next words, so that no shuffle holds the tests of all lengths.
+    for level in range(1, depth + 3):
+        answer = answered(level, words)
         if level == 1:
             sums = answer.filter("block = -1").select("payload").mapInArrow(_summed, "distinct long, total long").agg(F.sum("distinct"), F.sum("total")).first()
             opened = given.agg(F.sum("train")).first()[0] or 0
             words, distinct = (sums[1] or 0) - opened, (sums[0] or 0) - (opened > 0)
         answers.append(answer)
-        known = known.unionAll(answer.filter("block >= 0"))
-    tested = answered(together(known).mapInArrow(_testing(depth, words, bits, *least), ROWS), _judging, "states")
-    scores = together(known.unionAll(tested)).mapInArrow(
+        if level > 2:
+            tested.append(answer.filter(F.col("level") > TEST))
+        if level <= depth + 1:
+            known = known.unionAll(answer.filter((F.col("block") >= 0) & (F.col("level") < TEST)))
+    scores = together(reduce(DataFrame.unionAll, tested, known)).mapInArrow(
         _scoring(depth, words, distinct, *least), "row long, n_tokens long, n_known long, base_score double, score double"
     )
     sums = scores.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     names = blocks.select(F.inline(F.arrays_zip("rows", "keys")).alias("row", key))
     out = names.join(sums, "row").select(key, "n_tokens", "n_known", F.lit(words).cast("long").alias("train_tokens"), "base_score", "score")
     out = stored(out, "scores")
-    for done in (blocks, tested, *answers):
+    for done in (blocks, *answers):
         discard(done)
     return out
 

@@ -104,3 +104,19 @@ def test_edges(spark):
     rows = spark.createDataFrame([(1, "a b", "", 0), (None, None, "", 0)], FIELDS)
     found = {r.doc_id: r for r in suffix_tree.suffix_tree_scores(rows, F.lit(False)).collect()}
     assert [(found[k].n_tokens, found[k].n_known, found[k].train_tokens, found[k].score) for k in (1, None)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
+
+
+def test_contexts_are_tested_a_length_a_round(spark, monkeypatch):
+    levels, plain = {}, suffix_tree.stored
+
+    def stored(df, label):
+        out = plain(df, label)
+        if "level" in out.columns:
+            levels[label] = {r.level for r in out.select("level").distinct().collect()}
+        return out
+
+    monkeypatch.setattr(suffix_tree, "stored", stored)
+    docs = spark.createDataFrame([(i, "the cat sat on the mat " * 5, "", 0) for i in range(30)], FIELDS)
+    assert suffix_tree.suffix_tree_scores(docs, F.lit(True)).count() == 30
+    # No table holds the tests of both lengths.
+    assert sorted(map(sorted, levels.values())) == [[1], [2], [3, suffix_tree.TEST + 1], [suffix_tree.TEST + 2]]
