@@ -10,6 +10,7 @@ Texts are read once, into blocks of word codes. Stripes are made from these leng
 as rare as its rarest part, so only occurrences whose first and last words (all but one) are both
 frequent are counted. Tasks learn of frequent phrases from a Bloom filter of fixed size: a false
 positive, or a filter that fills up on a very large corpus, costs work and changes no count. A stripe of a prefix with many occurrences is cut into slices by its next word.
+A block's stripes are shuffled in bundles, one for each range of hashes of prefix and slice, as compressed columns.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ BITS, PROBES = 25, 4
 ROOT_SLICES = 512
 #: A prefix is hot from that many occurrences, or its share of all words: at most MOST_HOT prefixes a length are.
 LEAST_HOT, MOST_HOT = 200_000, 20_000
+#: Ranges of hashes that stripes are shuffled by: as a power of two at least, and blocks of all languages that a range is meant for.
+LEAST_BITS, BLOCKS_A_RANGE = 6, 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -118,11 +121,17 @@ def _coded(most: int = 8_000_000, most_held: int = 12_000_000):
 
 def stripes_of(lang: str, words: list[str], codes: np.ndarray, width: int, known: Known) -> pa.RecordBatch | None:
     """The stripes (lang, prefix, slice, next, n) of prefixes of ``width`` words, cut into slices."""
+    made = _hashed_stripes(lang, words, codes, width, known)
+    return made and made[0]
+
+
+def _hashed_stripes(lang: str, words: list[str], codes: np.ndarray, width: int, known: Known) -> tuple[pa.RecordBatch, np.ndarray] | None:
+    """``stripes_of``, and a hash of each stripe's prefix and slice."""
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     # Where a run of ``width`` words of one piece begins that may be frequent.
     inside = codes != 0
     if width == 0:
-        starts, followed = np.append(inside, False), inside
+        starts, followed, chained = np.append(inside, False), inside, np.zeros(len(codes) + 1, np.uint64)
     else:
         word_at = hashes[codes]
         starts = np.ones(max(0, len(codes) - width + 1), bool)
@@ -158,7 +167,8 @@ def stripes_of(lang: str, words: list[str], codes: np.ndarray, width: int, known
     owner, piece, following, n = owner[order], piece[order], following[order], n[order]
     first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1])))
     offsets = np.append(first, len(owner)).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
+    hashed = _chained(chained[at[where]][owner[first]], piece[first].astype(np.uint64))
+    out = pa.RecordBatch.from_arrays(
         [
             pa.array([lang]).take(pa.array(np.zeros(len(first), np.int64))),
             prefixes.take(pa.array(owner[first])),
@@ -169,68 +179,88 @@ def stripes_of(lang: str, words: list[str], codes: np.ndarray, width: int, known
         ],
         names=["lang", "prefix", "slice", "next", "n"],
     )
+    return out, hashed
+
+
+def _joined(texts: pa.Array) -> bytes:
+    """Texts without line ends, compressed as one: each after a line end, so that there are bytes for an empty one too."""
+    return packed(np.frombuffer("\n".join(["", *texts.to_pylist()]).encode(), np.uint8))
+
+
+def _parted(data: bytes) -> pa.Array:
+    return pc.split_pattern(pa.array([unpacked(data, np.uint8)[1:].tobytes().decode()]), "\n").flatten()
+
+
+def bundles_of(stripes: pa.RecordBatch, hashed: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Stripes of a block, those of one range of hashes as one row of compressed columns."""
+    at = (hashed >> np.uint64(64 - bits)).astype(np.int32)
+    order = np.argsort(at, kind="stable")
+    stripes, at = stripes.take(pa.array(order)), at[order]
+    cuts = np.flatnonzero(np.append(True, at[1:] != at[:-1])).tolist()
+    parts = [stripes.slice(a, b - a) for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True)]
+    columns = [
+        [_joined(part.column("prefix")) for part in parts],
+        [packed(part.column("slice").to_numpy()) for part in parts],
+        [_joined(part.column("next")) for part in parts],
+        [packed(part.column("n").flatten().to_numpy()) for part in parts],
+    ]
+    return pa.RecordBatch.from_arrays(
+        [stripes.column("lang").slice(0, len(parts)), pa.array(at[cuts]), *(pa.array(c, pa.binary()) for c in columns)],
+        names=["lang", "range", "prefix", "slice", "next", "n"],
+    )
 
 
 def _merged(least: int):
-    """Stripes sorted by (lang, prefix, slice), merged element by element: total, and the entries of at least ``least``."""
-    names = ["lang", "prefix", "total", "next", "n"]
-
-    def merged(keys: pa.Table, entries: pa.Table) -> pa.RecordBatch:
-        """Rows of keys (lang, prefix, slice), a row a stripe, from summed entries (stripe, next, n)."""
-        stripe, n = entries["stripe"].to_numpy(), entries["n"].to_numpy()
-        total = np.bincount(stripe, n, minlength=keys.num_rows).astype(np.int64)
-        kept = entries.filter(pa.array((n >= least))).filter(pc.field("next") != ".").sort_by("stripe")
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(kept["stripe"].to_numpy(), minlength=keys.num_rows))]).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(offsets, pa.concat_arrays(kept[c].chunks) if kept.num_rows else pa.array([], t)) for c, t in (("next", pa.string()), ("n", pa.int64()))]
-        return pa.RecordBatch.from_arrays([*(keys[c].combine_chunks() for c in ("lang", "prefix")), pa.array(total), *lists], names=names)
+    """Bundles sorted by (lang, range), their stripes merged element by element: total, and the entries of at least ``least``."""
+
+    def merged(lang: str, bundles: list[tuple[bytes, ...]]) -> pa.RecordBatch:
+        prefix, piece, following, n = zip(*bundles, strict=True)
+        prefixes = pa.chunked_array([_parted(x) for x in prefix]).combine_chunks().dictionary_encode()
+        key = (prefixes.indices.to_numpy().astype(np.int64) << 32) | np.concatenate([unpacked(x, np.int32) for x in piece])
+        keys, number = np.unique(key, return_inverse=True)
+        listed = pc.split_pattern(pa.chunked_array([_parted(x) for x in following]).combine_chunks(), " ")
+        entry = {
+            "stripe": np.repeat(number, listed.value_lengths().to_numpy()), "next": listed.flatten(),
+            "n": np.concatenate([unpacked(x, np.int32) for x in n]).astype(np.int64),
+        }
+        entries = pa.table(entry).group_by(["stripe", "next"]).aggregate([("n", "sum")])
+        stripe, n = entries["stripe"].to_numpy(), entries["n_sum"].to_numpy()
+        total = np.bincount(stripe, n, minlength=len(keys)).astype(np.int64)
+        kept = entries.filter(pa.array(n >= least)).filter(pc.field("next") != ".").sort_by("stripe")
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(kept["stripe"].to_numpy(), minlength=len(keys)))]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(offsets, kept[c].combine_chunks()) for c in ("next", "n_sum")]
+        spelt = prefixes.dictionary.take(pa.array(keys >> 32))
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), spelt, pa.array(total), *lists], names=["lang", "prefix", "total", "next", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_keys, open_entries = None, None  # the last stripe, which the next batch may go on with
+        here, held = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = pa.Table.from_batches([batch.select(["lang", "prefix", "slice"])])
-            lengths = batch.column("n").value_lengths().to_numpy()
-            following = pc.split_pattern(batch.column("next"), " ").flatten()
-            entry = pa.table({"row": np.repeat(np.arange(batch.num_rows), lengths), "next": following, "n": batch.column("n").flatten().cast(pa.int64())})
-            if open_keys is not None:
-                keys = pa.concat_tables([open_keys, keys])
-                entry = pa.concat_tables([open_entries, entry.set_column(0, "row", pc.add(entry["row"], 1))])
-            keys = keys.combine_chunks()
-            new = np.zeros(keys.num_rows, bool)
-            new[0] = True
-            for c in ("lang", "prefix", "slice"):
-                column = keys[c].combine_chunks()
-                new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-            number = np.cumsum(new) - 1
-            summed = entry.set_column(0, "stripe", pa.array(number[entry["row"].to_numpy()])).group_by(["stripe", "next"]).aggregate([("n", "sum")])
-            summed = summed.rename_columns({"n_sum": "n"}).select(["stripe", "next", "n"])
-            keys, last = keys.filter(pa.array(new)), int(number[-1])
-            of_last = pc.equal(summed["stripe"], last)
-            open_keys = keys.slice(last)
-            ended = summed.filter(of_last)
-            open_entries = pa.table({"row": np.zeros(ended.num_rows, np.int64), "next": ended["next"], "n": ended["n"]})
-            if last:
-                yield merged(keys.slice(0, last), summed.filter(pc.invert(of_last)))
-        if open_keys is not None:
-            yield merged(open_keys, open_entries.rename_columns(["stripe", "next", "n"]))
+            for lang, at, *bundle in zip(*(batch.column(c).to_pylist() for c in ("lang", "range", "prefix", "slice", "next", "n")), strict=True):
+                if held and (lang, at) != here:
+                    yield merged(here[0], held)
+                    held = []
+                here = (lang, at)
+                held.append(tuple(bundle))
+        if held:
+            yield merged(here[0], held)
 
     return run
 
 
-def stripes(blocks: DataFrame, width: int, known: Known, least: int) -> DataFrame:
-    """Merged stripes (lang, prefix, total, next, n) of blocks (lang, words, codes), a row a slice; stored."""
+def stripes(blocks: DataFrame, width: int, known: Known, least: int, bits: int) -> DataFrame:
+    """Merged stripes (lang, prefix, total, next, n) of blocks (lang, words, codes), a row a slice; stored. They are
+    shuffled in bundles, by ``2 ** bits`` ranges of hashes."""
     shared = blocks.sparkSession.sparkContext.broadcast(known)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, words, codes in zip(*(batch.column(c) for c in ("lang", "words", "codes")), strict=True):
-                made_ = stripes_of(lang.as_py(), words.as_py(), unpacked(codes.as_py(), np.uint32).astype(np.int64), width, shared.value)
+                made_ = _hashed_stripes(lang.as_py(), words.as_py(), unpacked(codes.as_py(), np.uint32).astype(np.int64), width, shared.value)
                 if made_ is not None:
-                    yield made_
+                    yield bundles_of(*made_, bits)
 
-    parts = blocks.mapInArrow(made, "lang string, prefix string, slice int, next string, n array<int>")
-    keys = ("lang", "prefix", "slice")
+    parts = blocks.mapInArrow(made, "lang string, range int, prefix binary, slice binary, next binary, n binary")
+    keys = ("lang", "range")
     dealt = parts.repartition(*keys).sortWithinPartitions(*keys)
     out = stored(dealt.mapInArrow(_merged(least), "lang string, prefix string, total long, next array<string>, n array<long>"), f"stripes-{width}")
     shared.unpersist()
@@ -277,8 +307,9 @@ def collocations(
     blocks = given.mapInArrow(_coded(), "lang string, words array<string>, codes binary").filter("codes IS NOT NULL")
     blocks = stored(blocks, "phrase-blocks")
     known, totals, longer, merged = Known(), [], [], [blocks]
+    bits = max(LEAST_BITS, (blocks.count() // BLOCKS_A_RANGE).bit_length())
     for width in range(longest):
-        level = stripes(blocks, width, known, least)
+        level = stripes(blocks, width, known, least, bits)
         merged.append(level)
         entry = level.select("lang", "prefix", F.inline(F.arrays_zip("next", "n")).alias("next", "f"))
         phrase = F.concat_ws(" ", "prefix", "next") if width else F.col("next")

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from lakeops.llm import phrases
@@ -75,3 +76,34 @@ def test_hot_prefixes_in_slices_and_a_full_filter(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert got(spark, []) == [] and got(spark, [("en", "a b", "", 1), (None, None, "", 1)]) == []
+
+
+def test_stripes_are_shuffled_in_bundles(spark, monkeypatch):
+    rows, dealt, frame = texts(2), [], type(spark.range(1))
+    plain = frame.sortWithinPartitions
+
+    def counted(df, *keys):
+        dealt.append(df.count())
+        return plain(df, *keys)
+
+    monkeypatch.setattr(frame, "sortWithinPartitions", counted)
+    monkeypatch.setattr(phrases, "LEAST_BITS", 2)
+    assert got(spark, rows, least=5) == by_force(rows, 5, 80, 2_000)
+    # Three parts with three languages each, in four ranges.
+    assert len(dealt) == 4 and all(0 < n <= 3 * 3 * 4 for n in dealt)
+
+
+def test_bundles_hold_their_stripes():
+    words, codes = phrases.coded(phrases.tokens_of(["Straße the cat the dog. the", "a b\x1c \x1c"]))
+    for width in (0, 1, 2):
+        full = phrases.Known(np.full(2 ** (phrases.BITS - 6), 2**64 - 1, np.uint64), {("en", "the"): 3})
+        made, hashed = phrases._hashed_stripes("en", words, codes, width, full)
+        bundles = phrases.bundles_of(made, hashed, 3)
+        assert bundles.num_rows == len(set((hashed >> np.uint64(61)).tolist())) <= 8
+        merged, whole = defaultdict(Counter), defaultdict(Counter)
+        for part in phrases._merged(1)(iter([bundles])):
+            for r in part.to_pylist():
+                merged[r["prefix"]].update(dict(zip(r["next"], r["n"])))
+        for r in made.to_pylist():
+            whole[r["prefix"]].update({w: n for w, n in zip(r["next"].split(" "), r["n"]) if w != "."})
+        assert {k: v for k, v in merged.items() if v} == {k: v for k, v in whole.items() if v}
