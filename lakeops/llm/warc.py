@@ -3,8 +3,9 @@
 Writing uses the text sink with the record terminator as line separator, so every task writes valid
 archive files wherever the file system is. Reading splits the files at the record magic by byte
 ranges. A piece after a magic is only a candidate: tasks emit its offset and the offset its declared
-length leads to; pointer jumping from the start of each file marks what is reachable. A magic inside
-a payload is never reached, and the pieces it cut are joined to their record again.
+length leads to. Records that fill their pieces follow each other in a run; pointer jumping over the
+other records, from the start of each file, marks what is reachable. A magic inside a payload is
+never reached, and the pieces it cut are joined to their record again.
 """
 
 from __future__ import annotations
@@ -113,17 +114,21 @@ def _part(piece: str, start: str, length: str) -> Column:
 
 
 def _placed(pieces: DataFrame) -> DataFrame:
-    """Adds at: the offset of the magic before the piece (-10 for what precedes the first one).
+    """Adds at: the offset of the magic before the piece (-10 for what precedes the first one); and run: the
+    pieces before it in the file that no record fills, if there is a column filled.
 
     Running sums of piece lengths: by order inside a byte range, over the totals of the ranges before.
     """
-    step = F.col("n_bytes") + len(MAGIC)
-    totals = pieces.groupBy("file", "block").agg(F.sum(step).alias("total"))
-    before = F.sum("total").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    starts = totals.select("file", "block", F.coalesce(before, F.lit(0)).alias("start"))
-    inside = F.sum(step).over(Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
-    placed = pieces.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, ["file", "block"])
-    return placed.withColumn("at", F.col("start") + F.col("inside") - len(MAGIC)).drop("start", "inside")
+    sums = {"at": F.col("n_bytes") + len(MAGIC)}
+    if "filled" in pieces.columns:
+        sums["run"] = F.when(F.col("filled"), 0).otherwise(1).cast("long")
+    totals = pieces.groupBy("file", "block").agg(*[F.sum(step).alias(name) for name, step in sums.items()])
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("file", "block", *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"{name}_start") for name in sums])
+    inside = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumns({name: F.coalesce(F.sum(step).over(inside), F.lit(0)) for name, step in sums.items()}).join(starts, ["file", "block"])
+    placed = placed.withColumns({name: F.col(name) + F.col(f"{name}_start") for name in sums}).withColumn("at", F.col("at") - len(MAGIC))
+    return placed.drop(*[f"{name}_start" for name in sums])
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -147,6 +152,24 @@ def reachable(links: DataFrame) -> DataFrame:
     return reached
 
 
+def chained(found: DataFrame) -> DataFrame:
+    """The rows (file, at, run, filled, length, goes_to, ...) that the chain from offset 0 of each file reaches.
+
+    A filled piece leads to the next one, so a chain that enters a run goes on to its end. Only entries are
+    followed by pointer jumping: offset 0, and where pieces that are not filled lead to. A run is entered once.
+    """
+    candidates = found.filter("length IS NOT NULL")
+    exits = stored(candidates.filter("NOT filled").select("file", "run", "goes_to"), "exits")
+    entries = found.filter("at = 0").select("file", "run", "at", "length")
+    if not exits.isEmpty():
+        led = exits.select("file", F.col("goes_to").alias("at")).distinct()
+        entries = entries.unionAll(found.join(led, ["file", "at"], "left_semi").filter("at <> 0").select("file", "run", "at", "length"))
+    entries = entries.filter("length IS NOT NULL").join(exits, ["file", "run"], "left").select("file", "run", "at", "goes_to")
+    entries = stored(entries, "entries")
+    entered = entries.join(reachable(entries), ["file", "at"]).select("file", "run", F.col("at").alias("entry"))
+    return candidates.join(entered, ["file", "run"]).filter("at >= entry").drop("entry")
+
+
 HEADER = ("kind", "record_id", "url", "refers", "declared_digest")
 
 
@@ -160,11 +183,12 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
     """
     head = _headed(_pieces(spark, path))
     body = F.when(F.col("whole"), _part("piece", "body_at", "length"))
-    light = head.select("file", "block", "n", "n_bytes", "body_at", "length", "whole", *HEADER, base32_sha1(body).alias("payload_digest"))
+    ends = F.col("body_at") + F.col("length") + len(END)
+    filled = F.coalesce(ends == F.col("n_bytes"), F.lit(False)).alias("filled")
+    light = head.select("file", "block", "n", "n_bytes", "body_at", "length", "whole", filled, *HEADER, base32_sha1(body).alias("payload_digest"))
     found = stored(_placed(stored(light, "pieces")), "candidates")
-    follows = F.col("at") + len(MAGIC) + F.col("body_at") + F.col("length") + len(END)
-    reached = reachable(found.filter("length IS NOT NULL").select("file", "at", follows.alias("goes_to")))
-    records = stored(found.join(reached, ["file", "at"]).withColumnRenamed("length", "payload_bytes"), "records")
+    reached = chained(found.withColumn("goes_to", F.col("at") + len(MAGIC) + ends)).drop("run", "filled", "goes_to")
+    records = stored(reached.withColumnRenamed("length", "payload_bytes"), "records")
     keep = ("file", "at", *HEADER, "payload_bytes", "payload_digest")
     cut = records.filter("NOT whole")
     if not payloads and cut.isEmpty():

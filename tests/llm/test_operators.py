@@ -173,6 +173,27 @@ def test_warc(spark):
     assert sorted(r.payload for r in read if r.kind == "response") == sorted(["same", "same", "", fake, "é€", fake + fake])
 
 
+def test_warc_follows_only_what_breaks_a_run(spark, monkeypatch):
+    fake = "a WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
+    ends = "b WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 900\r\n\r\nhi"  # its length leads past records that follow
+    texts = {i: f"page {i} " * (i % 7) + (fake + ends if i % 60 == 0 else ends if i % 90 == 1 else fake * 2 if i % 100 == 2 else "") for i in range(400)}
+    rows = [(i, "u", text) for i, text in texts.items()]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    path, links, jump = scratch_path(spark, "warc-test"), [], warc.reachable
+    monkeypatch.setattr(warc, "reachable", lambda x: (links.append(x.count()), jump(x))[1])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        warc.write_warc(pages, path)
+        read = warc.read_warc(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    prints = lambda text: base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+    assert len(read) == 400 and sorted(r.payload_digest for r in read if r.kind == "response") == sorted(map(prints, set(texts.values())))
+    files, cut = len({r.file for r in read}), sum("WARC" in text for text in texts.values())
+    assert max(links) <= files + 3 * cut  # before, every record
+
+
 def test_licences_anchors_lose_nothing(spark):
     source = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
     extra = docs(spark, [(-1, "Released under the MIT License.\nA driving license is required for this work", ""), (-2, None, ""), (-3, "Distributed under the GNU GPL", "")])
