@@ -164,7 +164,8 @@ def components(links: DataFrame) -> DataFrame:
     the rounds grow with the logarithm of the longest chain. First the edges a task reads become
     stars of their own, in bounded memory, so a node has at most one smaller neighbour a part and
     the small stars can be made where the edges of a node meet. The rounds end when every node has
-    one edge, to a node that has none. Minima are combined before the shuffle, a hot node is joined,
+    one edge, to a node that has none; the neighbours of each node, gathered once a round, say so and
+    are then the result, a stored table. Minima are combined before the shuffle, a hot node is joined,
     never gathered.
     """
     kind = links.schema["a"].dataType.simpleString()
@@ -174,17 +175,15 @@ def components(links: DataFrame) -> DataFrame:
 
     edges = starred(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v"))
     while True:
-        ends = edges.select("u", F.col("v").alias("to")).unionAll(edges.select(F.col("v").alias("u"), F.lit(None).alias("to")))
-        node = ends.groupBy("u").agg(F.min("to").alias("low"), F.max("to").alias("high"), F.count_if(F.col("to").isNull()).alias("roots"))
-        if node.filter("low <> high OR (low IS NOT NULL AND roots > 0)").isEmpty():
-            break
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Stored, so that a node with very many edges can be split in the join.
-        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "low")
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
+        smaller = F.when(F.col("v") < F.col("u"), F.col("v"))
+        low = stored(both.groupBy("u").agg(F.min(smaller).alias("low"), F.max(smaller).alias("high"), F.max(F.col("v") > F.col("u")).alias("root")), "low")
+        if low.filter("low <> high OR (low IS NOT NULL AND root)").isEmpty():
+            discard(edges)
+            return low.select(F.col("u").alias("node"), F.coalesce("low", "u").alias("component"))
+        large = both.filter("v > u").join(low.select("u", F.coalesce("low", "u").alias("m")), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
         after = starred(large.repartition("u").sortWithinPartitions("u"))
         discard(edges)
         discard(low)
         edges = after
-    found = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    return found.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

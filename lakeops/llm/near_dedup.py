@@ -9,10 +9,9 @@ around the similarity of the sets. 32 bands of 4 bins meet for a pair at the thr
 
 Equal sets are one node from the start. Nodes of a band bucket are verified against one leader, not
 against each other; what that links is one component, and only nodes of a bucket in different
-components are looked at again: under new leaders, and at last pair by pair, in the first band a pair
-shares. Before whole sets of such a pair are compared, one bit of each of 2048 bins has to agree as
-often as at the threshold, less five standard deviations (a pair at the threshold fails this once in
-three million). Nothing is capped or sampled. What remains quadratic is a comparison of 32 numbers
+components are looked at again: under new leaders, and at last pair by pair. Before whole sets of
+such a pair are compared, one bit of each of 2048 bins has to agree as often as at the threshold, less
+five standard deviations (a pair at the threshold fails this once in three million). Nothing is capped or sampled. What remains quadratic is a comparison of 32 numbers
 for nodes of one bucket in different components; it moves and emits nothing unless they agree.
 """
 
@@ -183,7 +182,7 @@ def merges_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 2) -> Itera
 
     ``sets_of(nodes)`` gives (node, shingles) of the nodes asked for.
     """
-    exploded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
+    exploded = nodes.select("node", "n", F.explode("bands").alias("key"))
     shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
     members = stored(exploded.join(shared, "key").withColumn("component", F.col("node")), "members")
     if members.isEmpty():
@@ -198,31 +197,29 @@ def merges_of(nodes: DataFrame, sets_of, percent: int, rounds: int = 2) -> Itera
             F.col("component").alias("ca"), F.col("led.component").alias("cb"),
         )
         pairs = pairs.filter(_fits(percent)).select("a", "b", "ca", "cb").distinct()
-        merges = stored(components(stored(_linked(pairs, sets, percent), "links")), "merges")
+        merges = components(stored(_linked(pairs, sets, percent), "links"))
         yield merges
-        left = led.filter("node <> led.node").select("node", "n", "band", "key", "component")
+        left = led.filter("node <> led.node").select("node", "n", "key", "component")
         members = stored(_merged(left, merges), "members")
         discard(led)
         if members.isEmpty():
             return
-    # What is open now goes pair by pair, each in the first band that it shares, if long sketches agree enough.
+    # What is open now goes pair by pair; a pair whose long sketches agree is one row, in however many bands it meets.
     open_ = _open(members, rounds)
-    signed = open_.select("node").distinct().join(sets, "node").mapInArrow(_signed, "node binary, bits array<long>")
-    signed = stored(signed.join(nodes.select("node", "bands"), "node"), "signed")
-    open_ = open_.select("node", "n", "band", "key", "component").join(signed, "node")
-    names = ("node", "n", "component", "bits", "bands")
-    one = open_.select("key", "band", *[F.col(c).alias(f"{c}_a") for c in names])
+    signed = stored(open_.select("node").distinct().join(sets, "node").mapInArrow(_signed, "node binary, bits array<long>"), "signed")
+    open_ = open_.select("node", "n", "key", "component").join(signed, "node")
+    names = ("node", "n", "component", "bits")
+    one = open_.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
     two = open_.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
     differ = reduce(lambda x, y: x + y, [F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(LONG_BINS // 64)])
-    met = F.exists(F.slice(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), F.lit(1), F.col("band")), lambda same: same)
     wanted = (
         (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     )
-    rest = one.join(two, "key").filter(wanted & (differ <= _most_different(percent)) & ~met)
+    rest = one.join(two, "key").filter(wanted & (differ <= _most_different(percent)))
     rest = rest.select(
         F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("component_a").alias("ca"), F.col("component_b").alias("cb")
-    )
+    ).distinct()
     yield components(stored(_linked(rest, sets, percent), "links"))
 
 
@@ -237,9 +234,9 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percen
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     given = given.withColumn("raw", F.xxhash64("text"))
     rows = stored(given.mapInArrow(_sketched, "doc_id long, raw long, n_shingles long, node binary, bands array<long>"), "sketches")
-    # The row a set is read from again; of rows repeated in full any one will do.
+    # The row a set is read from again; of rows repeated in full any one will do. Equal sets have equal bands.
     first = rows.filter("node IS NOT NULL").groupBy("node", F.col("n_shingles").alias("n")).agg(
-        F.min(F.struct("doc_id", "raw")).alias("row"), F.min("doc_id").alias("smallest")
+        F.min(F.struct("doc_id", "raw")).alias("row"), F.min("doc_id").alias("smallest"), F.first("bands").alias("bands")
     )
     first = stored(first, "nodes")
 
@@ -248,9 +245,8 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", percen
         texts = given.join(source, given["doc_id"].eqNullSafe(source["_id"]) & (given["raw"] == source["_raw"])).select("node", "text")
         return texts.mapInArrow(_shingled, "node binary, shingles array<long>").dropDuplicates(["node"])
 
-    distinct = rows.filter("node IS NOT NULL").select("node", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node"])
     whole = first.select("node", F.col("node").alias("component"), "smallest")
-    for merges in merges_of(distinct, sets_of, percent):
+    for merges in merges_of(first.select("node", "n", "bands"), sets_of, percent):
         whole = _merged(whole, merges)
     whole = stored(whole, "components")
     least = whole.groupBy("component").agg(F.min("smallest").alias("smallest"))

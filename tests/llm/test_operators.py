@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from lakeops.llm import chat, exact_dedup, langid, leaks, licences, line_dedup, main_text, near_dedup, warc
+from lakeops.llm import chat, common, exact_dedup, langid, leaks, licences, line_dedup, main_text, near_dedup, warc
 from lakeops.llm.registry import ORACLE, QUERIES
 from lakeops.session import scratch_path
 from oracle import compare, connect
@@ -173,6 +173,19 @@ def test_warc(spark):
     assert sorted(r.payload for r in read if r.kind == "response") == sorted(["same", "same", "", fake, "é€", fake + fake])
 
 
+def test_components_gather_each_round_once(spark, monkeypatch):
+    chain, star = [(i, i + 1) for i in range(200)], [(500, i) for i in range(501, 700)]
+    links = spark.createDataFrame([*chain, *star, *chain, (900, 900), (1002, 1001)], "a long, b long").repartition(16)
+    made, store = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, label: (made.append(label), store(df, label))[1])
+    found = common.components(links)
+    wanted = {i: 0 for i in range(201)} | {i: 500 for i in range(500, 700)} | {1001: 1001, 1002: 1001}
+    assert sorted(map(tuple, found.collect())) == sorted(wanted.items())
+    assert made.count("low") == made.count("edges")  # one gathering a round, the last one too
+    assert "Exchange" not in found._jdf.queryExecution().toString()
+    assert common.components(links.limit(0)).isEmpty()
+
+
 def test_warc_follows_only_what_breaks_a_run(spark, monkeypatch):
     fake = "a WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     ends = "b WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 900\r\n\r\nhi"  # its length leads past records that follow
