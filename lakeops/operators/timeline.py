@@ -52,7 +52,7 @@ class Timeline:
         borders = splitters(rows, self.keys, self.order, self.chunk)
         at = _order_key((*self.keys, *self.order))
         placed = rows.withColumn("__borders", borders)
-        reached = F.when(F.size("__borders") == 0, 0).otherwise(_reached(F.col("__borders"), at))
+        reached = F.when(F.size("__borders") == 0, 0).otherwise(count_upto(F.col("__borders"), at))
         return placed.withColumn(CHUNK, reached.cast("long")).drop("__borders")
 
     def window(self, backwards: bool = False, leading: Sequence[str] = (), split: Sequence[str] = ()):
@@ -88,7 +88,7 @@ def splitters(rows: DataFrame, keys: Sequence[str], order: Sequence[str], size:
     return drawn.agg(F.array_sort(F.collect_list("__whole"))).scalar()
 
 
-def _reached(borders: Column, at: Column) -> Column:
+def count_upto(borders: Column, at: Column) -> Column:
     """How many of the sorted borders are not beyond ``at``, by halving."""
     start = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
 

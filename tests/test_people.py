@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import intervals
@@ -64,6 +65,49 @@ def test_one_state_a_day(spark):
     assert len(on) == 4 and on[day(301)] is None and on[day(299)] == held_on[-1]["state"]
 
 
+def test_one_state_whatever_the_order(spark):
+    """The longest of a day may win or lose, and periods may come twice; without keys all rows are of one."""
+    r = random.Random(3)
+    rows = [("a", day(lo), day(lo + r.choice([-1, 0, 2, 9, 40])), n, r.choice("xy")) for n in range(80) for lo in [r.randint(0, 9)]]
+    rows = [*rows, *rows[:5], (None, day(2), day(5), 99, "x")]
+    for keys, order in (["k"], ["rank"]), (["k"], ["hi", "rank"]), ([], ["lo", "rank"]):
+        names = ["k", "lo", "hi", "rank", "state"]
+        df = spark.createDataFrame(rows, PERIOD)
+        own = [dict(zip(names, x)) for x in rows if x[1] <= x[2] and (x[0] or not keys)]
+        want = {}
+        for n in range(60):
+            held = [x for x in own if x["lo"] <= day(n) <= x["hi"]]
+            if held:
+                want[n] = max(held, key=lambda x: [x[c] for c in order])["state"]
+        got = intervals.one_state(df, keys, "lo", "hi", order, ["state"])
+        assert got.columns == [*keys, "lo", "hi", "state"]
+        found = [((x["lo"] - START).days + i, x["state"]) for x in got.collect() for i in range((x["hi"] - x["lo"]).days + 1)]
+        assert sorted(found) == sorted(want.items())
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("keys", [["k"], ["k", "j"], []])
+def test_days_meet_every_period_that_holds_on_them(spark, how, keys):
+    r = random.Random(5)
+    spans = [(r.choice(["a", "b", None]), r.choice([1, 2, None]), day(lo), day(lo + r.choice([-1, 0, 3, 30])), n) for n in range(40) for lo in [r.randint(0, 60)]]
+    spans += [*spans[:3], ("a", 1, None, day(9), 90), ("a", 1, day(9), None, 91)]
+    rows = [(r.choice(["a", "b", "c", None]), r.choice([1, 2, None]), r.choice([None, *map(day, range(90))]), n) for n in range(60)]
+    rows += rows[:5]
+    days, periods = spark.createDataFrame(rows, "k string, j int, d date, id int"), spark.createDataFrame(spans, "k string, j int, lo date, hi date, p int")
+    if "j" not in keys:
+        periods = periods.drop("j")
+    if not keys:
+        periods = periods.drop("k")
+    got = intervals.on_days(days, periods, keys, "d", "lo", "hi", how)
+    assert got.columns == ["k", "j", "d", "id", *[c for c in periods.columns if c not in keys]]
+    want = []
+    for k, j, d, n in rows:
+        same = [x for x in spans if ("k" not in keys or k and x[0] == k) and ("j" not in keys or j and x[1] == j)]
+        held = [x for x in same if d and x[2] and x[3] and x[2] <= d <= x[3]]
+        want += [(n, x[4]) for x in held] or [(n, -1)] * (how == "left")
+    assert sorted((x["id"], -1 if x["p"] is None else x["p"]) for x in got.collect()) == sorted(want)
+
+
 def test_comings_and_goings(spark):
     days = spark.createDataFrame([(1, day(n)) for n in range(0, 400, 10)], "entity int, day date")
     spans = spark.createDataFrame([(1, day(100), day(300)), (1, None, None), (2, day(0), day(1))], "entity int, starts date, ends date")

@@ -41,6 +41,12 @@ def test_bands_of_a_table_broadcast_no_side(spark, name):
     assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
 
 
+@pytest.mark.parametrize("name", ["one_state_periods", "contract_features"])
+def test_periods_and_days_are_shuffled_once_not_once_a_level(spark, name):
+    exchanges = [line for line in plan(QUERIES[name](spark, FOLDER)).splitlines() if "Exchange " in line]
+    assert exchanges and not [line for line in exchanges if "__cell" in line or "__level" in line]
+
+
 def test_percentile_ranks_gather_no_group(no_broadcast):
     text = plan(QUERIES["approximate_percentile_ranks"](no_broadcast, FOLDER))
     assert "Join" not in text and "Window" not in text
